@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,27 +25,41 @@ def vwap(source: Column, turnover: Column, volume: Column) -> Column:
     return F.coalesce(source, F.try_divide(turnover, volume.cast("double")))
 
 
-def _number(name: str, strict: bool) -> Column:
-    text = F.nullif(F.trim(F.col(name)), F.lit(""))
-    return text.cast("double") if strict else text.try_cast("double")
+def _text(name: str) -> Column:
+    return F.nullif(F.trim(F.col(name)), F.lit(""))
 
 
-def _whole(name: str, strict: bool) -> Column:
+def _number(name: str) -> Column:
+    return _text(name).try_cast("double")
+
+
+def _whole(name: str) -> Column:
     """Integer text; also accepts ``1000.0``, as exchanges write both."""
-    text = F.nullif(F.trim(F.col(name)), F.lit(""))
-    return F.coalesce(text.try_cast("bigint"), _number(name, strict).cast("bigint"))
+    return F.coalesce(_text(name).try_cast("bigint"), _number(name).try_cast("bigint"))
+
 
+_NUMERIC = (
+    "open", "high", "low", "close", "prev_close", "vwap", "volume", "turnover", "trades",
+    "deliverable_qty", "delivery_pct",
+)
 
-def normalize_fields(rows: DataFrame, exchange: str, *, strict: bool = True) -> DataFrame:
-    """Named text fields to canonical bars, keeping the ``path`` and ``format_id`` columns.
 
-    Prices are not adjusted: ``adj_*`` repeat the raw prices with factor 1. With
-    ``strict`` an unreadable number fails the job, otherwise it becomes NULL.
-    """
-    close, volume, turnover = (
-        _number("close", strict), _whole("volume", strict), _number("turnover", strict)
+def _unreadable() -> Column:
+    """Whether any numeric field holds text that is not a number."""
+    return reduce(
+        Column.__or__,
+        [_text(name).isNotNull() & _number(name).isNull() for name in _NUMERIC],
     )
-    prices = {name: _number(name, strict) for name in ("open", "high", "low")}
+
+
+def normalize_fields(rows: DataFrame, exchange: str) -> DataFrame:
+    """Named text fields to canonical bars, with ``path``, ``format_id`` and ``unreadable``.
+
+    Prices are not adjusted: ``adj_*`` repeat the raw prices with factor 1. A field that
+    is not a number becomes NULL and marks its row ``unreadable``.
+    """
+    close, volume, turnover = _number("close"), _whole("volume"), _number("turnover")
+    prices = {name: _number(name) for name in ("open", "high", "low")}
     canonical = {
         "date": F.coalesce(parse_trade_date(F.col("date")), F.col("file_date")),
         "exchange": F.lit(exchange_code(exchange)),
@@ -53,19 +68,20 @@ def normalize_fields(rows: DataFrame, exchange: str, *, strict: bool = True) ->
         "series": F.col("series"),
         **prices,
         "close": close,
-        "prev_close": _number("prev_close", strict),
-        "vwap": vwap(_number("vwap", strict), turnover, volume),
+        "prev_close": _number("prev_close"),
+        "vwap": vwap(_number("vwap"), turnover, volume),
         "volume": volume,
         "turnover": turnover,
-        "trades": _whole("trades", strict),
-        "deliverable_qty": _whole("deliverable_qty", strict),
-        "delivery_pct": _number("delivery_pct", strict),
+        "trades": _whole("trades"),
+        "deliverable_qty": _whole("deliverable_qty"),
+        "delivery_pct": _number("delivery_pct"),
         **{f"adj_{name}": price for name, price in prices.items()},
         "adj_close": close,
         "adj_factor": F.lit(1.0),
     }
     return rows.select(
-        *[canonical[name].alias(name) for name in BARS.names], "path", "format_id"
+        *[canonical[name].alias(name) for name in BARS.names],
+        "path", "format_id", _unreadable().alias("unreadable"),
     )
 
 
@@ -93,16 +109,21 @@ def drop_variant_symbols(bars: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Normalized:
     bars: DataFrame  # complete canonical bars with path and format_id
-    incomplete: DataFrame  # rows that lack an identifying or pricing field
+    incomplete: DataFrame  # rows that lack a needed field or hold unreadable numbers
 
 
 def normalize_raw(raw: RawFiles, exchange: str, *, strict: bool = True) -> Normalized:
-    """All files of one exchange as one DataFrame."""
-    fields = normalize_fields(raw.rows, exchange, strict=strict)
-    complete = fields.where(is_complete())
+    """All files of one exchange as one DataFrame.
+
+    With ``strict`` a row with an unreadable number is incomplete, otherwise the number
+    is NULL.
+    """
+    fields = normalize_fields(raw.rows, exchange)
+    usable = is_complete() & ~F.col("unreadable") if strict else is_complete()
+    complete = fields.where(usable).drop("unreadable")
     if exchange_code(exchange) == "BSE":
         complete = drop_variant_symbols(complete)
-    return Normalized(complete, fields.where(~is_complete()))
+    return Normalized(complete, fields.where(~usable))
 
 
 def distinct_bars(bars: DataFrame) -> DataFrame:

@@ -168,9 +168,9 @@ def store_bars(
     if mode in ("create", "clean"):
         partial = exists and len(exchanges) < len(EXCHANGES)
         if not partial:
-            write_months(new, path, overwrite="static")
+            write_months(new, path, overwrite="static", by_month=True)
             return
-        write_months(new.where(F.col("exchange").isin(*exchanges)), path)
+        write_months(new.where(F.col("exchange").isin(*exchanges)), path, by_month=True)
         # Months of these exchanges that were not rebuilt go last, once the new ones are safe.
         rebuilt = {tuple(r) for r in present_months(new).collect()}
         for row in present_months(read_months(spark, path)).where(
@@ -188,7 +188,7 @@ def store_bars(
     elif mode == "only_missing" and exists:
         present = present_months(read_months(spark, path))
         new = new.join(present, list(MONTH_KEY), "left_anti")
-    write_months(new, path)
+    write_months(new, path, by_month=True)
 
 
 def build_history(

@@ -46,7 +46,7 @@ def publish_history(
     months = sorted((r.exchange, r.year, r.month) for r in changed.collect())
     if not months:
         return []
-    write_months(only_months(read_months(spark, source), months), f"{target}/bars")
+    write_months(only_months(read_months(spark, source), months), f"{target}/bars", by_month=True)
 
     now = manifest.join(changed, list(MONTH_KEY), "left_semi").select(
         *MONTH_KEY,

@@ -268,7 +268,8 @@ def partition_sides(spark, sf_dir):
     return local, remote.unionByName(extra)
 
 
-# Two strategies: the top five, and the same with a fiftieth of the weight.
+# Two strategies: the top five with a hundredth and a thousandth of the money. Prices
+# of the derived bars are random, so full weights would leave the range of doubles.
 DECISIONS_SQL = """
 best AS (
   SELECT date, exchange, isin, symbol, max(adj_close) AS score
@@ -282,9 +283,9 @@ best AS (
          CAST(1.0 AS double) / count(*) OVER (PARTITION BY date) AS target_weight, CAST(rank AS bigint) AS rank, score
   FROM ranked WHERE rank <= 5
 ), decisions AS (
-  SELECT * FROM topn
+  SELECT * REPLACE ('light_v1' AS strategy_id, target_weight / 100 AS target_weight) FROM topn
   UNION ALL
-  SELECT * REPLACE ('light_v1' AS strategy_id, target_weight / 50 AS target_weight) FROM topn
+  SELECT * REPLACE ('lighter_v1' AS strategy_id, target_weight / 1000 AS target_weight) FROM topn
 )"""
 
 

@@ -109,7 +109,7 @@ def true_range_dm(spark, sf_dir):
     plus, minus = ft.directional_moves(high, low, F.lag("high").over(w), F.lag("low").over(w))
     reach = ft.true_range(high, low, F.lag("close").over(w))
     return a.bars(spark, sf_dir).select(
-        *_KEYS, F.round(reach, 6).alias("tr"), F.round(plus, 6).alias("pdm"), F.round(minus, 6).alias("mdm")
+        *_KEYS, reach.alias("tr"), plus.alias("pdm"), minus.alias("mdm")
     )
 
 
@@ -182,7 +182,7 @@ FEATURE_QUERIES = {
     "turnover_median": _query("turnover_median_20", "turnover_median_60"),
     "realized_vol": _query("realized_vol_20"),
     "true_range_dm": (true_range_dm, a.with_sql(_FEATURES_SQL, select="""
-SELECT date, exchange, symbol, round(tr, 6) AS tr, round(pdm, 6) AS pdm, round(mdm, 6) AS mdm FROM f1""")),
+SELECT date, exchange, symbol, tr, pdm, mdm FROM f1""")),
     "feature_frame": (feature_frame, _FRAME_SQL),
     "feature_frame_split": (feature_frame_split, _FRAME_SQL),
     "exact_date_features": (exact_date_features, a.with_sql(_FEATURES_SQL, _MONTH_ENDS, select=f"""

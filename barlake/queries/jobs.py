@@ -7,9 +7,9 @@ import zipfile
 from datetime import date
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import functions as F
 
-from barlake.operators import quality as q
 from barlake.plans.history import (
     audit_history,
     build_history,
@@ -21,25 +21,21 @@ from barlake.plans.paper import run_paper
 from barlake.plans.publish import publish_history
 from barlake.operators.decisions import top_n_by_price
 from barlake.queries import adapter as a
-from barlake.schema import BARS, DECISIONS, conform
+from barlake.schema import BARS
 from barlake.session import scratch_dir
 from barlake.sources.inventory import list_files, usage_by_prefix
 from barlake.sources.tables import scan_decisions
-from barlake.storage import keep_last, merge_day, only_months, read_months, upsert_bars, write_months
+from barlake.storage import keep_last, merge_day, read_months, upsert_bars, write_months
 from barlake.streaming.ingest import append_decision_stream, audit_stream, ingest_bars, stream_files
 
 _COMPARED = [n for n in BARS.names if n not in ("vwap", "delivery_pct")]
 _LIST = ", ".join(_COMPARED)
 
 
-def _compared(bars):
-    return bars.select(*_COMPARED)
-
-
 def partition_write(spark, sf_dir):
     path = scratch_dir(spark, "bars")
     write_months(a.bars(spark, sf_dir), path)
-    return _compared(read_months(spark, path))
+    return read_months(spark, path).select(*_COMPARED)
 
 
 def _refreshed(bars):
@@ -61,7 +57,7 @@ def replace_day(spark, sf_dir):
 
 
 def _closes(bars):
-    return bars.select("date", "exchange", "isin", "series", F.round("close", 6).alias("close"), "volume")
+    return bars.select("date", "exchange", "isin", "series", "close", "volume")
 
 
 def upsert_table(spark, sf_dir):
@@ -113,47 +109,40 @@ _PLACES = ["symbol", "series", "open", "high", "low", "close", "prev_close", "vo
 
 
 def write_raw_files(spark, bars, path) -> None:
-    """Render bars as exchange files: NSE as zipped CSV by month, BSE as CSV by year."""
-    day = {
-        "NSE": F.upper(F.date_format("date", "dd-MMM-yyyy")),
-        "BSE": F.date_format("date", "yyyy-MM-dd"),
+    """Render bars as exchange files, one per day: NSE as zipped CSV, BSE as CSV."""
+    names = {
+        "NSE": ("dd-MMM-yyyy", "cm%sbhav.csv.zip", "ddMMMyyyy"),
+        "BSE": ("yyyy-MM-dd", "BhavCopy_BSE_CM_0_0_0_%s_F_0000.CSV", "yyyyMMdd"),
     }
     for exchange, header in _HEADERS.items():
+        style, pattern, stamp = names[exchange]
+        day = F.upper(F.date_format("date", style))
         fields = [F.col(n).cast("string") for n in _PLACES]
-        fields += [day[exchange], F.col("trades").cast("string"), F.col("isin")]
+        fields += [day, F.col("trades").cast("string"), F.col("isin")]
         fields.append(F.col("deliverable_qty").cast("string"))
         if exchange == "BSE":
-            fields += [day[exchange], F.lit("CM"), F.lit("BSE"), F.lit("STK")]
+            fields += [day, F.lit("CM"), F.lit("BSE"), F.lit("STK")]
         line = F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in fields])
+        file = F.format_string(pattern, F.upper(F.date_format("date", stamp)))
         rows = bars.where(F.col("exchange") == exchange)
-        folder = f"{path}/{exchange}"
-        if exchange == "BSE":
-            body = rows.select(F.year("date").alias("y"), line.alias("line"))
-            named = body.withColumn("file", F.format_string("BhavCopy_BSE_CM_0_0_0_%d0101_F_0000.CSV", "y"))
-        else:
-            month = F.trunc("date", "month")
-            body = rows.select(month.alias("m"), line.alias("line"))
-            stamp = F.upper(F.date_format("m", "ddMMMyyyy"))
-            named = body.withColumn("file", F.concat(F.lit("cm"), stamp, F.lit("bhav.csv.zip")))
-        named.select("file", "line").groupBy("file").applyInPandas(
-            _file_writer(folder, ",".join(header)), "file string"
+        rows.select(file.alias("file"), line.alias("line")).groupBy("file").applyInPandas(
+            _file_writer(f"{path}/{exchange}", ",".join(header)), "file string"
         ).count()
 
 
 def _file_writer(folder, header):
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        from pathlib import Path
-
         name = pdf["file"].iloc[0]
-        text = "\n".join([header, *pdf["line"], ""])
-        Path(folder).mkdir(parents=True, exist_ok=True)
+        content = "\n".join([header, *pdf["line"], ""]).encode()
         if name.endswith(".zip"):
             buffer = io.BytesIO()
             with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr(name.removesuffix(".zip"), text)
-            Path(folder, name).write_bytes(buffer.getvalue())
-        else:
-            Path(folder, name).write_text(text)
+                archive.writestr(name.removesuffix(".zip"), content)
+            content = buffer.getvalue()
+        filesystem, base = pafs.FileSystem.from_uri(folder)
+        filesystem.create_dir(base, recursive=True)
+        with filesystem.open_output_stream(f"{base}/{name}") as out:
+            out.write(content)
         return pdf[["file"]].head(1)
 
     return write
@@ -163,7 +152,7 @@ def raw_ingest(spark, sf_dir):
     raw, table = scratch_dir(spark, "raw"), scratch_dir(spark, "bars")
     write_raw_files(spark, a.bars(spark, sf_dir), raw)
     build_history(spark, raw, table)
-    return _compared(read_months(spark, table))
+    return read_months(spark, table).select(*_COMPARED)
 
 
 def raw_ingest_flat(spark, sf_dir):
@@ -213,7 +202,7 @@ def published_months(spark, sf_dir):
     """Publish twice with one month repaired in between; counts what each run wrote."""
     rows = a.bars(spark, sf_dir)
     source, target = scratch_dir(spark, "bars"), scratch_dir(spark, "published")
-    fetched = spark.createDataFrame([], a_fetch_schema())
+    fetched = spark.createDataFrame([], "exchange string, date date, local_path string, status string")
     store_bars(spark, rows, source)
 
     def publish():
@@ -230,10 +219,6 @@ def published_months(spark, sf_dir):
     return _closes(read_months(spark, f"{target}/bars"))
 
 
-def a_fetch_schema():
-    return "exchange string, date date, local_path string, status string"
-
-
 def paper_run(spark, sf_dir):
     """Two paper days, the second one run twice."""
     rows = a.bars(spark, sf_dir)
@@ -314,15 +299,15 @@ refreshed AS (
   FROM bars WHERE day(date) > 20 AND volume % 2 = 0
 )"""
 _UPSERTED = a.with_sql(_REFRESHED, select="""
-SELECT date, exchange, isin, series, round(close, 6) AS close, volume FROM refreshed
+SELECT date, exchange, isin, series, close, volume FROM refreshed
 UNION ALL
-SELECT date, exchange, isin, series, round(close, 6), volume FROM bars b WHERE NOT EXISTS (
+SELECT date, exchange, isin, series, close, volume FROM bars b WHERE NOT EXISTS (
   SELECT 1 FROM refreshed r WHERE r.date = b.date AND r.exchange = b.exchange AND r.isin = b.isin AND r.series = b.series)""")
 
 
 def _repaired(condition: str, where: str = "true") -> str:
     return a.with_sql(select=f"""
-SELECT date, exchange, isin, series, round(CASE WHEN {condition} THEN close + 1 ELSE close END, 6) AS close, volume
+SELECT date, exchange, isin, series, CASE WHEN {condition} THEN close + 1 ELSE close END AS close, volume
 FROM bars WHERE {where}""")
 
 
@@ -332,9 +317,9 @@ JOB_QUERIES = {
     "partition_write": (partition_write, a.with_sql(select=f"SELECT {_LIST} FROM bars")),
     "upsert_day": (upsert_day, _UPSERTED),
     "replace_day": (replace_day, a.with_sql(_REFRESHED, select="""
-SELECT date, exchange, isin, series, round(close, 6) AS close, volume FROM refreshed
+SELECT date, exchange, isin, series, close, volume FROM refreshed
 UNION ALL
-SELECT date, exchange, isin, series, round(close, 6), volume FROM bars
+SELECT date, exchange, isin, series, close, volume FROM bars
 WHERE (date, exchange) NOT IN (SELECT (date, exchange) FROM refreshed)""")),
     "upsert_table": (upsert_table, _UPSERTED),
     "keep_last": (keep_last_rows, a.with_sql(a.MULTI_SQL, select="""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import functions as F
 
 from barlake.operators import manifest as m
@@ -36,11 +34,12 @@ def fetch_manifest_days(spark, sf_dir):
 
 
 def mark_row(spark, sf_dir):
+    rows = _first(spark, sf_dir).withColumns(
+        {"last_error": F.lit(""), "last_attempt_at": F.lit(None).cast("timestamp")}
+    )
+    newest = rows.where(F.col("exchange") == "NSE").agg(F.max("date").alias("day")).first()["day"]
     marked = m.mark_manifest_row(
-        _first(spark, sf_dir).withColumns(
-            {"last_error": F.lit(""), "last_attempt_at": F.lit(None).cast("timestamp")}
-        ),
-        day=date(1998, 6, 30), status="missing", reason="reviewed", exchange="nse",
+        rows, day=newest, status="missing", reason="reviewed", exchange="nse",
     )
     return marked.drop("last_attempt_at")
 
@@ -114,9 +113,9 @@ SELECT * EXCLUDE (src, rn) FROM (
     SELECT *, 0 AS src FROM fetch_a UNION ALL SELECT *, 1 FROM fetch_b)) WHERE rn = 1"""),
     ),
     "manifest_mark": (mark_row, a.with_sql(a.FETCH_SQL, select="""
-SELECT exchange, date, local_path,
-  CASE WHEN date = '1998-06-30' AND exchange = 'NSE' THEN 'expected' ELSE status END AS status, attempts,
-  CASE WHEN date = '1998-06-30' AND exchange = 'NSE' THEN 'reviewed' ELSE '' END AS last_error FROM fetch_a""")),
+SELECT exchange, date, local_path, CASE WHEN newest THEN 'expected' ELSE status END AS status, attempts,
+  CASE WHEN newest THEN 'reviewed' ELSE '' END AS last_error
+FROM (SELECT *, exchange = 'NSE' AND date = (SELECT max(date) FROM fetch_a WHERE exchange = 'NSE') AS newest FROM fetch_a)""")),
     "manifest_months": (
         lambda spark, d: m.manifest_months(_first(spark, d)),
         a.with_sql(a.FETCH_SQL, select=f"""

@@ -170,7 +170,7 @@ def filename_date(spark, sf_dir):
 def vwap_fallback(spark, sf_dir):
     source = F.when(F.col("volume") % 2 == 0, F.col("close"))
     price = vwap(source, F.col("turnover"), F.col("volume"))
-    return a.bars(spark, sf_dir).select(*_KEYS, F.round(price, 6).alias("vwap"))
+    return a.bars(spark, sf_dir).select(*_KEYS, price.alias("vwap"))
 
 
 def variant_symbol_drop(spark, sf_dir):
@@ -245,7 +245,7 @@ FROM named""")),
 SELECT exchange, filename, date FROM named""")),
     "vwap": (vwap_fallback, a.with_sql(select="""
 SELECT date, exchange, isin, symbol,
-  round(CASE WHEN volume % 2 = 0 THEN close ELSE turnover / volume END, 6) AS vwap FROM bars""")),
+  CASE WHEN volume % 2 = 0 THEN close ELSE turnover / volume END AS vwap FROM bars""")),
     "variant_symbol_drop": (variant_symbol_drop, a.with_sql(a.HASH_SQL, select="""
 SELECT date, exchange, isin, symbol, series, close FROM bars_hash h
 WHERE NOT (symbol LIKE '%#' AND EXISTS (

@@ -23,11 +23,15 @@ def topn_decisions(spark, sf_dir):
 
 
 def two_strategies(rows):
-    full = _topn(rows)
-    light = full.withColumns(
-        {"strategy_id": F.lit("light_v1"), "target_weight": F.col("target_weight") / 50}
+    scales = F.array(
+        F.struct(F.lit("light_v1").alias("strategy_id"), F.lit(100).alias("scale")),
+        F.struct(F.lit("lighter_v1").alias("strategy_id"), F.lit(1000).alias("scale")),
     )
-    return full.unionByName(light)
+    both = _topn(rows).withColumn("s", F.explode(scales))
+    both = both.withColumns(
+        {"strategy_id": F.col("s.strategy_id"), "target_weight": F.col("target_weight") / F.col("s.scale")}
+    )
+    return both.drop("s")
 
 
 def forward_return(spark, sf_dir):

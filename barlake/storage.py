@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from barlake.schema import BAR_KEY, BAR_ORDER, BARS, MONTH_KEY, add_month_columns, conform
 from barlake.session import scratch_dir
@@ -23,18 +23,21 @@ def delete_path(spark: SparkSession, path: str) -> None:
     filesystem.delete(target, True)
 
 
-def write_months(bars: DataFrame, path: str, *, overwrite: str = "dynamic") -> None:
+def write_months(
+    bars: DataFrame, path: str, *, overwrite: str = "dynamic", by_month: bool = False
+) -> None:
     """Write bars as ``exchange=/year=/month=`` folders, sorted inside each file.
 
     The rebalance hint shuffles by month, but lets adaptive execution split a month
     that is too large for one task and merge tiny ones, so a hot exchange or month
     becomes several sorted files instead of one straggler. ``overwrite`` is ``dynamic``
-    (replace only the months written) or ``static`` (replace the whole table).
+    (replace only the months written) or ``static`` (replace the whole table). Bars that
+    were read from a monthly table are ``by_month`` already and need no shuffle.
     """
     months = add_month_columns(conform(bars, BARS))
+    placed = months if by_month else months.hint("rebalance", *MONTH_KEY)
     (
-        months.hint("rebalance", *MONTH_KEY)
-        .sortWithinPartitions(*MONTH_KEY, *BAR_ORDER)
+        placed.sortWithinPartitions(*MONTH_KEY, *BAR_ORDER)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)
         .partitionBy(*MONTH_KEY)
@@ -51,7 +54,7 @@ def stage_months(bars: DataFrame, spark: SparkSession, name: str) -> str:
 
 def replace_months(spark: SparkSession, staged: str, path: str) -> None:
     """Replace the months of ``path`` that the staged table holds."""
-    write_months(spark.read.parquet(staged), path)
+    write_months(spark.read.parquet(staged), path, by_month=True)
 
 
 def read_months(spark: SparkSession, path: str) -> DataFrame:
@@ -66,8 +69,6 @@ def keep_last(rows: DataFrame, keys, order) -> DataFrame:
     Spark limits each key to its first row before the shuffle, so repeated keys do
     not pile up on one task.
     """
-    from pyspark.sql import Window
-
     latest = Window.partitionBy(*keys).orderBy(*[F.col(name).desc() for name in order])
     return (
         rows.withColumn("_recency", F.row_number().over(latest))
