@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -17,7 +16,6 @@ from barlake.schema import (
     exchange_code,
     require_columns,
 )
-from barlake.sources.raw import RawFiles
 
 
 def vwap(source: Column, turnover: Column, volume: Column) -> Column:
@@ -106,24 +104,9 @@ def drop_variant_symbols(bars: DataFrame) -> DataFrame:
     return plain.unionByName(kept)
 
 
-@dataclass(frozen=True)
-class Normalized:
-    bars: DataFrame  # complete canonical bars with path and format_id
-    incomplete: DataFrame  # rows that lack a needed field or hold unreadable numbers
-
-
-def normalize_raw(raw: RawFiles, exchange: str, *, strict: bool = True) -> Normalized:
-    """All files of one exchange as one DataFrame.
-
-    With ``strict`` a row with an unreadable number is incomplete, otherwise the number
-    is NULL.
-    """
-    fields = normalize_fields(raw.rows, exchange)
-    usable = is_complete() & ~F.col("unreadable") if strict else is_complete()
-    complete = fields.where(usable).drop("unreadable")
-    if exchange_code(exchange) == "BSE":
-        complete = drop_variant_symbols(complete)
-    return Normalized(complete, fields.where(~usable))
+def usable_rows(strict: bool = True) -> Column:
+    """Rows that may become bars; ``strict`` also refuses unreadable numbers."""
+    return is_complete() & ~F.col("unreadable") if strict else is_complete()
 
 
 def distinct_bars(bars: DataFrame) -> DataFrame:

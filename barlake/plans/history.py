@@ -7,7 +7,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barlake.operators.normalize import assert_bars, distinct_bars, normalize_raw
+from barlake.operators.normalize import (
+    assert_bars,
+    distinct_bars,
+    drop_variant_symbols,
+    normalize_fields,
+    usable_rows,
+)
 from barlake.operators.quality import global_audit, ingest_summary, partition_audit, partition_statistics
 from barlake.schema import (
     BARS,
@@ -66,17 +72,20 @@ def ingest_files(
     if not allow_skipped and not raw.skipped.isEmpty():
         raise ContractError(f"raw files without data: {[r.path for r in raw.skipped.limit(5).collect()]}")
 
-    parsed = normalize_raw(raw, exchange, strict=strict)
     staged = scratch_dir(spark, "ingest")
-    parsed.bars.write.parquet(f"{staged}/bars")
-    incomplete = parsed.incomplete
+    normalize_fields(raw.rows, exchange).write.parquet(staged)
+    fields = spark.read.parquet(staged)
+    incomplete = fields.where(~usable_rows(strict))
     if quarantine:
         incomplete.write.mode("append").parquet(quarantine)
     else:
         count = incomplete.count()
         if count:
             raise ContractError(f"{count} incomplete market rows in raw files")
-    return Ingested(spark.read.parquet(f"{staged}/bars"), raw.skipped)
+    rows = fields.where(usable_rows(strict)).drop("unreadable")
+    if exchange_code(exchange) == "BSE":
+        rows = drop_variant_symbols(rows)
+    return Ingested(rows, raw.skipped)
 
 
 def ingest_once(spark: SparkSession, path: str, exchange: str, output: str) -> DataFrame:

@@ -19,7 +19,15 @@ _DIGITS = {name: 4 if name in ("rsi_14", "adx_14") else 6 for name in ft.FEATURE
 
 
 def _rounded(frame, names):
-    return frame.withColumns({n: F.round(n, _DIGITS[n]) for n in names if n in _DIGITS})
+    return frame.withColumns({n: _comparable(n) for n in names if n in _DIGITS})
+
+
+def _comparable(name):
+    # An average starts at a price, which may lie exactly between two rounded decimals:
+    # it is compared to seven significant digits instead.
+    if name == "ema_20":
+        return F.col(name).cast("float").cast("double")
+    return F.round(name, _DIGITS[name])
 
 
 def features_sql(source: str, partition: str) -> str:
@@ -70,6 +78,7 @@ f0 AS (
 
 _FEATURES_SQL = features_sql("bars", "exchange, symbol")
 _ROUND = {n: f"CAST(round({n}, {d}) AS double) AS {n}" for n, d in _DIGITS.items()}
+_ROUND["ema_20"] = "CAST(CAST(ema_20 AS float) AS double) AS ema_20"
 
 
 def _columns_sql(names):
