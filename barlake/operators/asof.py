@@ -32,22 +32,61 @@ def latest_as_of(
     """The last bar of each instrument on or before each as-of date.
 
     A bar is the latest from its own date until the day before the instrument's next
-    one; it is emitted once per as-of date in that interval. Nothing but the result
-    multiplies: the intervals of an instrument do not overlap.
+    one, and is emitted once per as-of date in that interval. The intervals of an
+    instrument do not overlap, so nothing but the result multiplies.
     """
+    # The as-of dates are calendar days: at most a few ten thousand.
+    dates = sorted(row.as_of for row in as_of_dates.select("as_of").distinct().collect())
+    if not dates:
+        return bars.limit(0).withColumn("as_of", F.lit(None).cast("date"))
+    horizon = F.lit(dates[-1])
     order = ("date", *tie_break)
-    horizon = as_of_dates.agg(F.max("as_of").alias("last")).first()["last"]
-    bars = bars.where(F.col("date") <= F.lit(horizon))
-    blocks, was_split = split_series(bars, keys, order, ahead=1, max_rows=max_rows)
+    known = bars.where(F.col("date") <= horizon)
+    blocks, was_split = split_series(known, keys, order, ahead=1, max_rows=max_rows)
     valid = blocks.withColumn("_next", F.lead("date").over(ordered(keys, order)))
     if was_split:
         valid = own_rows(valid)
     # An instrument's last bar serves up to the last as-of date.
-    until = F.least(F.date_sub(F.col("_next"), 1), F.lit(horizon))
+    until = F.least(F.date_sub(F.col("_next"), 1), horizon)
     if lookback_days is not None:
         until = F.least(until, F.date_add("date", lookback_days))
-    days = F.explode(days_between(F.col("date"), until))
+
+    numbered = bars.sparkSession.createDataFrame(list(enumerate(dates)), "_n int, as_of date")
+    served = _first_as_of(dates, bars.sparkSession)
+    first = F.broadcast(served.select(F.col("day").alias("date"), F.col("n").alias("_from")))
+    last = F.broadcast(served.select(F.col("day").alias("_stop"), F.col("n").alias("_to")))
+    # Days before the first as-of date all start at number 0; they need no table row.
+    early = F.lit(dates[0])
+    spans = (
+        valid.withColumn("_stop", F.date_add(until, 1))
+        .join(first, "date", "left")
+        .join(last, "_stop", "left")
+        .withColumn("_from", F.when(F.col("date") <= early, 0).otherwise(F.col("_from")))
+        .withColumn("_to", F.when(F.col("_stop") <= early, 0).otherwise(F.col("_to")))
+        .where(F.col("_from") < F.col("_to"))
+    )
+    numbers = F.explode(F.sequence(F.col("_from"), F.col("_to") - 1))
     return (
-        valid.select(*bars.columns, days.alias("as_of"))
-        .join(as_of_dates.select("as_of").distinct(), "as_of")
+        spans.select(*bars.columns, numbers.alias("_n"))
+        .join(F.broadcast(numbered), "_n")
+        .drop("_n")
+    )
+
+
+def _first_as_of(dates: list, spark) -> DataFrame:
+    """For each day from the first as-of date on, how many as-of dates lie before it.
+
+    One row per calendar day up to the day after the last as-of date.
+    """
+    spans = [
+        (i, dates[i - 1] if i else dates[0], dates[i] if i < len(dates) else dates[-1])
+        for i in range(len(dates) + 1)
+    ]
+    frame = spark.createDataFrame(spans, "n int, after date, upto date")
+    day_after = F.date_add("after", 1)
+    days = (
+        F.when(F.col("n") == 0, F.array("upto"))
+        .when(F.col("n") == len(dates), F.array(day_after))
+        .otherwise(days_between(day_after, F.col("upto")))
     )
+    return frame.select("n", F.explode(days).alias("day"))

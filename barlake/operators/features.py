@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from barlake.functions import smoothing as sm
+from barlake.functions.medians import group_medians
 from barlake.functions.series import (
     BLOCK,
     MAX_SERIES_ROWS,
@@ -372,9 +373,7 @@ def cross_medians(
     features: DataFrame, names: list[str], per: tuple[str, ...] = ("date", "exchange")
 ) -> DataFrame:
     """Exact median of each feature over the instruments of a date and exchange."""
-    return features.groupBy(*per).agg(
-        *[F.percentile(name, F.lit(0.5)).alias(f"median_{name}") for name in names]
-    )
+    return group_medians(features, per, names)
 
 
 def leadership(features: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from barlake.operators.asof import lookback_slices
 from barlake.operators.decisions import decision_frame, fill_payload
 from barlake.operators.features import feature_frame
 from barlake.schema import ContractError
-from barlake.sources.bars import trading_dates
+from barlake.sources.bars import date_window, trading_dates
 
 # A declarative strategy: (bars or features, as-of dates) -> decisions of all dates.
 Strategy = Callable[[DataFrame, DataFrame], DataFrame]
@@ -43,7 +43,9 @@ def run_backtest(
     """Decisions of a declarative strategy on every decision date, as one plan."""
     as_of = decision_dates(bars, start=start, end=end, dates=dates)
     known = bars if end is None else bars.where(F.col("date") <= F.lit(end))
-    decided = decision_frame(strategy(known, as_of))
+    decided = date_window(decision_frame(strategy(known, as_of)), start, end)
+    if dates is None:
+        return decided
     return decided.join(as_of.select(F.col("as_of").alias("date")), "date", "left_semi")
 
 

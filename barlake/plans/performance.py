@@ -10,12 +10,23 @@ from pyspark.sql import DataFrame, Window, functions as F
 from barlake.functions.series import MAX_SERIES_ROWS
 from barlake.operators.returns import forward_returns
 from barlake.schema import PERFORMANCE, conform
+from barlake.session import scratch_dir
 
 
 @dataclass(frozen=True)
 class Performance:
-    daily: DataFrame
-    summary: DataFrame
+    """Two views of one curve; ``write_performance`` computes the curve once for both."""
+
+    curve: DataFrame
+    listed: DataFrame | None = None
+
+    @property
+    def daily(self) -> DataFrame:
+        return daily_performance(self.curve)
+
+    @property
+    def summary(self) -> DataFrame:
+        return performance_summary(self.curve, self.listed)
 
 
 def realized_rows(decisions: DataFrame, returns: DataFrame) -> DataFrame:
@@ -128,8 +139,9 @@ def strategy_performance(
     strategies and adds an empty summary for those without decisions. The calendar of a
     strategy is that of its smallest exchange code unless ``primary_exchange`` is given.
     """
+    listed = None
     if strategies is not None:
-        listed = strategies.select("strategy_id").distinct()
+        listed = strategies.select("strategy_id", F.lit(decision_kind).alias("decision_kind")).distinct()
         decisions = decisions.join(listed, "strategy_id", "left_semi")
     if price_end is not None:
         bars = bars.where(F.col("date") <= F.lit(price_end))
@@ -137,38 +149,39 @@ def strategy_performance(
     curve = _daily_curve(decisions, returns, exchange_calendars(bars), primary_exchange)
     curve = with_equity(curve).withColumn("decision_kind", F.lit(decision_kind))
 
+    return Performance(curve, listed)
+
+
+def daily_performance(curve: DataFrame) -> DataFrame:
     cash = F.greatest(F.lit(0.0), 1 - F.col("invested_weight"))
-    daily = conform(
-        curve.where(F.col("date").isNotNull()).withColumn("cash_weight", cash), PERFORMANCE
-    )
-    has_dates = F.count("date") > 0
+    dated = curve.where(F.col("date").isNotNull())
+    return conform(dated.withColumn("cash_weight", cash), PERFORMANCE)
+
+
+def performance_summary(curve: DataFrame, listed: DataFrame | None = None) -> DataFrame:
+    """One row per strategy; those ``listed`` without decisions get an empty one."""
+    dated = F.col("date").isNotNull()
     summary = curve.groupBy("strategy_id", "decision_kind").agg(
         F.max("rows").alias("rows"),
         F.count("date").alias("realized_dates"),
-        F.count_if(F.col("date").isNotNull() & F.col("realized")).alias("n_realized"),
+        F.count_if(dated & F.col("realized")).alias("n_realized"),
         F.max("date").alias("latest_realized_date"),
         F.coalesce(F.max_by("cumulative_multiple", "date"), F.lit(1.0)).alias("final_multiple"),
-        F.coalesce(F.min(F.when(F.col("date").isNotNull(), F.col("drawdown"))), F.lit(0.0)).alias(
-            "max_drawdown"
-        ),
-        F.when(has_dates, F.max("primary_exchange")).alias("primary_exchange"),
+        F.coalesce(F.min(F.when(dated, F.col("drawdown"))), F.lit(0.0)).alias("max_drawdown"),
+        F.when(F.count("date") > 0, F.max("primary_exchange")).alias("primary_exchange"),
     )
-    if strategies is not None:
-        summary = listed.join(summary, "strategy_id", "left").withColumns(
-            {
-                "decision_kind": F.lit(decision_kind),
-                "rows": F.coalesce("rows", F.lit(0)),
-                "realized_dates": F.coalesce("realized_dates", F.lit(0)),
-                "n_realized": F.coalesce("n_realized", F.lit(0)),
-                "final_multiple": F.coalesce("final_multiple", F.lit(1.0)),
-                "max_drawdown": F.coalesce("max_drawdown", F.lit(0.0)),
-            }
-        )
-    return Performance(daily, summary)
+    if listed is None:
+        return summary
+    defaults = {"rows": 0, "realized_dates": 0, "n_realized": 0, "final_multiple": 1.0, "max_drawdown": 0.0}
+    return listed.join(summary, ["strategy_id", "decision_kind"], "left").fillna(defaults)
 
 
 def write_performance(result: Performance, path: str) -> None:
     """Daily rows as parquet per strategy, summaries as JSON."""
+    spark = result.curve.sparkSession
+    staged = scratch_dir(spark, "curve")
+    result.curve.write.parquet(staged)
+    result = Performance(spark.read.parquet(staged), result.listed)
     (
         result.daily.repartition("strategy_id")
         .sortWithinPartitions("strategy_id", "date")

@@ -14,7 +14,7 @@ from barlake.operators.decisions import top_n_by_price
 from barlake.operators.features import feature_frame
 from barlake.operators.returns import forward_returns
 from barlake.plans.backtest import chunk_plan, chunked_features
-from barlake.plans.performance import strategy_performance
+from barlake.plans.performance import strategy_performance, write_performance
 from barlake.queries import ALL
 from barlake.queries.adapter import bars
 from barlake.session import local_session, scratch_dir
@@ -60,8 +60,7 @@ def main() -> None:
     decided = top_n_by_price(table, top_n=5).withColumn("target_weight", F.lit(0.002))
 
     def performance():
-        result = strategy_performance(decided, table)
-        drain(result.daily), drain(result.summary)
+        write_performance(strategy_performance(decided, table), scratch_dir(spark, "performance"))
 
     timed("performance", performance)
     timed("partition_audit", lambda: drain(q.partition_audit(table)))

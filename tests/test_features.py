@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from barlake.functions.medians import group_medians
+from barlake.operators.asof import latest_as_of
 from barlake.operators.features import FEATURES, feature_frame
 from barlake.operators.returns import forward_returns
 from barlake.schema import ContractError
@@ -149,3 +151,36 @@ def test_forward_return_tie_break_across_series(make_bars):
     mixed = forward_returns(bars, series=None).where(F.col("date") == day[0]).orderBy("series")
     # BL sorts before EQ: on one date the BL row is followed by the EQ row.
     assert [r.next_adj_close for r in mixed.collect()] == [100.0, 110.0]
+
+
+def test_group_medians_with_ties_and_gaps(spark):
+    rng = np.random.default_rng(3)
+    rows = [("big", float(v)) for v in rng.integers(0, 40, 3001)] + [("even", v) for v in (1.0, 4.0, 2.0, 9.0)]
+    rows += [("one", 5.0), ("none", None), ("tied", 0.0), ("tied", 0.0), ("tied", 0.0), ("tied", 7.0)]
+    rows += [("wide", float(v)) for v in rng.normal(size=5000)]
+    got = {r.k: r.median_v for r in group_medians(spark.createDataFrame(rows, "k string, v double"), ("k",), ["v"]).collect()}
+    for key in {k for k, _ in rows}:
+        values = [v for k, v in rows if k == key and v is not None]
+        assert got[key] == (float(np.median(values)) if values else None), key
+
+
+@pytest.mark.parametrize("max_rows", [None, 5])
+@pytest.mark.parametrize("lookback", [None, 2])
+def test_latest_as_of_matches_brute_force(spark, make_bars, max_rows, lookback):
+    rng = np.random.default_rng(4)
+    start = date(2026, 1, 1)
+    rows = [
+        (start + timedelta(days=int(d)), s, float(d))
+        for s in ("AAA", "BBB", "CCC") for d in sorted(rng.choice(40, 15, replace=False))
+    ]
+    as_of = [start + timedelta(days=int(d)) for d in (-3, 0, 5, 6, 20, 39, 60)]
+    frame = spark.createDataFrame([(d,) for d in as_of], "as_of date")
+    got = latest_as_of(make_bars(rows), frame, lookback_days=lookback, max_rows=max_rows)
+    expected = set()
+    for day in as_of:
+        for symbol in ("AAA", "BBB", "CCC"):
+            past = [r for r in rows if r[1] == symbol and r[0] <= day]
+            if past and (lookback is None or past[-1][0] >= day - timedelta(days=lookback)):
+                expected.add((day, symbol, past[-1][0]))
+    result = got.select("as_of", "symbol", "date").collect()
+    assert len(result) == len(expected) and set(map(tuple, result)) == expected
