@@ -14,10 +14,12 @@ from barlake.operators.normalize import (
     normalize_fields,
     usable_rows,
 )
+from barlake.operators.manifest import merge_manifest
 from barlake.operators.quality import global_audit, ingest_summary, partition_audit, partition_statistics
 from barlake.schema import (
     BARS,
     EXCHANGES,
+    FETCH_MANIFEST,
     MONTH_KEY,
     PARTITION_MANIFEST,
     ContractError,
@@ -29,12 +31,12 @@ from barlake.session import scratch_dir
 from barlake.sources.bars import present_months
 from barlake.sources.inventory import list_files, with_partition_identity
 from barlake.sources.raw import read_raw
+from barlake.sources.tables import scan_fetch_manifest
 from barlake.storage import (
     delete_path,
     only_months,
     path_exists,
     read_months,
-    replace_months,
     stage_months,
     write_months,
 )
@@ -48,6 +50,7 @@ class Ingested:
 
     rows: DataFrame  # canonical bars plus path and format_id
     skipped: DataFrame  # path, reason: files that held no data
+    staged: tuple[str, ...]  # scratch tables behind the two, to delete when done with them
 
 
 def ingest_files(
@@ -85,16 +88,18 @@ def ingest_files(
     rows = fields.where(usable_rows(strict)).drop("unreadable")
     if exchange_code(exchange) == "BSE":
         rows = drop_variant_symbols(rows)
-    return Ingested(rows, raw.skipped)
+    return Ingested(rows, raw.skipped, (staged, raw.staged))
 
 
 def ingest_once(spark: SparkSession, path: str, exchange: str, output: str) -> DataFrame:
     """Raw files to one flat bar table; repeated full rows merge. Returns the summary."""
-    bars = distinct_bars(ingest_files(spark, path, exchange).rows)
-    staged = stage_months(bars, spark, "flat")
+    ingested = ingest_files(spark, path, exchange)
+    staged = stage_months(distinct_bars(ingested.rows), spark, "flat")
     assert_bars(read_months(spark, staged))
     flat = conform(read_months(spark, staged), BARS)
     flat.write.mode("overwrite").parquet(output)
+    for scratch in (staged, *ingested.staged):
+        delete_path(spark, scratch)
     return ingest_summary(spark.read.parquet(output))
 
 
@@ -173,7 +178,11 @@ def store_bars(
     staged = stage_months(bars, spark, "history")
     new = read_months(spark, staged)
     assert_bars(new)
+    _store_checked(spark, new, path, mode, exists, exchanges, partition)
+    delete_path(spark, staged)
 
+
+def _store_checked(spark, new, path, mode, exists, exchanges, partition) -> None:
     if mode in ("create", "clean"):
         partial = exists and len(exchanges) < len(EXCHANGES)
         if not partial:
@@ -217,11 +226,28 @@ def build_history(
         own = f"{input_path}/{exchange}"
         path = (sources or {}).get(exchange) or (own if path_exists(spark, own) else input_path)
         parts.append(
-            ingest_files(spark, path, exchange, quarantine=quarantine, allow_skipped=True).rows
+            ingest_files(spark, path, exchange, quarantine=quarantine, allow_skipped=True)
         )
-    rows = reduce(DataFrame.unionByName, parts)
+    rows = reduce(DataFrame.unionByName, [part.rows for part in parts])
     store_bars(spark, rows, output, mode=mode, exchanges=exchanges, partition=partition)
-    return partition_manifest(spark, output, source_files(rows), status="built")
+    # The manifest is small and outlives the scratch tables it is computed from.
+    manifest = scratch_dir(spark, "manifest")
+    partition_manifest(spark, output, source_files(rows), status="built").write.parquet(manifest)
+    for scratch in [path for part in parts for path in part.staged]:
+        delete_path(spark, scratch)
+    return spark.read.schema(PARTITION_MANIFEST).parquet(manifest)
+
+
+def store_fetch_manifest(spark: SparkSession, new: DataFrame, path: str) -> DataFrame:
+    """Merge manifest rows into the stored manifest and return it."""
+    merged = conform(new, FETCH_MANIFEST)
+    if path_exists(spark, path):
+        merged = merge_manifest(scan_fetch_manifest(spark, path), merged)
+    staged = scratch_dir(spark, "fetch-manifest")
+    merged.write.parquet(staged)
+    spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+    delete_path(spark, staged)
+    return scan_fetch_manifest(spark, path)
 
 
 def audit_history(spark: SparkSession, path: str, report: str | None = None):

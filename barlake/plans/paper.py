@@ -11,6 +11,7 @@ from barlake.operators.decisions import append_decisions, assert_decisions
 from barlake.plans.backtest import Strategy, decision_dates
 from barlake.session import scratch_dir
 from barlake.sources.tables import active_strategies, empty_decisions, scan_decisions
+from barlake.storage import delete_path
 
 
 def write_decisions(decisions: DataFrame, path: str) -> None:
@@ -25,6 +26,7 @@ def write_decisions(decisions: DataFrame, path: str) -> None:
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("strategy_id").parquet(path)
     )
+    delete_path(spark, staged)
 
 
 def decide_today(

@@ -11,6 +11,7 @@ from barlake.functions.series import MAX_SERIES_ROWS
 from barlake.operators.returns import forward_returns
 from barlake.schema import PERFORMANCE, conform
 from barlake.session import scratch_dir
+from barlake.storage import delete_path
 
 
 @dataclass(frozen=True)
@@ -145,7 +146,11 @@ def strategy_performance(
         decisions = decisions.join(listed, "strategy_id", "left_semi")
     if price_end is not None:
         bars = bars.where(F.col("date") <= F.lit(price_end))
-    returns = forward_returns(bars, series=series, max_rows=max_rows)
+    # Only decided instruments need returns. The semi-join has the keys of the window
+    # behind the returns, so it adds no shuffle of the bars.
+    decided = decisions.select("exchange", "isin").distinct()
+    priced = bars.join(decided, ["exchange", "isin"], "left_semi")
+    returns = forward_returns(priced, series=series, max_rows=max_rows)
     curve = _daily_curve(decisions, returns, exchange_calendars(bars), primary_exchange)
     curve = with_equity(curve).withColumn("decision_kind", F.lit(decision_kind))
 
@@ -190,6 +195,7 @@ def write_performance(result: Performance, path: str) -> None:
         .parquet(f"{path}/daily")
     )
     result.summary.write.mode("overwrite").json(f"{path}/summary")
+    delete_path(spark, staged)
 
 
 def growth_statistics(daily: DataFrame) -> DataFrame:

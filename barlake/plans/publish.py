@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from barlake.operators.manifest import assert_resolved, changed_partitions, sync_status
 from barlake.schema import MONTH_KEY, ContractError, month_path, require_columns
 from barlake.session import scratch_dir
-from barlake.storage import only_months, path_exists, read_months, write_months
+from barlake.storage import delete_path, only_months, path_exists, read_months, write_months
 
 _INVENTORY = "exchange string, year int, month int, object_key string, size bigint, etag string"
 
@@ -58,4 +58,5 @@ def publish_history(
     staged = scratch_dir(spark, "inventory")
     merged.write.parquet(staged)
     spark.read.schema(_INVENTORY).parquet(staged).write.mode("overwrite").parquet(f"{target}/_inventory")
+    delete_path(spark, staged)
     return months

@@ -121,8 +121,9 @@ def upsert_bars(
         return []
     if path_exists(spark, path):
         existing = only_months(read_months(spark, path), months)
-        merged = merge_day(existing, refreshed, mode=mode)
-        replace_months(spark, stage_months(merged, spark, "upsert"), path)
+        staged = stage_months(merge_day(existing, refreshed, mode=mode), spark, "upsert")
+        replace_months(spark, staged, path)
+        delete_path(spark, staged)
     else:
         write_months(refreshed, path)
     return months

@@ -16,10 +16,10 @@ from pyspark.sql.streaming import StreamingQuery
 from barlake.operators.decisions import append_decisions
 from barlake.operators.quality import invalid_ohlc
 from barlake.plans.paper import write_decisions
-from barlake.schema import BAR_KEY, BAR_REQUIRED, conform, DECISIONS
+from barlake.schema import BAR_KEY, BAR_REQUIRED, DECISIONS, conform
 from barlake.session import scratch_dir
 from barlake.sources.tables import scan_decisions
-from barlake.storage import keep_last, upsert_bars
+from barlake.storage import delete_path, keep_last, upsert_bars
 
 
 def stream_files(
@@ -56,6 +56,7 @@ def ingest_bars(
         staged = scratch_dir(spark, f"batch-{batch_id}")
         keep_last(batch, BAR_KEY, recency).write.parquet(staged)
         upsert_bars(spark, spark.read.parquet(staged), table, mode=mode)
+        delete_path(spark, staged)
 
     return run_batches(bars, merge, checkpoint)
 
@@ -71,6 +72,7 @@ def append_decision_stream(decisions: DataFrame, table: str, checkpoint: str) ->
         ids = today.select("strategy_id").distinct()
         stored = scan_decisions(spark, table).join(ids, "strategy_id", "left_semi")
         write_decisions(append_decisions(stored, today), table)
+        delete_path(spark, staged)
 
     return run_batches(decisions, append, checkpoint)
 

@@ -8,22 +8,23 @@ from __future__ import annotations
 import json
 import os
 import time
+from datetime import date
+
+from pyspark.sql import functions as F
 
 from barlake.operators import quality as q
 from barlake.operators.decisions import top_n_by_price
 from barlake.operators.features import feature_frame
 from barlake.operators.returns import forward_returns
 from barlake.plans.backtest import chunk_plan, chunked_features
+from barlake.plans.paper import write_decisions
 from barlake.plans.performance import strategy_performance, write_performance
 from barlake.queries import ALL
 from barlake.queries.adapter import bars
 from barlake.session import local_session, scratch_dir
 from barlake.sources.bars import filter_bars, trading_dates
+from barlake.sources.tables import scan_decisions
 from barlake.storage import read_months, upsert_bars, write_months
-from datetime import date
-
-from pyspark.sql import functions as F
-
 
 def drain(df) -> None:
     """Compute every row without keeping any."""
@@ -57,7 +58,9 @@ def main() -> None:
     timed("feature_frame", lambda: drain(feature_frame(table)))
     plan = chunk_plan(table.select("date"), chunk_size=252, warmup_days=120)
     timed("chunked_features", lambda: drain(chunked_features(table, plan)))
-    decided = top_n_by_price(table, top_n=5).withColumn("target_weight", F.lit(0.002))
+    stored = scratch_dir(spark, "decisions")
+    timed("backtest_stored", lambda: write_decisions(top_n_by_price(table, top_n=5), stored))
+    decided = scan_decisions(spark, stored).withColumn("target_weight", F.lit(0.002))
 
     def performance():
         write_performance(strategy_performance(decided, table), scratch_dir(spark, "performance"))

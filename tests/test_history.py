@@ -279,6 +279,15 @@ def test_fetch_manifest_from_present_files(spark, tmp_path):
     rows = {r.date.day: r for r in manifest.collect()}
     assert (rows[2].status, rows[2].last_error, len(rows[2].sha256)) == ("downloaded", "", 64)
     assert rows[2].bytes > 0 and rows[3].status == "expected" and rows[3].bytes is None
+    stored = str(tmp_path / "manifest")
+    h.store_fetch_manifest(spark, manifest, stored)
+    other = manifest.where(F.day("date") == 3).withColumns(
+        {"exchange": F.lit("BSE"), "status": F.lit("failed")}
+    )
+    assert h.store_fetch_manifest(spark, other, stored).count() == 3
+    again = h.store_fetch_manifest(spark, manifest.withColumn("attempts", F.lit(2)), stored)
+    assert again.count() == 3
+    assert {r.attempts for r in again.where("exchange = 'NSE'").collect()} == {2}
     sources = usable_sources(manifest, "NSE")
     assert missing_sources(sources.select(F.regexp_replace("local_path", "^file:/*", "/").alias("local_path")), list_files(spark, path)).isEmpty()
     gone = spark.createDataFrame([("/nowhere.csv",)], "local_path string")
