@@ -51,7 +51,7 @@ def _unreadable() -> Column:
 
 
 def normalize_fields(rows: DataFrame, exchange: str) -> DataFrame:
-    """Named text fields to canonical bars, with ``path``, ``format_id`` and ``unreadable``.
+    """Named text fields to canonical bars, with ``path`` and ``unreadable``.
 
     Prices are not adjusted: ``adj_*`` repeat the raw prices with factor 1. A field that
     is not a number becomes NULL and marks its row ``unreadable``.
@@ -79,7 +79,7 @@ def normalize_fields(rows: DataFrame, exchange: str) -> DataFrame:
     }
     return rows.select(
         *[canonical[name].alias(name) for name in BARS.names],
-        "path", "format_id", _unreadable().alias("unreadable"),
+        "path", _unreadable().alias("unreadable"),
     )
 
 

@@ -48,7 +48,8 @@ MODES = ("create", "clean", "incremental", "only_missing", "repair")
 class Ingested:
     """Bars parsed from raw files, written to scratch once and read from there."""
 
-    rows: DataFrame  # canonical bars plus path and format_id
+    rows: DataFrame  # canonical bars plus the path of their file
+    files: DataFrame  # path, format_id
     skipped: DataFrame  # path, reason: files that held no data
     staged: tuple[str, ...]  # scratch tables behind the two, to delete when done with them
 
@@ -88,7 +89,8 @@ def ingest_files(
     rows = fields.where(usable_rows(strict)).drop("unreadable")
     if exchange_code(exchange) == "BSE":
         rows = drop_variant_symbols(rows)
-    return Ingested(rows, raw.skipped, (staged, raw.staged))
+    files = raw.files.select("path", "format_id")
+    return Ingested(rows, files, raw.skipped, (staged, raw.staged))
 
 
 def ingest_once(spark: SparkSession, path: str, exchange: str, output: str) -> DataFrame:
@@ -103,9 +105,9 @@ def ingest_once(spark: SparkSession, path: str, exchange: str, output: str) -> D
     return ingest_summary(spark.read.parquet(output))
 
 
-def source_files(rows: DataFrame) -> DataFrame:
+def source_files(rows: DataFrame, files: DataFrame) -> DataFrame:
     """Raw files and formats that fed each month: at most a file per day and format."""
-    months = add_month_columns(rows).select(*MONTH_KEY, "path", "format_id").distinct()
+    months = add_month_columns(rows).select(*MONTH_KEY, "path").distinct().join(files, "path", "left")
     return months.groupBy(*MONTH_KEY).agg(
         F.array_sort(F.collect_set("path")).alias("source_raw_files"),
         F.array_sort(F.collect_set("format_id")).alias("format_ids"),
@@ -232,7 +234,9 @@ def build_history(
     store_bars(spark, rows, output, mode=mode, exchanges=exchanges, partition=partition)
     # The manifest is small and outlives the scratch tables it is computed from.
     manifest = scratch_dir(spark, "manifest")
-    partition_manifest(spark, output, source_files(rows), status="built").write.parquet(manifest)
+    files = reduce(DataFrame.unionByName, [part.files for part in parts])
+    sources = source_files(rows, files)
+    partition_manifest(spark, output, sources, status="built").write.parquet(manifest)
     for scratch in [path for part in parts for path in part.staged]:
         delete_path(spark, scratch)
     return spark.read.schema(PARTITION_MANIFEST).parquet(manifest)

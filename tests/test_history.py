@@ -44,10 +44,12 @@ def rows_of(spark, path, exchange="NSE", **options):
 
 def test_legacy_zip(spark, tmp_path):
     path = put(tmp_path, "cm02JAN2026bhav.csv.zip", NSE, nse_row())
-    (row,) = rows_of(spark, path).collect()
+    ingested = h.ingest_files(spark, path, "NSE")
+    (row,) = ingested.rows.collect()
     assert (row.date, row.isin, row.symbol, row.series) == (date(2026, 1, 2), "INE1", "ABC", "EQ")
+    assert [f.format_id for f in ingested.files.collect()] == ["nse_legacy_cm_bhavcopy_v1"]
     assert (row.vwap, row.adj_factor, row.adj_close, row.trades) == (100.5, 1.0, 100.5, 10)
-    assert row.deliverable_qty is None and row.format_id == "nse_legacy_cm_bhavcopy_v1"
+    assert row.deliverable_qty is None
 
 
 def test_old_file_without_isin_and_trades(spark, tmp_path):
@@ -57,6 +59,16 @@ def test_old_file_without_isin_and_trades(spark, tmp_path):
     assert (row.isin, row.date, row.trades) == ("ABC", date(1996, 4, 1), None)
 
 
+def test_headers_may_differ_between_files_and_have_nameless_columns(spark, tmp_path):
+    put(tmp_path, "cm02JAN2026bhav.csv", NSE, nse_row())
+    fields = "SERIES,SYMBOL,,OPEN,HIGH,LOW,CLOSE,PREV CLOSE,TOT_TRD_QTY,TOTTRDVAL,TIMESTAMP,isin"
+    put(tmp_path, "cm05JAN2026bhav.csv.zip", "", fields, "EQ,XYZ,x,1,2,1,2,1,10,20,05-JAN-2026,INE7")
+    put(tmp_path, "cm06JAN2026bhav.csv", NSE)  # a header only
+    path = put(tmp_path, "cm07JAN2026bhav.csv", "\ufeff" + fields, "EQ,XYZ,x,1,2,1,2,1,10,20,07-JAN-2026,INE7")
+    rows = {(r.symbol, r.date.day): (r.close, r.isin) for r in rows_of(spark, path).collect()}
+    assert rows == {("ABC", 2): (100.5, "INE1"), ("XYZ", 5): (2.0, "INE7"), ("XYZ", 7): (2.0, "INE7")}
+
+
 def test_two_digit_year(spark, tmp_path):
     path = put(tmp_path, "cm13JUL2020bhav.csv", NSE, nse_row(day="13-JUL-20"))
     assert rows_of(spark, path).first().date == date(2020, 7, 13)
@@ -272,7 +284,7 @@ def test_formats(spark):
 
 
 def test_fetch_manifest_from_present_files(spark, tmp_path):
-    path = put(tmp_path, "cm02JAN2024bhav.csv.zip", NSE, nse_row())
+    path = put(tmp_path / "raw", "cm02JAN2024bhav.csv.zip", NSE, nse_row())
     days = spark.createDataFrame([("NSE", date(2024, 1, 2)), ("NSE", date(2024, 1, 3))], "exchange string, date date")
     manifest = build_fetch_manifest(days, formats(spark), list_files(spark, path, digest=True))
     assert manifest.columns == FETCH_MANIFEST.names
