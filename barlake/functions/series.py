@@ -9,6 +9,9 @@ ahead to) into the next block, so that every window result stays exact.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 # Rows of one series handled by one task; a century of daily bars is some 26,000.
@@ -26,21 +29,22 @@ def split_series(
     back: int = 0,
     ahead: int = 0,
     max_rows: int | None = MAX_SERIES_ROWS,
-) -> tuple[DataFrame, bool]:
-    """Add ``_block`` and ``_halo`` and tell whether any key was split.
+) -> list[tuple[DataFrame, bool]]:
+    """The rows in parts, with ``_block`` and ``_halo``; the flag tells a part is in blocks.
 
     ``order`` is unique per key and starts with the date. One counting job decides:
-    when no key exceeds ``max_rows`` nothing is moved and every key is block 0.
+    when no key exceeds ``max_rows`` there is one part, nothing is moved and every key
+    is block 0. Else the oversized keys form a second part, cut into blocks.
     ``max_rows=None`` skips the count for input whose keys are bounded by construction.
     """
     whole = df.withColumns({BLOCK: F.lit(0).cast("bigint"), HALO: F.lit(False)})
     if max_rows is None:
-        return whole, False
+        return [(whole, False)]
     if max_rows <= max(back, ahead):
         raise ValueError("max_rows must exceed the rows a frame reaches")
     oversized = df.groupBy(*keys).count().where(F.col("count") > max_rows).select(*keys)
     if oversized.isEmpty():
-        return whole, False
+        return [(whole, False)]
 
     # Position of a row = rows on earlier dates + rank within its date. Counts per
     # (key, date) are aggregated map-side; the running total has one row per date.
@@ -79,8 +83,7 @@ def split_series(
     blocks = placed.withColumn("_copy", F.explode(F.array_compact(F.array(*copies)))).select(
         *[F.col(name) for name in df.columns], "_copy.*"
     )
-    cold = whole.join(oversized, list(keys), "left_anti")
-    return cold.unionByName(blocks), True
+    return [(whole.join(oversized, list(keys), "left_anti"), False), (blocks, True)]
 
 
 def own_rows(df: DataFrame) -> DataFrame:
@@ -88,6 +91,14 @@ def own_rows(df: DataFrame) -> DataFrame:
     return df.where(~F.col(HALO)).drop(HALO)
 
 
+def over_series(
+    parts: list[tuple[DataFrame, bool]], compute: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Add window columns to each part and put the parts together again."""
+    done = [own_rows(compute(part)) if in_blocks else compute(part).drop(HALO) for part, in_blocks in parts]
+    return reduce(DataFrame.unionByName, done)
+
+
 def ordered(keys: tuple[str, ...], order: tuple[str, ...]) -> WindowSpec:
     return Window.partitionBy(*keys, BLOCK).orderBy(*order)
 

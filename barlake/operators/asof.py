@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from barlake.functions.dates import days_between
-from barlake.functions.series import MAX_SERIES_ROWS, ordered, own_rows, split_series
+from barlake.functions.series import MAX_SERIES_ROWS, ordered, over_series, split_series
 
 
 def lookback_slices(bars: DataFrame, as_of_dates: DataFrame, lookback_days: int) -> DataFrame:
@@ -42,10 +42,11 @@ def latest_as_of(
     horizon = F.lit(dates[-1])
     order = ("date", *tie_break)
     known = bars.where(F.col("date") <= horizon)
-    blocks, was_split = split_series(known, keys, order, ahead=1, max_rows=max_rows)
-    valid = blocks.withColumn("_next", F.lead("date").over(ordered(keys, order)))
-    if was_split:
-        valid = own_rows(valid)
+    following = F.lead("date").over(ordered(keys, order))
+    valid = over_series(
+        split_series(known, keys, order, ahead=1, max_rows=max_rows),
+        lambda part: part.withColumn("_next", following),
+    )
     # An instrument's last bar serves up to the last as-of date.
     until = F.least(F.date_sub(F.col("_next"), 1), horizon)
     if lookback_days is not None:

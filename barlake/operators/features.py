@@ -9,6 +9,7 @@ into blocks first, and the recursive averages are chained across its blocks.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -130,7 +131,7 @@ def feature_frame(
 
     keys = ("exchange", "symbol", *extra_keys)
     rows = bars if series is None else bars.where(F.col("series") == series)
-    blocks, was_split = split_series(rows, keys, _ORDER, back=_BACK, max_rows=max_rows)
+    parts = split_series(rows, keys, _ORDER, back=_BACK, max_rows=max_rows)
     w = ordered(keys, _ORDER)
 
     base = [name for name in carried if name in need]
@@ -140,19 +141,19 @@ def feature_frame(
 
     simple = {n: c for n, c in _window_features(w).items() if n in need}
     signals = {f"_{n}": c for n, c in _signals(w).items() if n in signal_names}
-    frame = blocks.withColumns({**simple, **signals})
-    if "realized_vol_20" in need:
-        frame = frame.withColumn("realized_vol_20", _volatility(w))
     kept = base + [n for n in FEATURES if n in simple or n == "realized_vol_20" and n in need]
 
-    if smoothed or medians:
-        if was_split:
-            frame = _chain_blocks(frame, keys, w, kept, smoothed, medians, list(signals))
-        else:
-            frame = _arrow_pass(frame, keys, w, kept, smoothed, medians, list(signals))
-    elif was_split:
-        frame = own_rows(frame)
-
+    def compute(part: DataFrame, in_blocks: bool) -> DataFrame:
+        part = part.withColumns({**simple, **signals})
+        if "realized_vol_20" in need:
+            part = part.withColumn("realized_vol_20", _volatility(w))
+        if in_blocks:
+            part = _chain_blocks(part, keys, w, kept, smoothed, medians, list(signals))
+        elif smoothed or medians:
+            part = _arrow_pass(part, keys, kept, smoothed, medians, list(signals))
+        return part.select(*kept, *smoothed, *medians)
+
+    frame = reduce(DataFrame.unionByName, [compute(part, in_blocks) for part, in_blocks in parts])
     ema = {
         "ema_trend_20": F.try_divide(F.col("adj_close"), F.col("ema_20")) - 1,
         "is_above_ema_20": F.when(F.col("adj_close") > F.col("ema_20"), 1.0).otherwise(0.0),
@@ -220,7 +221,7 @@ def _smooth(table, run, smoothed, carry_of=lambda signal: None) -> dict[str, np.
     return out
 
 
-def _arrow_pass(frame, keys, w, kept, smoothed, medians, signals) -> DataFrame:
+def _arrow_pass(frame, keys, kept, smoothed, medians, signals) -> DataFrame:
     """All recursive features and medians of series that fit one task."""
     inputs = kept + signals
     frame = frame.withColumn("_turnover", F.col("turnover")) if medians else frame

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from barlake.functions.series import MAX_SERIES_ROWS, ordered, own_rows, split_series
+from barlake.functions.series import MAX_SERIES_ROWS, ordered, over_series, split_series
 
 _KEYS = ("exchange", "isin")
 _ORDER = ("date", "series", "symbol")
@@ -20,11 +20,11 @@ def forward_returns(
     """
     rows = bars if series is None else bars.where(F.col("series") == series)
     rows = rows.select("date", "exchange", "isin", "symbol", "series", "adj_close")
-    blocks, was_split = split_series(rows, _KEYS, _ORDER, ahead=1, max_rows=max_rows)
     following = F.lead("adj_close").over(ordered(_KEYS, _ORDER))
-    priced = blocks.withColumn("next_adj_close", following)
-    if was_split:
-        priced = own_rows(priced)
+    priced = over_series(
+        split_series(rows, _KEYS, _ORDER, ahead=1, max_rows=max_rows),
+        lambda part: part.withColumn("next_adj_close", following),
+    )
     return priced.select(
         "date", "exchange", "isin", "symbol", "series", "adj_close", "next_adj_close",
         (F.try_divide("next_adj_close", "adj_close") - 1).alias("forward_return"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from barlake.schema import BAR_KEY, BAR_ORDER, BARS, MONTH_KEY, add_month_columns, conform
@@ -81,14 +83,20 @@ def merge_day(existing: DataFrame, refreshed: DataFrame, *, mode: str = "upsert"
     """Existing bars with refreshed ones put in by key.
 
     ``upsert`` keeps bars of a refreshed day that the new data lacks; ``replace_day``
-    drops them. Only keys of the refreshed rows are compared: the existing rows are
-    never re-sorted or de-duplicated, since their key is unique already.
+    drops them. Bars of other days pass through unshuffled; only those of refreshed days
+    are compared by key. The refreshed days are at most exchanges x calendar days, small
+    enough for every executor.
     """
     if mode not in ("upsert", "replace_day"):
         raise ValueError(f"unknown merge mode: {mode}")
-    on = list(BAR_KEY) if mode == "upsert" else ["exchange", "date"]
-    kept = existing.join(refreshed.select(on).distinct(), on, "left_anti")
-    return conform(kept, BARS).unionByName(conform(refreshed, BARS))
+    day = ["exchange", "date"]
+    days = F.broadcast(refreshed.select(*day).distinct())
+    merged = [existing.join(days, day, "left_anti"), refreshed]
+    if mode == "upsert":
+        keys = refreshed.select(*BAR_KEY).distinct()
+        same_day = existing.join(days, day, "left_semi")
+        merged.append(same_day.join(keys, list(BAR_KEY), "left_anti"))
+    return reduce(DataFrame.unionByName, [conform(rows, BARS) for rows in merged])
 
 
 def touched_months(rows: DataFrame) -> list[tuple[str, int, int]]:
