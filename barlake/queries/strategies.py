@@ -53,7 +53,20 @@ def realized_by_date(spark, sf_dir):
 
 
 def _rounded(frame, *names):
-    return frame.withColumns({n: F.round(n, 6) for n in names})
+    # A multiple may reach many digits before the point: seven significant ones count.
+    return frame.withColumns(
+        {
+            n: F.col(n).cast("float").cast("double") if n.endswith("_multiple") else F.round(n, 6)
+            for n in names
+        }
+    )
+
+
+def _rounded_sql(name, value=None):
+    value = value or name
+    if name.endswith("_multiple"):
+        return f"CAST(CAST({value} AS float) AS double) AS {name}"
+    return f"round({value}, 6) AS {name}"
 
 
 def _performance(spark, sf_dir):
@@ -77,7 +90,7 @@ def _projection(*names):
         daily = _performance(spark, sf_dir).daily.select("strategy_id", "date", *names)
         return _rounded(daily, *names)
 
-    sql = ", ".join(f"round({n}, 6) AS {n}" for n in names)
+    sql = ", ".join(map(_rounded_sql, names))
     return run, a.with_sql(a.DECISIONS_SQL, _PERF_SQL, select=f"SELECT strategy_id, date, {sql} FROM curve")
 
 
@@ -206,12 +219,12 @@ FROM realized""")),
     "drawdown_curve": _projection("drawdown"),
     "performance_daily": (performance_daily, a.with_sql(a.DECISIONS_SQL, _PERF_SQL, select=f"""
 SELECT date, strategy_id, 'backtest' AS decision_kind,
-  {", ".join(f"round({n}, 6) AS {n}" for n in _NUMBERS)} FROM curve""")),
-    "performance_summary": (performance_summary, a.with_sql(a.DECISIONS_SQL, _PERF_SQL, select="""
+  {", ".join(map(_rounded_sql, _NUMBERS))} FROM curve""")),
+    "performance_summary": (performance_summary, a.with_sql(a.DECISIONS_SQL, _PERF_SQL, select=f"""
 SELECT c.strategy_id, 'backtest' AS decision_kind,
   (SELECT count(*) FROM decisions d WHERE d.strategy_id = c.strategy_id) AS rows,
   count(*) AS realized_dates, count(*) FILTER (WHERE hit) AS n_realized, max(date) AS latest_realized_date,
-  round(arg_max(cumulative_multiple, date), 6) AS final_multiple, round(min(drawdown), 6) AS max_drawdown,
+  {_rounded_sql("final_multiple", "arg_max(cumulative_multiple, date)")}, round(min(drawdown), 6) AS max_drawdown,
   max(primary_exchange) AS primary_exchange
 FROM curve c GROUP BY c.strategy_id""")),
     "cagr_sharpe": (cagr_sharpe, a.with_sql(a.DECISIONS_SQL, _PERF_SQL, select="""
