@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from barlake.llm import chat_queries, dedup_queries, leak_queries, license_queries, secret_queries
+from barlake.llm import chat_queries, dedup_queries, leak_queries, license_queries, secret_queries, simhash_queries
 
 ALL: dict = {}
-for module in (chat_queries, leak_queries, secret_queries, license_queries, dedup_queries):
+for module in (chat_queries, leak_queries, secret_queries, simhash_queries, license_queries, dedup_queries):
     ALL |= module.ALL
