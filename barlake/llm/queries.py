@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from barlake.llm import chat_queries, dedup_queries, leak_queries, license_queries, pii_queries, secret_queries, simhash_queries
+from barlake.llm import (
+    chat_queries, crf_queries, dedup_queries, leak_queries, license_queries, pii_queries, secret_queries, simhash_queries,
+)
 
 ALL: dict = {}
-for module in (chat_queries, leak_queries, secret_queries, pii_queries, simhash_queries, license_queries, dedup_queries):
+for module in (
+    crf_queries, chat_queries, leak_queries, secret_queries, pii_queries, simhash_queries, license_queries, dedup_queries,
+):
     ALL |= module.ALL
