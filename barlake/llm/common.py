@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from barlake.session import scratch_dir
 
@@ -61,3 +61,28 @@ def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         total += size
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def text_hash() -> Column:
+    """With the doc_id, what tells rows apart."""
+    return F.xxhash64("text").alias("text_hash")
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_hash": text_hash()})
+
+
+def _key(keys: DataFrame) -> DataFrame:
+    return keys.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+
+
+def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """One row of ``docs``, with all its columns, for each ``doc_id, text_hash`` of ``keys``."""
+    same = Window.partitionBy("_id", "_hash").orderBy("_hash")
+    kept = _keyed(docs).join(_key(keys), ["_id", "_hash"], "left_semi")
+    return kept.withColumn("_rank", F.row_number().over(same)).where("_rank = 1").select(*docs.columns)
+
+
+def drop_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with none of the ``doc_id, text_hash`` of ``keys``."""
+    return _keyed(docs).join(_key(keys), ["_id", "_hash"], "left_anti").select(*docs.columns)

@@ -7,12 +7,10 @@ is zero form a bucket by suffix hash, and a direct comparison confirms an occurr
 
 from __future__ import annotations
 
-import hashlib
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barlake.llm.common import map_rows, stored, words_of
+from barlake.llm.common import drop_rows, map_rows, stored, text_hash, words_of
 
 WINDOW = 10
 #: Windows of one search table; more windows make more tables, each searched over all documents.
@@ -116,23 +114,24 @@ def _search(docs: DataFrame, patterns: list[tuple[bytes, ...]], items: list[list
             span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
             yield pa.record_batch(
                 [
-                    batch.column("row"), batch.column("doc_id"), pa.array(counts, pa.int64()),
+                    batch.column("row"), batch.column("doc_id"), batch.column("text_hash"), pa.array(counts, pa.int64()),
                     pa.array(runs, pa.list_(span)), pa.array(found, pa.list_(pa.string())),
                 ],
-                ["row", "doc_id", "n_words", "runs", "items"],
+                ["row", "doc_id", "text_hash", "n_words", "runs", "items"],
             )
 
     texts = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
+        text_hash(),
         F.col("text").cast("binary").alias("text"),
     )
-    schema = "row bigint, doc_id bigint, n_words bigint, runs array<struct<start:int,end:int>>, items array<string>"
+    schema = "row bigint, doc_id bigint, text_hash bigint, n_words bigint, runs array<struct<start:int,end:int>>, items array<string>"
     return texts.mapInArrow(over_all, schema)
 
 
 def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *, table_windows: int = TABLE_WINDOWS) -> DataFrame:
-    """One row per document: ``doc_id, n_words, runs, items, n_hit``.
+    """One row per document: ``doc_id, text_hash, n_words, runs, items, n_hit``.
 
     ``runs`` are the maximal runs of words inside an occurrence of a window, ``items`` the items
     whose windows occur, sorted as text. An item of fewer than ten words is one window; an item
@@ -154,6 +153,7 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *,
             hits = hits.unionByName(more)
         hits = hits.groupBy("row").agg(
             F.first("doc_id").alias("doc_id"),
+            F.first("text_hash").alias("text_hash"),
             F.first("n_words").alias("n_words"),
             F.array_sort(F.flatten(F.collect_list("runs"))).alias("runs"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
@@ -165,8 +165,9 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *,
                concat(done, array(r))))"""
         hits = hits.withColumn("runs", F.expr(merged))
     covered = F.expr("aggregate(runs, 0L, (n, r) -> n + r.end - r.start)")
-    return hits.select("doc_id", "n_words", "runs", "items", covered.alias("n_hit"))
+    return hits.select("doc_id", "text_hash", "n_words", "runs", "items", covered.alias("n_hit"))
 
 
-def digest_of(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
+def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents, with all their columns, in which no window of the benchmark occurs."""
+    return drop_rows(docs, contamination(spark, docs, benchmark).where("n_hit > 0"))

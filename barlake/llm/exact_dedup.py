@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barlake.llm.common import ascii_lower, stored
+from barlake.llm.common import ascii_lower, keep_rows, stored, text_hash
 
 RUNS, FAN_IN = 4096, 16
 
@@ -18,9 +18,10 @@ RUNS, FAN_IN = 4096, 16
 def digest_rows(docs: DataFrame) -> DataFrame:
     """One row per document: its number, SHA-256 of the normalised text and two checks of it."""
     text = ascii_lower(F.coalesce("text", F.lit("")))
-    rows = docs.select("doc_id", text.alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = docs.select("doc_id", text_hash(), text.alias("text"), F.monotonically_increasing_id().alias("row"))
     return rows.select(
         "doc_id",
+        "text_hash",
         "row",
         F.unhex(F.sha2("text", 256)).alias("digest"),
         F.octet_length("text").alias("size"),
@@ -48,7 +49,7 @@ def _merge(runs: DataFrame, first: bool = False) -> DataFrame:
 
 
 def exact_groups(spark: SparkSession, docs: DataFrame, *, keep: str = "largest") -> DataFrame:
-    """One row per document: ``doc_id, row, keep_id, group_size, kept, text_sha256``.
+    """One row per document: ``doc_id, text_hash, row, keep_id, group_size, kept, text_sha256``.
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty. The row with the
     largest (or smallest) doc_id stays. A null doc_id ranks below every number; of rows with the
@@ -74,9 +75,15 @@ def exact_groups(spark: SparkSession, docs: DataFrame, *, keep: str = "largest")
     by_run = leaves.select("run", "digest").join(verdict, "digest")
     return rows.join(by_run, ["run", "digest"]).select(
         "doc_id",
+        "text_hash",
         "row",
         (F.col("keep.id") * sign).alias("keep_id"),
         "group_size",
         (F.col("keep.row") == F.col("row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, *, keep: str = "largest") -> DataFrame:
+    """The documents, with all their columns, less the copies of those that stay."""
+    return keep_rows(docs, exact_groups(spark, docs, keep=keep).where("kept"))

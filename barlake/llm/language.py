@@ -263,3 +263,24 @@ def languages_of(docs: DataFrame, model) -> DataFrame:
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(over_all, "doc_id bigint, held_out boolean, lang_pred string, score double, n_words bigint, switches int")
+
+
+def drop_unknown(docs: DataFrame, model, *, least_score: float) -> DataFrame:
+    """The documents, with all their columns, whose language is known with at least that score."""
+
+    def over_all(batches):
+        tagger = Tagger(*model)
+        for batch in batches:
+            kept = []
+            pending: list[list[str]] = []
+            held = 0
+            texts = batch.column("text").to_pylist()
+            for i, text in enumerate(texts):
+                pending.append(_words(text))
+                held += len(pending[-1])
+                if held >= BLOCK_WORDS or i == len(texts) - 1:
+                    kept += [bool(w) and len(m) > 0 and m.max() >= least_score for w, m in zip(pending, tagger.mean_marginals(pending), strict=True)]
+                    pending, held = [], 0
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(over_all, docs.schema)

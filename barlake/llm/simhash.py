@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barlake.llm.common import stored
+from barlake.llm.common import keep_rows, stored, text_hash
 from barlake.llm.components import components
 
 SHINGLE, SEED, BITS = 4, 42, 4
@@ -47,15 +47,16 @@ def fingerprint(text: bytes | None) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fingerprint`` (as a signed number) of every row; a null text has no words."""
+    """``doc_id, text_hash, fingerprint`` (a signed number) of every row; a null text has no words."""
 
     def over_all(batches):
         for batch in batches:
             found = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fingerprint"])
+            columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(found.view(np.int64))]
+            yield pa.record_batch(columns, ["doc_id", "text_hash", "fingerprint"])
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(over_all, "doc_id bigint, fingerprint bigint")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash(), F.col("text").cast("binary").alias("text"))
+    return texts.mapInArrow(over_all, "doc_id bigint, text_hash bigint, fingerprint bigint")
 
 
 def anchors(half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,7 +187,9 @@ def near_links(spark: SparkSession, nodes: DataFrame, *, group_rows: int = GROUP
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, *, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """One row per document: ``doc_id, fingerprint, component_id`` (the smallest doc_id reachable).
+    """One row per document: ``doc_id, text_hash, fingerprint, component_id, root``.
+
+    ``component_id`` is the smallest doc_id reachable, ``root`` a fingerprint that names the component.
 
     Equal fingerprints are one node, so copies never multiply. Null and empty texts have the
     fingerprint 0, linked like any other. Rows are kept as they are, repeated ones too; a null
@@ -200,5 +203,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, *, group_rows: int = G
     )
     roots = stored(spark, roots, "roots")
     firsts = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stored(spark, roots.join(firsts, "root").select("fingerprint", "component_id"), "named")
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    named = stored(spark, roots.join(firsts, "root").select("fingerprint", "component_id", "root"), "named")
+    return prints.join(named, "fingerprint").select("doc_id", "text_hash", "fingerprint", "component_id", "root")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The documents, with all their columns, less all but the first of each component."""
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    first = near_duplicates(spark, docs).groupBy("root").agg(F.min(rank).alias("first"))
+    return keep_rows(docs, first.select("first.doc_id", "first.text_hash"))
