@@ -68,21 +68,23 @@ def text_hash() -> Column:
     return F.xxhash64("text").alias("text_hash")
 
 
-def _keyed(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_hash": text_hash()})
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Each row as one value beside its key, so that no column name can clash."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return docs.select(F.struct("*").alias("document"), name.alias("name"), text_hash())
 
 
 def _key(keys: DataFrame) -> DataFrame:
-    return keys.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    return keys.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("name"), "text_hash").distinct()
 
 
 def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """One row of ``docs``, with all its columns, for each ``doc_id, text_hash`` of ``keys``."""
-    same = Window.partitionBy("_id", "_hash").orderBy("_hash")
-    kept = _keyed(docs).join(_key(keys), ["_id", "_hash"], "left_semi")
-    return kept.withColumn("_rank", F.row_number().over(same)).where("_rank = 1").select(*docs.columns)
+    same = Window.partitionBy("name", "text_hash").orderBy("text_hash")
+    kept = _keyed(docs).join(_key(keys), ["name", "text_hash"], "left_semi")
+    return kept.withColumn("rank", F.row_number().over(same)).where("rank = 1").select("document.*")
 
 
 def drop_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows of ``docs`` with none of the ``doc_id, text_hash`` of ``keys``."""
-    return _keyed(docs).join(_key(keys), ["_id", "_hash"], "left_anti").select(*docs.columns)
+    return _keyed(docs).join(_key(keys), ["name", "text_hash"], "left_anti").select("document.*")

@@ -90,6 +90,8 @@ def train(fragments: list[tuple[str, list[str]]], *, epochs: int = 3, seed: int
     languages = sorted({lang for lang, _ in fragments})
     weights = np.zeros((FEATURES, len(languages)), np.float32)
     transitions = np.zeros((len(languages), len(languages)))
+    if not languages:
+        return languages, weights, transitions
     random = np.random.default_rng(seed)
     by_label = [[words for lang, words in fragments if lang == name] for name in languages]
     squares, pair_squares = np.full_like(weights, 1e-6), np.full_like(transitions, 1e-6)
@@ -190,6 +192,8 @@ class Tagger:
 
     def mean_marginals(self, texts: list[list[str]]) -> np.ndarray:
         """Mean marginals over the words of each text; zeros without words."""
+        if not self.languages:
+            return np.zeros((len(texts), 0))
         coded = self.codes(texts)
         counts = np.fromiter(map(len, coded), np.int64, len(coded))
         chains = -(-counts // CHAIN)

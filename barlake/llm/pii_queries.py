@@ -9,10 +9,11 @@ from barlake.llm.pii import KINDS, pii_spans
 
 
 def op6_pii(spark, sf_dir):
+    def named(kind):
+        return F.transform(kind, lambda s: F.concat_ws(":", F.lit(kind), s["start"], s["end"]))
+
     def written(kinds):
-        return F.array_join(
-            F.concat(*[F.transform(k, lambda s, k=k: F.concat_ws(":", F.lit(k), s["start"], s["end"])) for k in kinds]), ","
-        )
+        return F.array_join(F.concat(*map(named, kinds)), ",")
 
     return pii_spans(spark, table(spark, sf_dir, "documents")).select(
         "doc_id",
