@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from barlake.functions.joins import null_safe_join
+
 # Rank error of the bracketing sketch is 1/1000 of a group; the bracket is ten times wider.
 _ACCURACY = 1_000
 _AROUND = (0.49, 0.51)
@@ -25,7 +27,7 @@ def group_medians(df: DataFrame, keys: tuple[str, ...], names: list[str]) -> Dat
         *per, "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi")
     )
     # One row per distinct value inside the bracket; all values below it share one row.
-    placed = long.where(F.col("_value").isNotNull()).join(groups, per)
+    placed = null_safe_join(long.where(F.col("_value").isNotNull()), groups, per)
     counted = (
         placed.where(F.col("_value") <= F.col("_hi"))
         .withColumn("_value", F.when(F.col("_value") >= F.col("_lo"), F.col("_value")))
@@ -40,7 +42,7 @@ def group_medians(df: DataFrame, keys: tuple[str, ...], names: list[str]) -> Dat
         F.min(F.when(F.col("_rank") >= lower, F.col("_value"))).alias("_l"),
         F.min(F.when(F.col("_rank") >= upper, F.col("_value"))).alias("_u"),
     )
-    medians = groups.select(*per).join(middle, per, "left")
+    medians = null_safe_join(groups.select(*per), middle, per, "left")
     return medians.groupBy(*keys).agg(
         *[
             F.max(F.when(F.col("_name") == n, (F.col("_l") + F.col("_u")) / 2)).alias(f"median_{n}")

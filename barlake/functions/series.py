@@ -14,6 +14,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from barlake.functions.joins import null_safe_join
+
 # Rows of one series handled by one task; a century of daily bars is some 26,000.
 MAX_SERIES_ROWS = 250_000
 
@@ -36,6 +38,7 @@ def split_series(
     when no key exceeds ``max_rows`` there is one part, nothing is moved and every key
     is block 0. Else the oversized keys form a second part, cut into blocks.
     ``max_rows=None`` skips the count for input whose keys are bounded by construction.
+    NULL keys form series like any others and a NULL date comes first, split or not.
     """
     whole = df.withColumns({BLOCK: F.lit(0).cast("bigint"), HALO: F.lit(False)})
     if max_rows is None:
@@ -49,7 +52,7 @@ def split_series(
     # Position of a row = rows on earlier dates + rank within its date. Counts per
     # (key, date) are aggregated map-side; the running total has one row per date.
     day = order[0]
-    hot = df.join(oversized, list(keys), "left_semi")
+    hot = null_safe_join(df, oversized, keys, "left_semi")
     earlier = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
     per_day = (
         hot.groupBy(*keys, day)
@@ -60,7 +63,7 @@ def split_series(
     within = Window.partitionBy(*keys, day).orderBy(*order[1:])
     position = F.col("_before") + F.row_number().over(within) - 1
     placed = (
-        hot.join(per_day, [*keys, day])
+        null_safe_join(hot, per_day, [*keys, day])
         .withColumn("_at", position)
         .withColumn(BLOCK, F.floor(F.col("_at") / max_rows).cast("bigint"))
     )
@@ -83,7 +86,7 @@ def split_series(
     blocks = placed.withColumn("_copy", F.explode(F.array_compact(F.array(*copies)))).select(
         *[F.col(name) for name in df.columns], "_copy.*"
     )
-    return [(whole.join(oversized, list(keys), "left_anti"), False), (blocks, True)]
+    return [(null_safe_join(whole, oversized, keys, "left_anti"), False), (blocks, True)]
 
 
 def own_rows(df: DataFrame) -> DataFrame:

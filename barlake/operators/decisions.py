@@ -75,18 +75,25 @@ def fill_payload(
 
 
 def top_n_by_price(
-    bars: DataFrame, *, top_n: int = 3, strategy_id: str = "top_n_adj_close_v1"
+    bars: DataFrame,
+    *,
+    top_n: int = 3,
+    strategy_id: str = "top_n_adj_close_v1",
+    unique: bool = False,
 ) -> DataFrame:
     """Per date, the N highest adjusted closes of series EQ, equally weighted.
 
-    All dates in one plan. Repeated rows of an instrument are reduced map-side; the
-    rank filter is applied before the shuffle by date, so each task sends at most N
-    rows per date no matter how many bars a date has.
+    All dates in one plan. The rank filter is applied before the shuffle by date, so each
+    task sends at most N rows per date no matter how many bars a date has. Bars that
+    were validated are ``unique`` per instrument and date; others are reduced to one row
+    each first, which shuffles them.
     """
     priced = bars.where((F.col("series") == "EQ") & F.col("adj_close").isNotNull())
-    best = priced.groupBy("date", "exchange", "isin", "symbol").agg(
-        F.max("adj_close").alias("score")
-    )
+    instrument = ["date", "exchange", "isin", "symbol"]
+    if unique:
+        best = priced.select(*instrument, F.col("adj_close").alias("score"))
+    else:
+        best = priced.groupBy(*instrument).agg(F.max("adj_close").alias("score"))
     by_date = Window.partitionBy("date")
     ranking = by_date.orderBy(F.col("score").desc(), "symbol", "exchange", "isin")
     chosen = best.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= top_n)

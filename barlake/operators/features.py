@@ -378,7 +378,10 @@ def cross_medians(
 
 
 def leadership(features: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Return over a benchmark's return on the same date; ``benchmark``: date, benchmark_ret_20."""
-    return features.join(benchmark, "date").withColumn(
+    """Return over a benchmark's return on the same date; ``benchmark``: date, benchmark_ret_20.
+
+    NULL on dates that the benchmark did not trade; no row of ``features`` is lost.
+    """
+    return features.join(benchmark, "date", "left").withColumn(
         "leadership_20", F.col("ret_20") - F.col("benchmark_ret_20")
     )

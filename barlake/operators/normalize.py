@@ -95,13 +95,13 @@ def is_complete() -> Column:
 def drop_variant_symbols(bars: DataFrame) -> DataFrame:
     """Drop ``SYM#`` rows whose key also has a row without ``#``.
 
-    Variants are a thin slice of the rows, so only they and the bare keys are
-    shuffled; plain rows pass straight through.
+    Variants are a thin slice of the rows: plain keys are first cut down to theirs, which
+    lets adaptive execution copy the thin side; plain rows pass straight through.
     """
-    variant = F.col("symbol").endswith("#")
-    plain = bars.where(~variant)
-    kept = bars.where(variant).join(plain.select(*BAR_KEY), list(BAR_KEY), "left_anti")
-    return plain.unionByName(kept)
+    variant = F.coalesce(F.col("symbol").endswith("#"), F.lit(False))
+    plain, thin = bars.where(~variant), bars.where(variant)
+    shadowed = plain.select(*BAR_KEY).join(thin.select(*BAR_KEY).distinct(), list(BAR_KEY), "left_semi")
+    return plain.unionByName(thin.join(shadowed.distinct(), list(BAR_KEY), "left_anti"))
 
 
 def usable_rows(strict: bool = True) -> Column:

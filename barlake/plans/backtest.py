@@ -21,6 +21,8 @@ Strategy = Callable[[DataFrame, DataFrame], DataFrame]
 
 # Rows one call of a black-box strategy may receive.
 MAX_SLICE_ROWS = 5_000_000
+# Parts of the universe that a per-instrument strategy is called on, per date.
+PARTS = 8
 
 
 def decision_dates(
@@ -169,25 +171,27 @@ def blackbox_decisions(
     columns: Iterable[str] | None = None,
     per_instrument: bool = False,
     max_slice_rows: int = MAX_SLICE_ROWS,
+    parts: int = PARTS,
 ) -> DataFrame:
     """Decisions of an opaque Python strategy, ``decide(as_of, runtime)``.
 
     Each call gets the bars (or features) of its look-back and nothing later; it returns
-    None, a list of dicts or a DataFrame. The slices are measured first. A strategy that
-    scores instruments one by one (``per_instrument``) is called on as many parts of the
-    universe as its size asks for, to be ranked over all parts by ``rank_scores``. One
-    that must see the whole universe fails beyond ``max_slice_rows``; rows are never
+    None, a list of dicts or a DataFrame. A strategy that scores instruments one by one
+    (``per_instrument``) is called on ``parts`` of the universe; where it gives no rank,
+    Spark numbers all rows of a date by falling score, symbol, exchange and isin, so that
+    the number of parts never shows. One that must see the whole universe is called once
+    per date, keeps its own order, and fails beyond ``max_slice_rows``; rows are never
     dropped.
     """
     as_of = decision_dates(bars, dates=dates)
-    largest = largest_slice(bars, as_of, lookback_days)
-    # Twice as many parts as needed, since instruments do not spread evenly.
-    parts = 2 * (largest // max_slice_rows) + 1 if per_instrument else 1
-    if not per_instrument and largest > max_slice_rows:
-        raise ContractError(
-            f"a slice has {largest} rows, more than {max_slice_rows}: score per instrument, "
-            "shorten the look-back, or state the strategy with DataFrames"
-        )
+    if not per_instrument:
+        parts = 1
+        largest = largest_slice(bars, as_of, lookback_days)
+        if largest > max_slice_rows:
+            raise ContractError(
+                f"a slice has {largest} rows, more than {max_slice_rows}: score per "
+                "instrument, shorten the look-back, or state the strategy with DataFrames"
+            )
     if columns is not None:
         needed = ["date", "exchange", "isin", "symbol", "series"]
         bars = bars.select(*dict.fromkeys([*needed, *columns]))
@@ -201,6 +205,11 @@ def blackbox_decisions(
     part = F.pmod(F.xxhash64("exchange", "symbol"), F.lit(parts))
     slices = lookback_slices(bars, as_of, lookback_days).withColumn("_part", part)
     payload = slices.groupBy("as_of", "_part").applyInPandas(call, _PAYLOAD)
+    if per_instrument:
+        per_date = Window.partitionBy("date").orderBy(
+            F.col("score").desc_nulls_last(), "symbol", "exchange", "isin", "position"
+        )
+        payload = payload.withColumn("position", F.row_number().over(per_date).cast("bigint"))
     return fill_payload(payload, strategy_id=strategy_id)
 
 

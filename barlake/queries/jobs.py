@@ -21,7 +21,7 @@ from barlake.plans.paper import run_paper
 from barlake.plans.publish import publish_history
 from barlake.operators.decisions import top_n_by_price
 from barlake.queries import adapter as a
-from barlake.schema import BARS
+from barlake.schema import BAR_KEY, BARS
 from barlake.session import scratch_dir
 from barlake.sources.inventory import list_files, usage_by_prefix
 from barlake.sources.tables import scan_decisions
@@ -72,6 +72,20 @@ def upsert_table(spark, sf_dir):
     return _closes(read_months(spark, path))
 
 
+def upsert_duplicates(spark, sf_dir):
+    """Refreshed rows that repeat their keys: the one read last stays, in new months as well."""
+    rows = a.bars(spark, sf_dir)
+    path, refreshed = scratch_dir(spark, "bars"), scratch_dir(spark, "refreshed")
+    write_months(rows.where(F.year("date") < 1998), path)
+    again = _refreshed(rows)
+    # One file, so that the order of reading is the order of writing.
+    again.withColumn("_n", F.lit(0)).unionByName(
+        again.withColumns({"close": F.col("close") + 1, "_n": F.lit(1)})
+    ).orderBy(*BAR_KEY, "_n").drop("_n").coalesce(1).write.parquet(refreshed)
+    upsert_bars(spark, spark.read.parquet(refreshed), path)
+    return _closes(read_months(spark, path))
+
+
 def keep_last_rows(spark, sf_dir):
     rows = a.bars_multi(spark, sf_dir)
     return keep_last(rows, ("date", "exchange", "isin"), ["series"]).select(
@@ -322,6 +336,10 @@ UNION ALL
 SELECT date, exchange, isin, series, close, volume FROM bars
 WHERE (date, exchange) NOT IN (SELECT (date, exchange) FROM refreshed)""")),
     "upsert_table": (upsert_table, _UPSERTED),
+    "upsert_duplicates": (upsert_duplicates, a.with_sql(select="""
+SELECT date, exchange, isin, series,
+  CASE WHEN day(date) > 20 AND volume % 2 = 0 THEN close * 1.01 + 1 ELSE close END AS close, volume
+FROM bars WHERE year(date) < 1998 OR (day(date) > 20 AND volume % 2 = 0)""")),
     "keep_last": (keep_last_rows, a.with_sql(a.MULTI_SQL, select="""
 SELECT date, exchange, isin, max(series) AS series, arg_max(close, series) AS close
 FROM bars_multi GROUP BY date, exchange, isin""")),

@@ -247,10 +247,10 @@ SELECT exchange, filename, date FROM named""")),
 SELECT date, exchange, isin, symbol,
   CASE WHEN volume % 2 = 0 THEN close ELSE turnover / volume END AS vwap FROM bars""")),
     "variant_symbol_drop": (variant_symbol_drop, a.with_sql(a.HASH_SQL, select="""
-SELECT date, exchange, isin, symbol, series, close FROM bars_hash h
-WHERE NOT (symbol LIKE '%#' AND EXISTS (
-  SELECT 1 FROM bars_hash p WHERE p.symbol NOT LIKE '%#' AND p.date = h.date
-    AND p.exchange = h.exchange AND p.isin = h.isin AND p.series = h.series))""")),
+SELECT date, exchange, isin, symbol, series, close FROM (
+  SELECT *, bool_or(symbol NOT LIKE '%#') OVER (PARTITION BY date, exchange, isin, series) AS has_plain
+  FROM bars_hash)
+WHERE NOT (symbol LIKE '%#' AND has_plain)""")),
     "canonical_dedupe": (canonical_dedupe, a.with_sql(select="""
 SELECT DISTINCT date, exchange, isin, symbol, close, volume, trades
 FROM (SELECT * FROM bars UNION ALL SELECT * FROM bars WHERE volume % 4 = 0)""")),

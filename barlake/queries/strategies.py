@@ -158,11 +158,24 @@ def blackbox_scores(spark, sf_dir):
     scored = blackbox_decisions(
         a.bars(spark, sf_dir), _momentum, strategy_id="momentum_v1", lookback_days=30,
         dates=_month_ends(spark, sf_dir), columns=["adj_close"], per_instrument=True,
-        max_slice_rows=5_000,
     )
     return _rounded(rank_scores(scored, top_n=4), "target_weight", "score")
 
 
+def blackbox_ranks(spark, sf_dir):
+    """Ranks that Spark gives the scores of all parts of the universe."""
+    scored = blackbox_decisions(
+        a.bars(spark, sf_dir), _last_close, strategy_id="close_v1", lookback_days=5,
+        dates=_month_ends(spark, sf_dir), columns=["adj_close"], per_instrument=True, parts=3,
+    )
+    return scored.select("date", "exchange", "isin", "symbol", "rank", "score")
+
+
+def _last_close(as_of, runtime):
+    today = runtime.latest_features(as_of_date=as_of)
+    return today[["exchange", "isin", "symbol"]].assign(score=today["adj_close"], target_weight=0.0)
+
+
 def fill_payload(spark, sf_dir):
     rows = _topn(a.bars(spark, sf_dir))
     payload = rows.select(
@@ -194,6 +207,10 @@ def decision_violations(spark, sf_dir):
 _TOPN = "date, strategy_id, exchange, isin, symbol, round(target_weight, 6) AS target_weight, rank, score"
 
 STRATEGY_QUERIES = {
+    "blackbox_ranks": (blackbox_ranks, a.with_sql(_MONTH_ENDS, select="""
+SELECT date, exchange, isin, symbol,
+  row_number() OVER (PARTITION BY date ORDER BY adj_close DESC, symbol, exchange, isin) AS rank, adj_close AS score
+FROM bars WHERE date IN (SELECT as_of FROM month_ends)""")),
     "topn_decisions": (topn_decisions, a.with_sql(a.DECISIONS_SQL, select=f"SELECT {_TOPN} FROM topn")),
     "equal_weight": (
         lambda spark, d: _topn(a.bars(spark, d)).groupBy("date").agg(

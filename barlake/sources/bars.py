@@ -129,7 +129,10 @@ def month_calendar(spark: SparkSession, start: date, end: date) -> DataFrame:
 
 def missing_months(bars: DataFrame, exchange: str, start: date, end: date) -> DataFrame:
     """Months of the window for which the exchange has no bars."""
-    present = present_months(bars.where(F.col("exchange") == exchange))
+    first, last = start.replace(day=1), (end.replace(day=1) + timedelta(days=31)).replace(day=1)
+    # Whole months, so that only their partitions are opened.
+    asked = date_window(bars, first, last - timedelta(days=1))
+    present = present_months(asked.where(F.col("exchange") == exchange))
     return month_calendar(bars.sparkSession, start, end).join(
         present, ["year", "month"], "left_anti"
     )

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from barlake.functions.joins import null_safe_join
+from barlake.operators.normalize import assert_bars
 from barlake.schema import BAR_KEY, BAR_ORDER, BARS, MONTH_KEY, add_month_columns, conform
 from barlake.session import scratch_dir
 
@@ -54,9 +56,38 @@ def stage_months(bars: DataFrame, spark: SparkSession, name: str) -> str:
     return path
 
 
-def replace_months(spark: SparkSession, staged: str, path: str) -> None:
-    """Replace the months of ``path`` that the staged table holds."""
-    write_months(spark.read.parquet(staged), path, by_month=True)
+# Months on their way into a table lie in this folder of it, which scans pass over; the
+# marker says that they are complete and checked.
+_PENDING, _READY = "_pending", "_READY"
+
+
+def _promote(spark: SparkSession, path: str) -> None:
+    """Put complete pending months in the place of the table's own; can be repeated."""
+    filesystem, root = _filesystem(spark, path)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+
+    def folders(parent):
+        return [s.getPath() for s in filesystem.listStatus(parent) if s.isDirectory()]
+
+    for exchange in folders(at(at(root, _PENDING), "months")):
+        for year in folders(exchange):
+            for month in folders(year):
+                place = at(at(at(root, exchange.getName()), year.getName()), month.getName())
+                filesystem.mkdirs(place.getParent())
+                filesystem.delete(place, True)
+                if not filesystem.rename(month, place):
+                    raise OSError(f"cannot move {month} to {place}")
+    filesystem.delete(at(root, _PENDING), True)
+
+
+def finish_upsert(spark: SparkSession, path: str) -> None:
+    """Finish an upsert that broke off after its months were complete; forget any other."""
+    filesystem, pending = _filesystem(spark, f"{path}/{_PENDING}")
+    if filesystem.exists(pending):
+        if path_exists(spark, f"{path}/{_PENDING}/{_READY}"):
+            _promote(spark, path)
+        else:
+            filesystem.delete(pending, True)
 
 
 def read_months(spark: SparkSession, path: str) -> DataFrame:
@@ -79,23 +110,29 @@ def keep_last(rows: DataFrame, keys, order) -> DataFrame:
     )
 
 
+def last_read(rows: DataFrame) -> DataFrame:
+    """One bar per key: of repeated keys the one that was read last."""
+    numbered = rows.withColumn("_read", F.monotonically_increasing_id())
+    return keep_last(numbered, BAR_KEY, ["_read"]).drop("_read")
+
+
 def merge_day(existing: DataFrame, refreshed: DataFrame, *, mode: str = "upsert") -> DataFrame:
     """Existing bars with refreshed ones put in by key.
 
     ``upsert`` keeps bars of a refreshed day that the new data lacks; ``replace_day``
     drops them. Bars of other days pass through unshuffled; only those of refreshed days
-    are compared by key. The refreshed days are at most exchanges x calendar days, small
-    enough for every executor.
+    are compared by key. Of refreshed rows with one key the last one read stays. The
+    refreshed days are at most exchanges x calendar days, small enough for every executor.
     """
     if mode not in ("upsert", "replace_day"):
         raise ValueError(f"unknown merge mode: {mode}")
     day = ["exchange", "date"]
     days = F.broadcast(refreshed.select(*day).distinct())
-    merged = [existing.join(days, day, "left_anti"), refreshed]
+    merged = [existing.join(days, day, "left_anti"), last_read(refreshed)]
     if mode == "upsert":
         keys = refreshed.select(*BAR_KEY).distinct()
         same_day = existing.join(days, day, "left_semi")
-        merged.append(same_day.join(keys, list(BAR_KEY), "left_anti"))
+        merged.append(null_safe_join(same_day, keys, BAR_KEY, "left_anti"))
     return reduce(DataFrame.unionByName, [conform(rows, BARS) for rows in merged])
 
 
@@ -121,17 +158,27 @@ def upsert_bars(
 ) -> list[tuple[str, int, int]]:
     """Put refreshed bars into a monthly table, rewriting only the months they touch.
 
-    The merged months are staged first, so a failed job never leaves a month half
-    replaced, and re-running it with the same rows changes nothing.
+    The merged months are written beside the table and checked (no NULL or repeated keys)
+    before any month of it is touched. They are then moved into place; a job that dies on
+    the way is finished by the next one. Re-running with the same rows changes nothing.
     """
     months = touched_months(refreshed)
     if not months:
         return []
+    finish_upsert(spark, path)
     if path_exists(spark, path):
         existing = only_months(read_months(spark, path), months)
-        staged = stage_months(merge_day(existing, refreshed, mode=mode), spark, "upsert")
-        replace_months(spark, staged, path)
-        delete_path(spark, staged)
+        merged = merge_day(existing, refreshed, mode=mode)
     else:
-        write_months(refreshed, path)
+        merged = last_read(refreshed)
+    pending = f"{path}/{_PENDING}/months"
+    try:
+        write_months(merged, pending, overwrite="static")
+        assert_bars(spark.read.parquet(pending))
+    except Exception:
+        delete_path(spark, f"{path}/{_PENDING}")
+        raise
+    filesystem, marker = _filesystem(spark, f"{path}/{_PENDING}/{_READY}")
+    filesystem.create(marker).close()
+    _promote(spark, path)
     return months

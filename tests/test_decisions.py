@@ -135,6 +135,10 @@ def test_blackbox_measures_its_slices(eight_bars):
         return today[["exchange", "isin", "symbol"]].assign(score=today["adj_close"], target_weight=0.0)
 
     scored = bt.blackbox_decisions(eight_bars, score, per_instrument=True, **args)
+    one = bt.blackbox_decisions(eight_bars, score, per_instrument=True, parts=1, **args)
+    ranks = {(r.date, r.symbol): r.rank for r in scored.collect()}
+    assert ranks == {(r.date, r.symbol): r.rank for r in one.collect()}
+    assert ranks[date(2026, 1, 1), "AAA"] == 1 and ranks[date(2026, 1, 1), "BBB"] == 2
     best = bt.rank_scores(scored, top_n=1).orderBy("date").collect()
     assert [r.symbol for r in best] == ["AAA"] * 4 and all(r.target_weight == 1.0 for r in best)
 

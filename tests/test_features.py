@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barlake.functions.medians import group_medians
+from barlake.operators import features as ft
 from barlake.operators.asof import latest_as_of
 from barlake.operators.features import FEATURES, feature_frame
 from barlake.operators.returns import forward_returns
@@ -141,6 +142,23 @@ def test_forward_return_crosses_blocks(make_bars):
     assert rows(7) == rows(None)
 
 
+def test_splitting_a_series_loses_no_null_rows(make_bars):
+    rows = [(date(2026, 1, d), "A", float(d)) for d in range(1, 9)] + [(None, "A", 99.0)]
+    rows += [(date(2026, 1, d), "B", float(d), {"isin": None}) for d in range(1, 9)]
+
+    def returns(n):
+        found = forward_returns(make_bars(rows), max_rows=n).collect()
+        return sorted(((r.date is not None, str(r.date), r.symbol, r.next_adj_close) for r in found), key=str)
+
+    assert returns(3) == returns(None) and len(returns(3)) == 17
+
+
+def test_leadership_is_null_without_a_benchmark(spark):
+    frame = spark.createDataFrame([(date(2026, 1, 1), 0.5), (date(2026, 1, 2), 0.25)], "date date, ret_20 double")
+    index = spark.createDataFrame([(date(2026, 1, 1), 0.25)], "date date, benchmark_ret_20 double")
+    assert [r.leadership_20 for r in ft.leadership(frame, index).orderBy("date").collect()] == [0.25, None]
+
+
 def test_forward_return_tie_break_across_series(make_bars):
     day = [date(2026, 1, d) for d in (1, 2)]
     bars = make_bars(

@@ -1,3 +1,4 @@
+import shutil
 import zipfile
 from datetime import date
 
@@ -6,10 +7,12 @@ from pyspark.sql import functions as F
 
 from barlake.operators import quality as q
 from barlake.operators.manifest import build_fetch_manifest
+from barlake import storage
 from barlake.plans import history as h
 from barlake.plans.publish import publish_history
 from barlake.schema import BARS, ContractError, FETCH_MANIFEST, conform
 from barlake.sources import bars as scans
+from barlake.sources.raw import read_raw
 from barlake.sources.formats import formats, inspect_format, overlapping_formats
 from barlake.sources.inventory import list_files, usage_by_prefix
 from barlake.sources.tables import missing_sources, usable_sources
@@ -204,6 +207,68 @@ def test_upsert_and_replace_day(spark, make_bars, tmp_path):
     assert closes() == {("A", 1): 5.0, ("A", 2): 9.0}
 
 
+def test_upsert_keeps_the_last_of_repeated_keys_and_refuses_null_keys(spark, make_bars, tmp_path):
+    path, day = str(tmp_path / "bars"), date(2026, 1, 5)
+
+    def closes():
+        return {(r.symbol, r.date.month): r.close for r in read_months(spark, path).collect()}
+
+    twice = make_bars([(day, "A", 3.0), (day, "A", 4.0)]).coalesce(1)
+    upsert_bars(spark, twice, path)
+    assert closes() == {("A", 1): 4.0} and read_months(spark, path).count() == 1
+    upsert_bars(spark, make_bars([(day, "A", 6.0), (day, "A", 5.0)]).coalesce(1), path)
+    assert closes() == {("A", 1): 5.0} and read_months(spark, path).count() == 1
+    with pytest.raises(ContractError, match="null"):
+        upsert_bars(spark, make_bars([(day, "B", 1.0, {"isin": None})]), path)
+    assert closes() == {("A", 1): 5.0} and not (tmp_path / "bars" / "_pending").exists()
+
+
+def test_upsert_that_died_is_finished_by_the_next(spark, make_bars, tmp_path, monkeypatch):
+    path, day = str(tmp_path / "bars"), date(2026, 1, 5)
+    write_months(make_bars([(day, "A", 1.0), (date(2026, 2, 2), "A", 2.0)]), path)
+
+    def die(*_):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(storage, "_promote", die)
+        with pytest.raises(RuntimeError):
+            upsert_bars(spark, make_bars([(day, "A", 7.0)]), path)
+    assert {r.close for r in read_months(spark, path).collect()} == {1.0, 2.0}
+    # Dies again after the old month is gone and before the new one is in its place.
+    shutil.rmtree(tmp_path / "bars" / "exchange=NSE" / "year=2026" / "month=1")
+    upsert_bars(spark, make_bars([(date(2026, 2, 2), "A", 8.0)]), path)
+    assert {r.close for r in read_months(spark, path).collect()} == {7.0, 8.0}
+
+
+def test_missing_months_open_only_the_months_asked_for(spark, make_bars, tmp_path):
+    path = str(tmp_path / "bars")
+    write_months(make_bars([(date(2026, m, 5), "A", float(m)) for m in (1, 2, 4, 5)]), path)
+    gaps = scans.missing_months(spark.read.parquet(path), "NSE", date(2026, 2, 10), date(2026, 4, 3))
+    assert [(r.year, r.month) for r in gaps.collect()] == [(2026, 3)]
+    plan = spark._jvm.PythonSQLUtils.explainString(gaps._jdf.queryExecution(), "simple")
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    assert "year" in scan.split("PartitionFilters: ")[1].split("PushedFilters: ")[0]
+
+
+def test_wide_and_header_like_lines_are_read_alike_from_csv_and_zip(spark, tmp_path):
+    lead = [f"X{i}" for i in range(70)]
+    header = ",".join([*lead, "SYMBOL", "SERIES", "OPEN", "HIGH", "LOW", "CLOSE", "PREVCLOSE", "TOTTRDQTY", "TOTTRDVAL", "TIMESTAMP"])
+    row = ",".join(["0"] * 70 + ["ABC", "EQ", "1", "2", "1", "2", "1", "10", "20", "1-APR-1996"])
+    body = "\n".join([header, row, header, row + ",extra", "\n"])
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "zipped").mkdir()
+    (tmp_path / "plain" / "cm01APR1996bhav.csv").write_text(body)
+    with zipfile.ZipFile(tmp_path / "zipped" / "cm01APR1996bhav.csv.zip", "w") as archive:
+        archive.writestr("cm01APR1996bhav.csv", body)
+    seen = []
+    for kind in ("plain", "zipped"):
+        raw = read_raw(spark, str(tmp_path / kind), "NSE")
+        assert [r.missing_fields for r in raw.files.collect()] == [[]]
+        seen.append(sorted((r.symbol, r.close) for r in raw.rows.collect()))
+    assert seen[0] == seen[1] == [("ABC", "2"), ("ABC", "2"), ("SYMBOL", "CLOSE")]
+
+
 def test_monthly_scan_prunes_partitions(spark, make_bars, tmp_path):
     path = str(tmp_path / "bars")
     write_months(make_bars([(date(2026, m, 5), "A", float(m)) for m in range(1, 7)]), path)
