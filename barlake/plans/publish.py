@@ -1,32 +1,72 @@
-"""Publish verified months to another location, skipping unchanged ones."""
+"""Publish verified months to another location, skipping those that lie there unchanged."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.operators.manifest import assert_resolved, changed_partitions, sync_status
-from barlake.schema import MONTH_KEY, ContractError, month_path, require_columns
+from barlake.plans.history import month_files
+from barlake.schema import MONTH_KEY, ContractError, require_columns
 from barlake.session import scratch_dir
-from barlake.storage import delete_path, only_months, path_exists, read_months, write_months
+from barlake.storage import (
+    delete_path, finish_upsert, only_months, path_exists, read_months, swap_months,
+)
 
-_INVENTORY = "exchange string, year int, month int, object_key string, size bigint, etag string"
+_PLACE = "exchange string, year int, month int, object_key string, size bigint, etag string"
+# What was published: size and checksum at the source, and of the files written from it.
+_RECORD = f"{_PLACE}, target_size bigint, target_etag string"
 
 
-def remote_inventory(spark: SparkSession, target: str) -> DataFrame:
-    """Size and checksum of each published month, as recorded when it was published."""
+def published_record(spark: SparkSession, target: str) -> DataFrame:
+    """What earlier runs wrote, one row per month."""
     path = f"{target}/_inventory"
     if not path_exists(spark, path):
-        return spark.createDataFrame([], _INVENTORY)
-    return spark.read.schema(_INVENTORY).parquet(path)
+        return spark.createDataFrame([], _RECORD)
+    return spark.read.schema(_RECORD).parquet(path)
+
+
+def _at_target(spark: SparkSession, target: str) -> DataFrame:
+    """Size and checksum of the files that lie at the target now."""
+    bars = f"{target}/bars"
+    if not path_exists(spark, bars):
+        return spark.createDataFrame([], _PLACE)
+    place = F.regexp_extract("partition_path", r"(exchange=[^/]*/year=[^/]*/month=[^/]*)$", 1)
+    return month_files(spark, bars).where(F.col("exchange").isNotNull()).select(
+        *MONTH_KEY, place.alias("object_key"), F.col("file_size_bytes").alias("size"), F.col("md5").alias("etag")
+    )
+
+
+def remote_inventory(spark: SparkSession, target: str) -> DataFrame:
+    """The months at the target, described by their source.
+
+    A month whose files are those that were written has the size and checksum of its source; one
+    that was changed, or put there by others, has its own. A month that was lost is
+    not listed, whatever the record says.
+    """
+    there, record = _at_target(spark, target).alias("t"), published_record(spark, target).alias("r")
+    same = (F.col("r.target_size") == F.col("t.size")) & (F.col("r.target_etag") == F.col("t.etag"))
+    on = [F.col(f"t.{name}") == F.col(f"r.{name}") for name in MONTH_KEY]
+    return there.join(record, on, "left").select(
+        *[F.col(f"t.{name}").alias(name) for name in (*MONTH_KEY, "object_key")],
+        F.when(same, F.col("r.size")).otherwise(F.col("t.size")).alias("size"),
+        F.when(same, F.col("r.etag")).otherwise(F.col("t.etag")).alias("etag"),
+    )
+
+
+def publish_status(spark: SparkSession, target: str, manifest: DataFrame) -> DataFrame:
+    """OK, MISSING, STALE or EXTRA for each month of the manifest or the target."""
+    return sync_status(manifest, remote_inventory(spark, target))
 
 
 def publish_history(
     spark: SparkSession, source: str, target: str, *, audit: DataFrame,
     fetch_manifest: DataFrame, manifest: DataFrame, exchanges: tuple[str, ...] | None = None,
 ) -> list[tuple[str, int, int]]:
-    """Publish the months whose size or checksum differs from what was published.
+    """Publish the months that the target lacks or has in another state.
 
-    Refuses a failed audit, unresolved fetches and an incomplete partition manifest.
+    Refuses a failed audit, unresolved fetches and an incomplete partition manifest. Months
+    are written beside the target's, their rows are counted against the manifest, and only
+    then are they moved into place. Months that the target has beyond the manifest stay.
     Returns the months written; a second run with nothing new writes none.
     """
     if not audit.first()["passed"]:
@@ -41,22 +81,32 @@ def publish_history(
     if manifest.isEmpty():
         raise ContractError("no months to publish for the selected exchanges")
 
-    published = remote_inventory(spark, target)
-    changed = changed_partitions(sync_status(manifest, published))
+    finish_upsert(spark, f"{target}/bars")
+    changed = changed_partitions(publish_status(spark, target, manifest))
     months = sorted((r.exchange, r.year, r.month) for r in changed.collect())
     if not months:
         return []
-    write_months(only_months(read_months(spark, source), months), f"{target}/bars", by_month=True)
+    wanted = only_months(manifest, months)
 
-    now = manifest.join(changed, list(MONTH_KEY), "left_semi").select(
-        *MONTH_KEY,
-        F.concat(month_path(F.col("exchange"), F.col("year"), F.col("month")), F.lit("/part.parquet")).alias("object_key"),
-        F.col("file_size_bytes").alias("size"),
-        F.col("md5").alias("etag"),
+    def complete(written: DataFrame) -> None:
+        counts = written.groupBy(*MONTH_KEY).agg(F.count("*").alias("written"))
+        short = wanted.join(counts, list(MONTH_KEY), "left").where("NOT row_count <=> written").count()
+        if short:
+            raise ContractError(f"{short} months differ from the partition manifest")
+
+    bars = only_months(read_months(spark, source), months)
+    swap_months(spark, bars, f"{target}/bars", complete, by_month=True)
+
+    placed = only_months(_at_target(spark, target), months).select(
+        *MONTH_KEY, "object_key", F.col("size").alias("target_size"), F.col("etag").alias("target_etag")
+    )
+    now = wanted.join(placed, list(MONTH_KEY)).select(
+        *MONTH_KEY, "object_key", F.col("file_size_bytes").alias("size"), F.col("md5").alias("etag"),
+        "target_size", "target_etag",
     )
-    merged = published.join(now, list(MONTH_KEY), "left_anti").unionByName(now)
+    record = published_record(spark, target).join(now, list(MONTH_KEY), "left_anti").unionByName(now)
     staged = scratch_dir(spark, "inventory")
-    merged.write.parquet(staged)
-    spark.read.schema(_INVENTORY).parquet(staged).write.mode("overwrite").parquet(f"{target}/_inventory")
+    record.write.parquet(staged)
+    spark.read.schema(_RECORD).parquet(staged).write.mode("overwrite").parquet(f"{target}/_inventory")
     delete_path(spark, staged)
     return months

@@ -18,14 +18,14 @@ from barlake.plans.history import (
     store_bars,
 )
 from barlake.plans.paper import run_paper
-from barlake.plans.publish import publish_history
+from barlake.plans.publish import publish_history, publish_status
 from barlake.operators.decisions import top_n_by_price
 from barlake.queries import adapter as a
 from barlake.schema import BAR_KEY, BARS
 from barlake.session import scratch_dir
 from barlake.sources.inventory import list_files, usage_by_prefix
 from barlake.sources.tables import scan_decisions
-from barlake.storage import keep_last, merge_day, read_months, upsert_bars, write_months
+from barlake.storage import delete_path, keep_last, merge_day, read_months, upsert_bars, write_months
 from barlake.streaming.ingest import append_decision_stream, audit_stream, ingest_bars, stream_files
 
 _COMPARED = [n for n in BARS.names if n not in ("vwap", "delivery_pct")]
@@ -233,6 +233,23 @@ def published_months(spark, sf_dir):
     return _closes(read_months(spark, f"{target}/bars"))
 
 
+def published_status(spark, sf_dir):
+    """What the target looks like after it lost one month, had one changed and one added."""
+    rows = a.bars(spark, sf_dir)
+    source, target = scratch_dir(spark, "bars"), scratch_dir(spark, "published")
+    store_bars(spark, rows, source)
+    manifest = partition_manifest(spark, source)
+    _, total = audit_history(spark, source)
+    fetched = rows.select("exchange", "date", F.lit("validated").alias("status"))
+    publish_history(spark, source, target, audit=total, fetch_manifest=fetched, manifest=manifest)
+    nse = rows.where((F.col("exchange") == "NSE") & (F.year("date") == 1998))
+    delete_path(spark, f"{target}/bars/exchange=NSE/year=1998/month=6")
+    changed = nse.where(F.month("date") == 7).withColumn("close", F.col("close") + 1)
+    added = nse.where(F.month("date") == 8).withColumn("date", F.add_months("date", 32 * 12))
+    write_months(changed.unionByName(added), f"{target}/bars")
+    return publish_status(spark, target, manifest).select("exchange", "year", "month", "status")
+
+
 def paper_run(spark, sf_dir):
     """Two paper days, the second one run twice."""
     rows = a.bars(spark, sf_dir)
@@ -362,6 +379,11 @@ SELECT 'exchange=' || exchange AS prefix, count(DISTINCT year(date) * 100 + mont
 SELECT count(*) AS rows, count(DISTINCT (exchange, year(date), month(date))) AS partitions,
   CAST(0 AS bigint) AS duplicate_key_count, CAST(0 AS bigint) AS invalid_ohlc_count, true AS passed FROM bars""")),
     "published_months": (published_months, _repaired(_JUNE)),
+    "published_status": (published_status, a.with_sql(select="""
+SELECT DISTINCT exchange, CAST(year(date) AS int) AS year, CAST(month(date) AS int) AS month,
+  CASE WHEN exchange = 'NSE' AND year(date) = 1998 AND month(date) = 6 THEN 'MISSING'
+       WHEN exchange = 'NSE' AND year(date) = 1998 AND month(date) = 7 THEN 'STALE' ELSE 'OK' END AS status
+FROM bars UNION ALL SELECT 'NSE', NULL, NULL, 'EXTRA'""")),
     "paper_run": (paper_run, a.with_sql(a.DECISIONS_SQL, select="""
 SELECT date, strategy_id, exchange, isin, symbol,
   round(CAST(1 AS double) / count(*) OVER (PARTITION BY date, strategy_id), 6) AS target_weight,

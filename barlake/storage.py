@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -110,6 +111,30 @@ def keep_last(rows: DataFrame, keys, order) -> DataFrame:
     )
 
 
+def swap_months(
+    spark: SparkSession,
+    bars: DataFrame,
+    path: str,
+    check: Callable[[DataFrame], object],
+    *,
+    by_month: bool = False,
+) -> None:
+    """Write whole months beside a table, check them, and move them into place.
+
+    ``check`` gets the months as written; if it raises, the table stays as it was.
+    """
+    pending = f"{path}/{_PENDING}/months"
+    try:
+        write_months(bars, pending, overwrite="static", by_month=by_month)
+        check(spark.read.parquet(pending))
+    except Exception:
+        delete_path(spark, f"{path}/{_PENDING}")
+        raise
+    filesystem, marker = _filesystem(spark, f"{path}/{_PENDING}/{_READY}")
+    filesystem.create(marker).close()
+    _promote(spark, path)
+
+
 def last_read(rows: DataFrame) -> DataFrame:
     """One bar per key: of repeated keys the one that was read last."""
     numbered = rows.withColumn("_read", F.monotonically_increasing_id())
@@ -171,14 +196,5 @@ def upsert_bars(
         merged = merge_day(existing, refreshed, mode=mode)
     else:
         merged = last_read(refreshed)
-    pending = f"{path}/{_PENDING}/months"
-    try:
-        write_months(merged, pending, overwrite="static")
-        assert_bars(spark.read.parquet(pending))
-    except Exception:
-        delete_path(spark, f"{path}/{_PENDING}")
-        raise
-    filesystem, marker = _filesystem(spark, f"{path}/{_PENDING}/{_READY}")
-    filesystem.create(marker).close()
-    _promote(spark, path)
+    swap_months(spark, merged, path, assert_bars)
     return months

@@ -9,7 +9,7 @@ from barlake.operators import quality as q
 from barlake.operators.manifest import build_fetch_manifest
 from barlake import storage
 from barlake.plans import history as h
-from barlake.plans.publish import publish_history
+from barlake.plans.publish import publish_history, publish_status
 from barlake.schema import BARS, ContractError, FETCH_MANIFEST, conform
 from barlake.sources import bars as scans
 from barlake.sources.raw import read_raw
@@ -336,6 +336,19 @@ def test_audit_reports_and_publishing(spark, make_bars, tmp_path):
     assert publish() == [("NSE", 2026, 2)]
     assert read_months(spark, f"{target}/bars").count() == 3
 
+    # What lies at the target counts, not what was once recorded.
+    at = tmp_path / "public" / "bars" / "exchange=NSE" / "year=2026"
+    shutil.rmtree(at / "month=1")
+    write_months(make_bars([(date(2026, 2, 9), "X", 1.0)]), f"{target}/bars")
+    write_months(make_bars([(date(2026, 3, 9), "X", 1.0)]), f"{target}/bars")
+    status = publish_status(spark, target, h.partition_manifest(spark, source)).collect()
+    assert {r.object_key.split("/part")[0][-7:]: r.status for r in status} == {"onth=01": "MISSING", "month=2": "STALE", "month=3": "EXTRA"}
+    with pytest.raises(ContractError, match="1 months differ"):
+        publish(manifest=h.partition_manifest(spark, source).withColumn("row_count", F.when(F.col("month") == 1, 99).otherwise(F.col("row_count"))))
+    assert not (at / "month=1").exists()
+    assert publish() == [("NSE", 2026, 1), ("NSE", 2026, 2)] and publish() == []
+    assert sorted(r.symbol for r in read_months(spark, f"{target}/bars").collect()) == ["A", "A", "A", "X"]
+
 
 def test_formats(spark):
     boundaries = [("NSE", date(2024, 7, 7), "legacy"), ("NSE", date(2024, 7, 8), "udiff"),
