@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from barlake.functions.dates import days_between
-from barlake.functions.series import MAX_SERIES_ROWS, ordered, over_series, split_series
 
 
 def lookback_slices(bars: DataFrame, as_of_dates: DataFrame, lookback_days: int) -> DataFrame:
@@ -27,51 +26,37 @@ def latest_as_of(
     keys: tuple[str, ...] = ("exchange", "symbol"),
     tie_break: tuple[str, ...] = ("series", "isin"),
     lookback_days: int | None = None,
-    max_rows: int | None = MAX_SERIES_ROWS,
 ) -> DataFrame:
     """The last bar of each instrument on or before each as-of date.
 
-    A bar is the latest from its own date until the day before the instrument's next
-    one, and is emitted once per as-of date in that interval. The intervals of an
-    instrument do not overlap, so nothing but the result multiplies.
+    Bars count for the first as-of date that is not before them. Of the bars of an instrument
+    between two as-of dates only the last one matters; they are reduced to it before the
+    shuffle, so that an instrument leaves at most one row per as-of date and task. It then
+    serves all as-of dates up to that of the instrument's next one.
     """
     # The as-of dates are calendar days: at most a few ten thousand.
     dates = sorted(row.as_of for row in as_of_dates.select("as_of").distinct().collect())
     if not dates:
         return bars.limit(0).withColumn("as_of", F.lit(None).cast("date"))
-    horizon = F.lit(dates[-1])
-    order = ("date", *tie_break)
-    known = bars.where(F.col("date") <= horizon)
-    following = F.lead("date").over(ordered(keys, order))
-    valid = over_series(
-        split_series(known, keys, order, ahead=1, max_rows=max_rows),
-        lambda part: part.withColumn("_next", following),
-    )
-    # An instrument's last bar serves up to the last as-of date.
-    until = F.least(F.date_sub(F.col("_next"), 1), horizon)
-    if lookback_days is not None:
-        until = F.least(until, F.date_add("date", lookback_days))
-
-    numbered = bars.sparkSession.createDataFrame(list(enumerate(dates)), "_n int, as_of date")
-    served = _first_as_of(dates, bars.sparkSession)
-    first = F.broadcast(served.select(F.col("day").alias("date"), F.col("n").alias("_from")))
-    last = F.broadcast(served.select(F.col("day").alias("_stop"), F.col("n").alias("_to")))
+    spark = bars.sparkSession
+    served = F.broadcast(_first_as_of(dates, spark).select(F.col("day").alias("date"), F.col("n").alias("_number")))
     # Days before the first as-of date all start at number 0; they need no table row.
-    early = F.lit(dates[0])
-    spans = (
-        valid.withColumn("_stop", F.date_add(until, 1))
-        .join(first, "date", "left")
-        .join(last, "_stop", "left")
-        .withColumn("_from", F.when(F.col("date") <= early, 0).otherwise(F.col("_from")))
-        .withColumn("_to", F.when(F.col("_stop") <= early, 0).otherwise(F.col("_to")))
-        .where(F.col("_from") < F.col("_to"))
-    )
-    numbers = F.explode(F.sequence(F.col("_from"), F.col("_to") - 1))
-    return (
-        spans.select(*bars.columns, numbers.alias("_n"))
-        .join(F.broadcast(numbered), "_n")
-        .drop("_n")
+    number = F.when(F.col("date") <= F.lit(dates[0]), 0).otherwise(F.col("_number"))
+    known = bars.where(F.col("date") <= F.lit(dates[-1])).join(served, "date", "left")
+    last = F.max_by(F.struct(*bars.columns), F.struct("date", *tie_break))
+    reduced = known.withColumn("_from", number).groupBy(*keys, "_from").agg(last.alias("_bar"))
+    following = F.lead("_from").over(Window.partitionBy(*keys).orderBy("_from"))
+    until = F.coalesce(following, F.lit(len(dates))) - 1
+    numbered = F.broadcast(spark.createDataFrame(list(enumerate(dates)), "_n int, as_of date"))
+    found = (
+        reduced.withColumn("_until", until)
+        .select("_bar", F.explode(F.sequence(F.col("_from"), F.col("_until"))).alias("_n"))
+        .join(numbered, "_n")
+        .select("_bar.*", "as_of")
     )
+    if lookback_days is None:
+        return found
+    return found.where(F.col("as_of") <= F.date_add("date", lookback_days))
 
 
 def _first_as_of(dates: list, spark) -> DataFrame:

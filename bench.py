@@ -53,7 +53,7 @@ def main() -> None:
     window = dict(start=date(1997, 1, 1), end=date(1997, 12, 31), exchanges="NSE")
     timed("scan_filtered", lambda: drain(filter_bars(table, **window, columns=["date", "close"])))
     timed("trading_dates", lambda: drain(trading_dates(table)))
-    timed("topn_decisions", lambda: drain(top_n_by_price(table, top_n=5)))
+    timed("topn_decisions", lambda: drain(top_n_by_price(table, top_n=5, unique=True)))
     timed("forward_return", lambda: drain(forward_returns(table)))
     timed("feature_frame", lambda: drain(feature_frame(table)))
     plan = chunk_plan(table.select("date"), chunk_size=252, warmup_days=120)

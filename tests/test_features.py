@@ -182,9 +182,8 @@ def test_group_medians_with_ties_and_gaps(spark):
         assert got[key] == (float(np.median(values)) if values else None), key
 
 
-@pytest.mark.parametrize("max_rows", [None, 5])
 @pytest.mark.parametrize("lookback", [None, 2])
-def test_latest_as_of_matches_brute_force(spark, make_bars, max_rows, lookback):
+def test_latest_as_of_matches_brute_force(spark, make_bars, lookback):
     rng = np.random.default_rng(4)
     start = date(2026, 1, 1)
     rows = [
@@ -193,7 +192,7 @@ def test_latest_as_of_matches_brute_force(spark, make_bars, max_rows, lookback):
     ]
     as_of = [start + timedelta(days=int(d)) for d in (-3, 0, 5, 6, 20, 39, 60)]
     frame = spark.createDataFrame([(d,) for d in as_of], "as_of date")
-    got = latest_as_of(make_bars(rows), frame, lookback_days=lookback, max_rows=max_rows)
+    got = latest_as_of(make_bars(rows), frame, lookback_days=lookback)
     expected = set()
     for day in as_of:
         for symbol in ("AAA", "BBB", "CCC"):
