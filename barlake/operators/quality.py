@@ -149,12 +149,17 @@ def schema_deviations(bars: DataFrame) -> tuple[list[str], list[str]]:
     return missing, [name for name in names if name not in BARS.names]
 
 
+def misplaced_rows(table: DataFrame) -> DataFrame:
+    """Rows of a monthly table whose folder is not that of their date."""
+    here = (F.col("year") == F.year("date")) & (F.col("month") == F.month("date"))
+    return table.where(~F.coalesce(here, F.lit(False))).select("exchange", "year", "month", "date")
+
+
 def global_audit(partitions: DataFrame, bars: DataFrame) -> DataFrame:
     """One row for the whole table, rolled up from the monthly audit.
 
-    ``cross_file_duplicate_count`` counts keys over the whole table. A key includes
-    date and exchange, so it equals the monthly total unless a file sits in a wrong
-    month.
+    A key includes date and exchange, so the monthly counts of repeated keys, which are taken
+    over all files, add up to those of the table.
     """
     missing, unexpected = schema_deviations(bars)
     summed = [

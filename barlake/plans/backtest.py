@@ -75,6 +75,24 @@ def chunk_plan(dates: DataFrame, *, chunk_size: int, warmup_days: int) -> DataFr
     )
 
 
+def chunked_backtest(
+    strategy: Strategy, bars: DataFrame, plan: DataFrame, path: str
+) -> DataFrame:
+    """Decisions of a strategy chunk by chunk, written below ``path`` as they are made.
+
+    A chunk sees the bars from its warm-up (all earlier ones without) to its end, by a scan of
+    those months. Running again overwrites; a chunk without any bars is an error.
+    """
+    # One row per chunk of trading dates.
+    for chunk in plan.orderBy("chunk_id").collect():
+        seen = date_window(bars, chunk.market_start, chunk.chunk_end)
+        if date_window(seen, chunk.chunk_start).isEmpty():
+            raise ContractError(f"chunk {chunk.chunk_id} has no bars from {chunk.chunk_start} on")
+        decided = run_backtest(strategy, seen, start=chunk.chunk_start, end=chunk.chunk_end)
+        decided.write.mode("overwrite").parquet(f"{path}/chunk_id={chunk.chunk_id}")
+    return bars.sparkSession.read.parquet(path)
+
+
 def chunked_bars(
     bars: DataFrame, plan: DataFrame, history_start: date | None = None
 ) -> DataFrame:

@@ -15,7 +15,9 @@ from barlake.operators.normalize import (
     usable_rows,
 )
 from barlake.operators.manifest import merge_manifest
-from barlake.operators.quality import global_audit, ingest_summary, partition_audit, partition_statistics
+from barlake.operators.quality import (
+    global_audit, ingest_summary, misplaced_rows, partition_audit, partition_statistics,
+)
 from barlake.schema import (
     BARS,
     EXCHANGES,
@@ -262,7 +264,11 @@ def audit_history(spark: SparkSession, path: str, report: str | None = None):
         partitions.write.mode("overwrite").json(f"{report}/partitions")
         schema = partitions.schema
         partitions = spark.read.schema(schema).json(f"{report}/partitions")
-    total = global_audit(partitions, bars)
+    # Only the dates are read: a row in the wrong folder would be pruned away by date scans.
+    elsewhere = misplaced_rows(bars).count()
+    total = global_audit(partitions, bars).withColumns(
+        {"misplaced_rows": F.lit(elsewhere), "passed": F.col("passed") & F.lit(elsewhere == 0)}
+    )
     if report:
         total.write.mode("overwrite").json(f"{report}/global")
     return partitions, total

@@ -212,6 +212,17 @@ def history_audit(spark, sf_dir):
     return stored.select("rows", "partitions", "duplicate_key_count", "invalid_ohlc_count", "passed")
 
 
+def misplaced_rows(spark, sf_dir):
+    """A month copied into the folder of the next one fails the audit."""
+    rows, path = a.bars(spark, sf_dir), scratch_dir(spark, "bars")
+    write_months(rows, path)
+    june = (F.col("exchange") == "NSE") & (F.year("date") == 1998) & (F.month("date") == 6)
+    names = [n for n in BARS.names if n != "exchange"]
+    rows.where(june).select(*names).write.mode("append").parquet(f"{path}/exchange=NSE/year=1998/month=7")
+    _, total = audit_history(spark, path)
+    return total.select("misplaced_rows", "passed")
+
+
 def published_months(spark, sf_dir):
     """Publish twice with one month repaired in between; counts what each run wrote."""
     rows = a.bars(spark, sf_dir)
@@ -378,6 +389,9 @@ SELECT 'exchange=' || exchange AS prefix, count(DISTINCT year(date) * 100 + mont
     "history_audit": (history_audit, a.with_sql(select="""
 SELECT count(*) AS rows, count(DISTINCT (exchange, year(date), month(date))) AS partitions,
   CAST(0 AS bigint) AS duplicate_key_count, CAST(0 AS bigint) AS invalid_ohlc_count, true AS passed FROM bars""")),
+    "misplaced_rows": (misplaced_rows, a.with_sql(select="""
+SELECT CAST(count(*) AS int) AS misplaced_rows, false AS passed FROM bars
+WHERE exchange = 'NSE' AND year(date) = 1998 AND month(date) = 6""")),
     "published_months": (published_months, _repaired(_JUNE)),
     "published_status": (published_status, a.with_sql(select="""
 SELECT DISTINCT exchange, CAST(year(date) AS int) AS year, CAST(month(date) AS int) AS month,

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from barlake.operators import decisions as dec
 from barlake.operators.returns import forward_returns
 from barlake.plans import performance as perf
-from barlake.plans.backtest import blackbox_decisions, rank_scores, run_backtest
+from barlake.plans.backtest import blackbox_decisions, chunk_plan, chunked_backtest as run_chunks, rank_scores, run_backtest
 from barlake.queries import adapter as a
 from barlake.queries.scans import _MONTH_ENDS, _month_ends
+from barlake.session import scratch_dir
+from barlake.storage import read_months, write_months
 
 
 def _topn(rows):
@@ -22,6 +24,16 @@ def topn_decisions(spark, sf_dir):
     return dec.in_decision_order(decided).withColumn("target_weight", F.round("target_weight", 6))
 
 
+def chunked_backtest(spark, sf_dir):
+    """The same decisions, made chunk by chunk from a written table."""
+    path = scratch_dir(spark, "bars")
+    write_months(a.bars(spark, sf_dir), path)
+    table = read_months(spark, path)
+    plan = chunk_plan(table.select("date"), chunk_size=500, warmup_days=30)
+    decided = run_chunks(lambda known, dates: _topn(known), table, plan, scratch_dir(spark, "decisions"))
+    return decided.drop("chunk_id").withColumn("target_weight", F.round("target_weight", 6))
+
+
 def two_strategies(rows):
     scales = F.array(
         F.struct(F.lit("light_v1").alias("strategy_id"), F.lit(100).alias("scale")),
@@ -212,6 +224,7 @@ SELECT date, exchange, isin, symbol,
   row_number() OVER (PARTITION BY date ORDER BY adj_close DESC, symbol, exchange, isin) AS rank, adj_close AS score
 FROM bars WHERE date IN (SELECT as_of FROM month_ends)""")),
     "topn_decisions": (topn_decisions, a.with_sql(a.DECISIONS_SQL, select=f"SELECT {_TOPN} FROM topn")),
+    "chunked_backtest": (chunked_backtest, a.with_sql(a.DECISIONS_SQL, select=f"SELECT {_TOPN} FROM topn")),
     "equal_weight": (
         lambda spark, d: _topn(a.bars(spark, d)).groupBy("date").agg(
             F.count("*").alias("holdings"), F.round(F.sum("target_weight"), 6).alias("invested")

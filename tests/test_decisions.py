@@ -173,3 +173,11 @@ def test_registry_contract(spark):
 def test_missing_decisions_are_an_empty_table(spark, tmp_path):
     stored = scan_decisions(spark, str(tmp_path / "none"))
     assert stored.columns == DECISIONS.names and stored.isEmpty()
+
+
+def test_chunks_without_bars_are_refused(spark, eight_bars, tmp_path):
+    plan = bt.chunk_plan(eight_bars.select("date"), chunk_size=2, warmup_days=1)
+    decided = bt.chunked_backtest(lambda known, dates: dec.top_n_by_price(known, top_n=1), eight_bars, plan, str(tmp_path / "c"))
+    assert sorted((r.date.day, r.chunk_id) for r in decided.collect()) == [(1, 0), (2, 0), (3, 1), (4, 1)]
+    with pytest.raises(ContractError, match="no bars"):
+        bt.chunked_backtest(lambda known, dates: dec.top_n_by_price(known), eight_bars.limit(0), plan, str(tmp_path / "d"))
