@@ -15,7 +15,7 @@ from barlake.llm.mixing import mix
 from barlake.llm.simhash import drop_near_copies
 
 #: Mean marginal below which a document's language counts as unknown.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
