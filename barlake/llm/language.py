@@ -156,10 +156,11 @@ def _fragments(batches):
 def fit(docs: DataFrame):
     """Train on a bounded sample of documents that are not held out and have a language."""
     usable = docs.where(held_out() == F.lit(False)).where("lang IS NOT NULL")
-    # Of a common language only some four times the rows needed are ranked, by their hash.
+    # Of a common language only some four times the rows needed are ranked, by their hash. There is
+    # a row per language, for each of which the model holds FEATURES weights anyway.
     counts = usable.groupBy("lang").agg((4.0 * ROWS_PER_LANGUAGE / F.count("*")).alias("share"))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = usable.select("doc_id", "lang").join(counts, "lang").where(draw < F.col("share")).distinct()
+    drawn = usable.select("doc_id", "lang").join(F.broadcast(counts), "lang").where(draw < F.col("share")).distinct()
     rank = Window.partitionBy("lang").orderBy(draw, "doc_id")
     chosen = drawn.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= ROWS_PER_LANGUAGE)
     # As many rows as languages times ROWS_PER_LANGUAGE at most, also where doc_ids repeat.
