@@ -22,7 +22,7 @@ Strategy = Callable[[DataFrame, DataFrame], DataFrame]
 # Rows one call of a black-box strategy may receive.
 MAX_SLICE_ROWS = 5_000_000
 # Parts of the universe that a per-instrument strategy is called on, per date.
-PARTS = 8
+PARTS = 4
 
 
 def decision_dates(

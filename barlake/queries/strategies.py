@@ -169,7 +169,7 @@ def blackbox_strategy(spark, sf_dir):
 def blackbox_scores(spark, sf_dir):
     scored = blackbox_decisions(
         a.bars(spark, sf_dir), _momentum, strategy_id="momentum_v1", lookback_days=30,
-        dates=_month_ends(spark, sf_dir), columns=["adj_close"], per_instrument=True,
+        dates=_month_ends(spark, sf_dir), columns=["adj_close"], per_instrument=True, parts=2,
     )
     return _rounded(rank_scores(scored, top_n=4), "target_weight", "score")
 
