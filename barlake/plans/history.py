@@ -32,7 +32,7 @@ from barlake.schema import (
 from barlake.session import scratch_dir
 from barlake.sources.bars import present_months
 from barlake.sources.inventory import list_files, with_partition_identity
-from barlake.sources.raw import read_raw
+from barlake.sources.raw import read_raw, same_spelling
 from barlake.sources.tables import scan_fetch_manifest
 from barlake.storage import (
     delete_path,
@@ -91,7 +91,9 @@ def ingest_files(
     rows = fields.where(usable_rows(strict)).drop("unreadable")
     if exchange_code(exchange) == "BSE":
         rows = drop_variant_symbols(rows)
-    files = raw.files.select("path", "format_id")
+    # Raw files hold one day each; their digests are only taken where a manifest asks.
+    digests = list_files(spark, path, digest=True).select(same_spelling("path").alias("path"), "md5")
+    files = raw.files.select("path", "format_id").join(digests, "path", "left")
     return Ingested(rows, files, raw.skipped, (staged, raw.staged))
 
 
@@ -112,6 +114,7 @@ def source_files(rows: DataFrame, files: DataFrame) -> DataFrame:
     months = add_month_columns(rows).select(*MONTH_KEY, "path").distinct().join(files, "path", "left")
     return months.groupBy(*MONTH_KEY).agg(
         F.array_sort(F.collect_set("path")).alias("source_raw_files"),
+        F.array_sort(F.collect_set("md5")).alias("source_md5s"),
         F.array_sort(F.collect_set("format_id")).alias("format_ids"),
         F.countDistinct("path").alias("source_raw_count"),
     )
@@ -143,11 +146,10 @@ def partition_manifest(
     if sources is not None:
         rows = rows.join(sources, list(MONTH_KEY), "left")
     else:
-        rows = rows.withColumns({n: F.lit(None) for n in ("source_raw_files", "format_ids", "source_raw_count")})
+        rows = rows.withColumns({n: F.lit(None) for n in ("source_raw_files", "source_md5s", "format_ids", "source_raw_count")})
     return conform(
         rows.withColumns(
             {
-                "source_md5s": F.lit(None),
                 "parser_versions": F.lit("1"),
                 "created_at": F.current_timestamp(),
                 "verified_at": F.lit(None),

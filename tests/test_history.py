@@ -1,3 +1,4 @@
+import hashlib
 import shutil
 import zipfile
 from datetime import date
@@ -139,6 +140,7 @@ def test_empty_and_html_files_are_skipped_in_a_build_only(spark, tmp_path):
     (row,) = manifest.collect()
     assert (row.row_count, row.symbols, row.source_raw_count, row.status) == (1, 1, 1, "built")
     assert row.format_ids == ["nse_legacy_cm_bhavcopy_v1"] and len(row.md5) == 32
+    assert row.source_md5s == [hashlib.md5((raw / "cm02JAN2026bhav.csv.zip").read_bytes()).hexdigest()]
     (text,) = h.as_json_lists(manifest).collect()
     assert text.format_ids == '["nse_legacy_cm_bhavcopy_v1"]'
 
