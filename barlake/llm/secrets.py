@@ -92,20 +92,36 @@ def lex_pairs(text: str):
 
 
 def literal_spans(text: str) -> list[tuple[int, int, str, float]]:
-    """(start, end, most sensitive name, score) of the literals that reach a sensitive name."""
+    """(start, end, most sensitive name, score) of the literals that reach a sensitive name.
+
+    Takes time linear in the text, however many literals a name is built of.
+    """
     if "=" not in text and ":" not in text:
         return []
-    held: dict[str, list[tuple[int, int]]] = {}
-    best: dict[tuple[int, int], tuple[float, str]] = {}
+    # Per definition its own literals, the definitions it refers to (all before it), its best weight and name.
+    latest: dict[str, int] = {}
+    own: list[list[tuple[int, int]]] = []
+    refers: list[set[int]] = []
+    reached: list[tuple[float, str]] = []
     for name, literals, names in lex_pairs(text):
-        spans = list(literals)
+        spans, before = list(literals), set()
         for referred, start, end in names:
-            spans += held.get(referred, [(start, end)])
-        # A name that is built from itself again and again would otherwise hold ever more.
-        held[name] = spans = sorted(set(spans))[:64]
-        if weight := name_weight(name):
-            for span in spans:
-                best[span] = max(best.get(span, (0.0, "")), (weight, name))
+            if referred in latest:
+                before.add(latest[referred])
+            else:
+                spans.append((start, end))
+        weight = name_weight(name)
+        latest[name] = len(own)
+        own.append(spans)
+        refers.append(before)
+        reached.append((weight, name) if weight else (0.0, ""))
+    best: dict[tuple[int, int], tuple[float, str]] = {}
+    # A definition is referred to by later ones only: once backwards passes every weight on.
+    for at in range(len(own) - 1, -1, -1):
+        if reached[at][0]:
+            for earlier in refers[at]:
+                reached[earlier] = max(reached[earlier], reached[at])
+            best.update(dict.fromkeys(own[at], reached[at]))
     found = []
     for (start, end), (weight, name) in best.items():
         score = 0.6 * weight + 0.4 * literal_weight(text[start:end])

@@ -119,6 +119,15 @@ def test_literals_follow_constants_to_sensitive_names():
     assert isinstance(secrets.literal_spans(loop), list)
 
 
+def test_all_literals_of_a_name_are_scored():
+    parts = [f"kX9{i:03d}vQ2m" for i in range(101)]
+    loop = f'token = "{parts[0]}"\n' + "".join(f'token = token + "{p}"\n' for p in parts[1:])
+    single = "token = " + " + ".join(f'"{p}"' for p in parts)
+    constant = single.replace("token", "part") + "\nother = part\ntoken = other"
+    for text in (loop, single, constant):
+        assert [text[s:e] for s, e, _, _ in secrets.literal_spans(text)] == parts
+
+
 def test_secrets_of_odd_rows(spark, odd_docs, odd_rows, no_docs):
     got = rows(secrets.secret_spans(odd_docs))
     assert len(got) == len(odd_rows) and all(r["base"] == [] for r in got)
