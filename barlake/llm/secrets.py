@@ -36,11 +36,11 @@ KEY_WORDS = {"api", "access", "private", "signing", "encryption", "master", "ser
 PLACEHOLDERS = re.compile(r"example|changeme|your[_-]|<|\$\{|x{4,}|\*{3,}|placeholder", re.IGNORECASE)
 LEAST_SCORE, LEAST_LENGTH = 0.7, 6
 
-_PAIR = re.compile(
-    r"""(?P<name>[A-Za-z_][A-Za-z0-9_.-]{0,63})["']?[ \t]*(?::=|=>|=(?!=)|:(?!//))[ \t]*
-        (?P<value>(?:"[^"\n]*"|'[^'\n]*'|[^\s"',;(){}\[\]+]+)(?:[ \t]*\+[ \t]*(?:"[^"\n]*"|'[^'\n]*'|[A-Za-z_]\w*))*)""",
-    re.VERBOSE,
-)
+#: A name is taken whole, from the first letter of its run; digits, dots and dashes before it are passed over.
+_BODY = r"""[0-9.-]*(?P<name>[A-Za-z_][A-Za-z0-9_.-]*)["']?[ \t]*(?::=|=>|=(?!=)|:(?!//))[ \t]*
+        (?P<value>(?:"[^"\n]*"|'[^'\n]*'|[^\s"',;(){}\[\]+]+)(?:[ \t]*\+[ \t]*(?:"[^"\n]*"|'[^'\n]*'|[A-Za-z_]\w*))*)"""
+#: A pair is looked for where a run begins, which keeps the search linear, and at the end of the pair before.
+_PAIR, _NEXT = re.compile(r"(?<![A-Za-z0-9_.-])" + _BODY, re.VERBOSE), re.compile(_BODY, re.VERBOSE)
 _PART = re.compile(r"""(?P<quoted>"[^"\n]*"|'[^'\n]*')|(?P<bare>[^\s"'+]+)""")
 _NAME = re.compile(r"\$?\{?([A-Za-z_][A-Za-z0-9_.]*)\}?\Z")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
@@ -76,7 +76,9 @@ def literal_weight(literal: str) -> float:
 
 def lex_pairs(text: str):
     """Assignments in order: (name, literal parts as spans, names it refers to)."""
-    for pair in _PAIR.finditer(text):
+    end_before = 0
+    while pair := _NEXT.match(text, end_before) or _PAIR.search(text, end_before):
+        end_before = pair.end()
         literals, names = [], []
         offset = pair.start("value")
         for part in _PART.finditer(pair["value"]):

@@ -128,6 +128,17 @@ def test_all_literals_of_a_name_are_scored():
         assert [text[s:e] for s, e, _, _ in secrets.literal_spans(text)] == parts
 
 
+def test_long_names_are_taken_whole():
+    name = "password.of.the.primary.database." + "cluster." * 12 + "west.one"
+    constant = "default_" * 12 + "value"
+    text = f'{name} = "qX7z-Lm2p"\n{constant} = "a8Kd0pQ9zz"\npwd = {constant}\n'
+    found = {text[s:e]: n for s, e, n, _ in secrets.literal_spans(text)}
+    assert found == {"qX7z-Lm2p": name, "a8Kd0pQ9zz": "pwd"}
+    # Names within a run that begins with no letter, and right behind a pair.
+    for text in ('run --pwd="qX7z-Lm2p"', '.pwd = "qX7z-Lm2p"', '1pwd = "qX7z-Lm2p"', 'a = "x" + b.pwd = "qX7z-Lm2p"'):
+        assert [text[s:e] for s, e, _, _ in secrets.literal_spans(text)] == ["qX7z-Lm2p"]
+
+
 def test_secrets_of_odd_rows(spark, odd_docs, odd_rows, no_docs):
     got = rows(secrets.secret_spans(odd_docs))
     assert len(got) == len(odd_rows) and all(r["base"] == [] for r in got)
