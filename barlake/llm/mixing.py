@@ -3,12 +3,16 @@
 A naive Bayes classifier, counted on a bounded sample of the labelled table, gives each document
 posterior probabilities of the domains. Rates of the documents, 0 or more, are then fitted by
 projected gradients of least squares, so that the tokens expected of each domain meet the
-targets. An iteration is one sum over the documents; what it finds is one number per domain, and
+targets; where the gradients end short of them, Newton steps on one number per domain find the
+nearest rates that do. An iteration is one sum over the documents; what it finds is one number per domain, and
 a document's rate follows from those numbers and its own posteriors.
 """
 
 from __future__ import annotations
 
+import warnings
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barlake.llm.common import stored
@@ -22,6 +26,8 @@ SMOOTHING = 0.05
 #: Least log ratio of a word's share of a domain to its share of all.
 LEAST_EVIDENCE = 0.7
 ITERATIONS, TOLERANCE = 25, 1e-4
+#: Newton steps at most, the parts of a step that a pass tries, and the weights of its ridge one after the other.
+NEWTON_STEPS, PARTS, RIDGES = 60, (1.0, 0.5, 0.25, 0.0625), (1e-4, 1e-6, 1e-8, 1e-10)
 
 
 def domain_of_labels() -> Column:
@@ -108,17 +114,18 @@ def _inverse(matrix: list[list[float]]) -> list[list[float]]:
     return [row[size:] for row in rows]
 
 
-def rate(steps: list[list[float]], domains: list[str]) -> Column:
-    """A document's rate after the given gradient steps from 1, cut off at 0 after each."""
+def rate(steps: list[list[float]], domains: list[str], start: Column | None = None) -> Column:
+    """A document's rate after the given steps from ``start`` (1), cut off at 0 after each."""
+    start = F.lit(1.0) if start is None else start
     if not steps:
-        return F.lit(1.0)
+        return start
     history = F.array(*[F.array(*[F.lit(float(x)) for x in step]) for step in steps])
 
     def descend(value, step):
         move = sum((step[k] * F.col(f"p_{d}") for k, d in enumerate(domains)), F.lit(0.0))
         return F.greatest(F.lit(0.0), value - move)
 
-    return F.aggregate(history, F.lit(1.0), descend)
+    return F.aggregate(history, start, descend)
 
 
 def fit_rates(members: DataFrame, targets: dict[str, float]) -> tuple[list[list[float]], list[float]]:
@@ -151,12 +158,79 @@ def fit_rates(members: DataFrame, targets: dict[str, float]) -> tuple[list[list[
     return steps, shares
 
 
+def finish_rates(members: DataFrame, targets: dict[str, float]) -> tuple[list[float], list[float], bool]:
+    """One more step from the column ``rate``, the shares that it reaches, and whether it is final.
+
+    The step leads to the rates of 0 or more nearest to ``rate`` (squares weighed by tokens) with
+    the target shares: the minimum of a convex function of one number per domain, found by Newton
+    steps over the documents whose rate is above 0. A small ridge makes the minimum exist where
+    the targets are out of reach; it then is the least-squares point of the shares. Final are
+    shares within ``TOLERANCE``, and such a point.
+    """
+    domains = list(targets)
+    goal, count = np.array([targets[d] for d in domains]), len(domains)
+    tokens = F.col("n_tokens").cast("double")
+    pairs = [(i, j) for i in range(count) for j in range(i, count)]
+
+    def values(points):
+        """At each point the function without ridge, the shares, and the second derivatives, in one pass."""
+        rates = members.select(
+            tokens.alias("tokens"), *[f"p_{d}" for d in domains],
+            *[F.greatest(F.lit(0.0), F.col("rate") - sum((F.lit(float(x)) * F.col(f"p_{d}") for x, d in zip(p, domains, strict=True)), F.lit(0.0))).alias(f"rate_{n}") for n, p in enumerate(points)],
+        )
+        sums = [F.sum("tokens")]
+        for n in range(len(points)):
+            weight, held = F.col("tokens") * F.col(f"rate_{n}"), F.when(F.col(f"rate_{n}") > 0, F.col("tokens")).otherwise(0.0)
+            sums += [F.sum(weight * F.col(f"rate_{n}")), *[F.sum(weight * F.col(f"p_{d}")) for d in domains]]
+            sums += [F.sum(held * F.col(f"p_{domains[i]}") * F.col(f"p_{domains[j]}")) for i, j in pairs]
+        size, *rest = rates.agg(*[c.alias(f"sum_{n}") for n, c in enumerate(sums)]).first()
+        found = []
+        for point, row in zip(points, np.array(rest, float).reshape(len(points), -1) / size if size else [], strict=bool(size)):
+            second = np.zeros((count, count))
+            for (i, j), x in zip(pairs, row[1 + count :], strict=True):
+                second[i, j] = second[j, i] = x
+            found.append((point, row[0] / 2 + point @ goal, row[1 : 1 + count], second))
+        return found
+
+    begun = values([np.zeros(count)])
+    if not begun:
+        return [0.0] * count, [0.0] * count, True
+    (point, value, shares, second), ridge, scale = begun[0], 0, 1.0
+    for _ in range(NEWTON_STEPS):
+        # On to the next ridge where this one's minimum is reached, or steps have become too small to tell.
+        while ridge < len(RIDGES) and (np.abs(goal - shares + RIDGES[ridge] * point).max() <= TOLERANCE / 100 or scale < 1e-9):
+            ridge, scale = ridge + 1, 1.0
+        if np.abs(shares - goal).max() <= TOLERANCE or ridge == len(RIDGES):
+            break
+        sizes, axes = np.linalg.eigh(second)
+        down = goal - shares + RIDGES[ridge] * point
+        step = -axes @ ((axes.T @ down) / (np.maximum(sizes, 0.0) + RIDGES[ridge]))
+        best = min(values([point + scale * part * step for part in PARTS]), key=lambda f: f[1] + RIDGES[ridge] / 2 * (f[0] @ f[0]))
+        if best[1] + RIDGES[ridge] / 2 * (best[0] @ best[0]) < value + RIDGES[ridge] / 2 * (point @ point):
+            (point, value, shares, second), scale = best, 1.0
+        else:
+            scale /= 64
+    final = bool(np.abs(shares - goal).max() <= TOLERANCE or np.abs(goal - shares + RIDGES[-1] * point).max() <= TOLERANCE / 100)
+    return point.tolist(), shares.tolist(), final
+
+
+def mixture(spark: SparkSession, members: DataFrame, targets: dict[str, float]) -> tuple[DataFrame, list[float], bool]:
+    """``members`` with their ``rate``, the shares of the domains reached, and whether no rates come nearer."""
+    domains = list(targets)
+    steps, shares = fit_rates(members, targets)
+    if all(abs(s - targets[d]) <= TOLERANCE for s, d in zip(shares, domains, strict=True)):
+        return members.withColumn("rate", rate(steps, domains)), shares, True
+    begun = stored(spark, members.withColumn("rate", rate(steps, domains)), "rates")
+    step, shares, final = finish_rates(begun, targets)
+    return begun.withColumn("rate", rate([step], domains, F.col("rate"))), shares, final
+
+
 def mix(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, targets: dict[str, float] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """One row per document: ``doc_id, n_tokens, p_<domain>..., rate``.
 
     ``rate`` says how often a document is to be read: its tokens times rate times posterior, summed
     over all documents, are the target shares of all tokens (as near as rates of 0 or more
-    allow). Texts that are null or empty have no tokens and a rate like others of their
+    allow; a warning gives the shares where they are off by more than ``TOLERANCE``). Texts that are null or empty have no tokens and a rate like others of their
     posteriors. Without labels all domains are equally likely. Repeated rows and null doc_ids
     are kept; an empty table gives no rows.
     """
@@ -164,5 +238,9 @@ def mix(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, targets: dic
     domains = list(targets)
     weights = stored(spark, classifier(spark, docs, labels, domains, sample_rows=sample_rows), "weights")
     members = stored(spark, posteriors(docs, weights, domains), "members")
-    steps, _ = fit_rates(members, targets)
-    return members.select("doc_id", "n_tokens", *[f"p_{d}" for d in domains], rate(steps, domains).alias("rate"))
+    mixed, shares, final = mixture(spark, members, targets)
+    if any(shares) and any(abs(s - targets[d]) > TOLERANCE for s, d in zip(shares, domains, strict=True)):
+        why = "no rates of 0 or more come nearer" if final else f"not converged after {NEWTON_STEPS} Newton steps"
+        reached = ", ".join(f"{d} {s:.4f} for {targets[d]:.4f}" for s, d in zip(shares, domains, strict=True))
+        warnings.warn(f"mixture off its targets ({why}): {reached}", stacklevel=2)
+    return mixed.select("doc_id", "n_tokens", *[f"p_{d}" for d in domains], "rate")

@@ -104,6 +104,36 @@ def test_rates_meet_targets_and_match_numpy(spark):
     assert mixing.fit_rates(frame.limit(0), targets)[0] == []
 
 
+def mixed_members(spark, alpha, targets=mixing.TARGETS):
+    random = np.random.default_rng(11)
+    members, tokens = random.dirichlet(alpha, 3000), random.integers(1, 2000, 3000)
+    frame = spark.createDataFrame([(i, int(t), *map(float, p)) for i, (t, p) in enumerate(zip(tokens, members, strict=True))], f"doc_id bigint, n_tokens bigint, {', '.join(f'p_{d} double' for d in targets)}")
+    mixed, shares, final = mixing.mixture(spark, frame, targets)
+    rates = np.array([r.rate for r in mixed.orderBy("doc_id").collect()])
+    assert (rates >= 0).all() and np.allclose(shares, (tokens * rates) @ members / tokens.sum(), atol=1e-9)
+    return members, rates, np.array(shares), final
+
+
+@pytest.mark.parametrize("alpha", [(0.1, 0.1, 0.1), (0.3, 0.2, 0.5), (1, 1, 1)])
+def test_mixture_goes_on_until_targets_are_met(spark, alpha):
+    _, _, shares, final = mixed_members(spark, alpha)
+    assert final and np.abs(shares - list(mixing.TARGETS.values())).max() <= mixing.TOLERANCE
+
+
+def test_mixture_out_of_reach_ends_at_the_nearest_shares(spark):
+    members, rates, shares, final = mixed_members(spark, (10, 10, 10))
+    off = shares - list(mixing.TARGETS.values())
+    assert final and np.abs(off).max() > 0.05
+    # Least squares over rates of 0 or more: no document's rate can lower the distance.
+    assert (members @ off).min() > -1e-4 and abs(shares @ off) < 1e-4
+
+
+def test_mixture_warns_of_targets_out_of_reach(spark, odd_docs):
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    with pytest.warns(UserWarning, match="high 0.3333 for 0.8000"):
+        mixing.mix(spark, odd_docs, labels)
+
+
 def test_mixture_of_documents(spark):
     docs, labels = (table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels"))
     got = by_id(mixing.mix(spark, docs, labels))
