@@ -20,8 +20,9 @@ from barlake.llm.common import words_of
 K = 3
 #: Diagonals this near belong to one span.
 DRIFT = 2
-#: Share of a template's k-grams that must vote, and of its words that must verify.
-LEAST_VOTES, LEAST_SIMILARITY = 0.5, 0.7
+#: Share of a template's words that must verify. One vote is enough to be verified: a word that differs or is
+#: put in takes up to K k-grams away, so asking for more would be stricter than this.
+LEAST_SIMILARITY = 0.7
 
 #: Phrases that are found exactly, with their labels.
 PHRASES = {
@@ -111,7 +112,7 @@ def candidate_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
     # The templates are fixed text, so their table has a fixed size.
     votes = places.join(F.broadcast(template_positions(spark)), "gram")
     diagonals = votes.groupBy("doc_id", "text_hash", "row", "template", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
-        F.count("*").alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last")
+        F.min("pos").alias("first"), F.max("pos").alias("last")
     )
     along = Window.partitionBy("row", "template").orderBy("diagonal")
     far = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > DRIFT, F.lit(True))
@@ -119,12 +120,10 @@ def candidate_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
         diagonals.withColumn("far", far.cast("int"))
         .withColumn("span", F.sum("far").over(along.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy("doc_id", "text_hash", "row", "template", "span")
-        .agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"))
+        .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
     )
-    least = F.element_at(F.array(*[F.lit(LEAST_VOTES * (len(w) - K + 1)) for w, _, _ in TEMPLATES]), F.col("template") + 1)
-    spans = merged.where(F.col("votes") >= least)
     # Rows that repeat a text under one doc_id have the same spans: once is enough.
-    return spans.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("template", "first", "last")).alias("spans"))
+    return merged.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("template", "first", "last", "low", "high")).alias("spans"))
 
 
 def verify(words: list[bytes], spans) -> tuple[list[dict], list[dict]]:
@@ -138,10 +137,13 @@ def verify(words: list[bytes], spans) -> tuple[list[dict], list[dict]]:
                 if tuple(words[at : at + len(template)]) == template:
                     places.add((at, at + len(template), label))
         else:
-            best = SequenceMatcher(None, template, words[first:end], autojunk=False).get_matching_blocks()
+            # The whole template along its diagonals: words beyond the outermost votes may match too.
+            low = max(0, span["low"])
+            best = SequenceMatcher(None, template, words[low : max(end, span["high"] + len(template))], autojunk=False).get_matching_blocks()
             share = sum(block.size for block in best) / len(template)
             if share >= LEAST_SIMILARITY:
-                key = (first, end, label)
+                matched = [block for block in best if block.size]
+                key = (low + matched[0].b, low + matched[-1].b + matched[-1].size, label)
                 passages[key] = max(passages.get(key, 0.0), min(1.0, share))
     keyed = [dict(start=s, end=e, label=n, similarity=1.0) for s, e, n in sorted(places)]
     return keyed, [dict(start=s, end=e, label=n, similarity=w) for (s, e, n), w in sorted(passages.items())]

@@ -266,6 +266,17 @@ def test_licenses_are_found_with_words_put_in(spark, make_docs):
     assert got[2]["passages"] == []
 
 
+def test_licenses_with_few_votes_are_verified(spark, make_docs):
+    template = "permission is hereby granted free of charge to any person obtaining a copy of this software".split()
+    changed = [f"x{i}" if i in (2, 5, 8, 11) else w for i, w in enumerate(template)]
+    spread = " ".join(w + " really" * (i in (2, 5, 8, 11)) for i, w in enumerate(template))
+    wrong = [f"x{i}" if i in (1, 4, 7, 10, 12) else w for i, w in enumerate(template)]
+    texts = [(1, "see " + " ".join(changed) + " here"), (2, spread), (3, " ".join(wrong))]
+    got = by_id(licenses.license_spans(spark, make_docs(texts)))
+    assert got[1]["passages"] == [dict(start=1, end=17, label="mit", similarity=0.75)]
+    assert [p["label"] for p in got[2]["passages"]] == ["mit"] and got[3]["passages"] == []
+
+
 def test_licenses_of_odd_rows(spark, odd_docs, odd_rows, no_docs, make_docs):
     got = rows(licenses.license_spans(spark, odd_docs))
     assert len(got) == len(odd_rows) and all(r["places"] == [] for r in got)
