@@ -24,7 +24,7 @@ from barlake.llm.tokens import BYTE_BPE, byte_ids
 
 CAPACITY, SEPARATOR = 2048, 0
 #: Pieces of a problem, islands a problem, epochs with a migration between, children an epoch.
-PROBLEM, ISLANDS, EPOCHS, CHILDREN, POPULATION = 2000, 3, 2, 30, 6
+PROBLEM, ISLANDS, EPOCHS, CHILDREN, POPULATION = 5000, 3, 2, 30, 6
 #: The share of a problem's bins, the emptiest with any room, that is opened again.
 OPEN_BINS = 0.125
 
