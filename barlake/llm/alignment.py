@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from barlake.llm.common import stored
-from barlake.llm.tokens import BYTE_BPE, PIECE_BPE, byte_ids, byte_table, piece_ids, piece_table
+from barlake.llm.tokens import BYTE_BPE, PIECE_BPE, byte_encoder, byte_table, piece_encoder, piece_table
 
 #: Ends merged by one piece.
 PIECE = 1 << 16
@@ -71,13 +71,13 @@ def groups(ends_a: np.ndarray, ends_b: np.ndarray, size: int = PIECE) -> tuple[n
     return np.diff(np.concatenate(last_a)), np.diff(np.concatenate(last_b))
 
 
-def token_pair(text: str | None, ids_a: np.ndarray, a: str, b: str):
+def token_pair(text: str | None, a: str, b: str):
     """Ids and ends of both tokenizers over a blank and the text; none unless both give its bytes back."""
     none = np.empty(0, np.uint32), np.empty(0, np.int64)
     if not text:
         return *none, *none
+    ids_a, ids_b = byte_encoder(a)(" " + text), piece_encoder(b)(text)
     said = (" " + text).encode()
-    ids_b = piece_ids(text, b)
     (bytes_a, sizes_a), (bytes_b, sizes_b) = byte_table(a), piece_table(b)
     for ids, entries in ((ids_a, bytes_a), (ids_b, bytes_b)):
         if b"".join(map(entries.__getitem__, ids.tolist())) != said:
@@ -85,6 +85,12 @@ def token_pair(text: str | None, ids_a: np.ndarray, a: str, b: str):
     return ids_a, np.cumsum(sizes_a[ids_a]), ids_b, np.cumsum(sizes_b[ids_b])
 
 
+def aligned(text: str | None, a: str, b: str, piece: int = PIECE):
+    """Ids of both tokenizers and the numbers of tokens of each group."""
+    ids_a, ends_a, ids_b, ends_b = token_pair(text, a, b)
+    return ids_a, ids_b, *groups(ends_a, ends_b, piece)
+
+
 def written_groups(ids_a: np.ndarray, ids_b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray, marks: list[str]) -> str:
     """``a1,a2|b1;a3|b2,b3``: the ids of each group, B's behind A's."""
     if not len(sizes_a):
@@ -113,45 +119,49 @@ def align(docs: DataFrame, *, a: str = BYTE_BPE, b: str = PIECE_BPE, piece: int
 
     def over_all(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            of_a = byte_ids([" " + t if t else "" for t in texts], a)
             # Documents leave one by one, so that the tokens of a batch are not held together.
-            for number, (text, ids_a) in enumerate(zip(texts, of_a, strict=True)):
-                ids_a, ends_a, ids_b, ends_b = token_pair(text, ids_a, a, b)
-                sizes = groups(ends_a, ends_b, piece)
-                lists = [pa.array([v.astype(np.int32)], pa.list_(pa.int32())) for v in (ids_a, ids_b, *sizes)]
+            for number, text in enumerate(batch.column("text")):
+                lists = [pa.array([v.astype(np.int32)], pa.list_(pa.int32())) for v in aligned(text.as_py(), a, b, piece)]
                 yield pa.record_batch([batch.column("doc_id").slice(number, 1), *lists], ["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"])
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(over_all, _ALIGNED)
+    return _texts(docs).mapInArrow(over_all, _ALIGNED)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 _LINKED = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, pairs array<bigint>, times array<bigint>"
 
 
-def link_pairs(aligned: DataFrame) -> DataFrame:
-    """Counts and digest of each document, with its linked id pairs (A's in the upper 32 bits) and how often each occurs."""
+def link_pairs(docs: DataFrame, *, a: str = BYTE_BPE, b: str = PIECE_BPE, piece: int = PIECE) -> DataFrame:
+    """What ``align`` finds as counts and a digest, and each document's linked id pairs (A's in the upper 32 bits)
+    with how often each occurs. Tokens stay in the task."""
+
+    def rows(doc_ids, texts, marks):
+        found: tuple[list, ...] = ([], [], [], [], [], [])
+        for text in texts:
+            ids_a, ids_b, sizes_a, sizes_b = aligned(text.as_py(), a, b, piece)
+            said = written_groups(ids_a, ids_b, sizes_a, sizes_b, marks)
+            # The last tokens of a group are those that end together.
+            linked_a, linked_b = (ids[np.cumsum(sizes) - 1].astype(np.int64) for ids, sizes in ((ids_a, sizes_a), (ids_b, sizes_b)))
+            pairs, times = np.unique(linked_a << 32 | linked_b, return_counts=True)
+            digest = hashlib.sha256(said.encode()).hexdigest() if said else ""
+            for column, value in zip(found, (len(ids_a), len(ids_b), len(sizes_a), digest, pairs, times), strict=True):
+                column.append(value)
+        kinds = [pa.int64()] * 3 + [pa.string()] + [pa.list_(pa.int64())] * 2
+        columns = [pa.array(c, k) for c, k in zip(found, kinds, strict=True)]
+        return pa.record_batch([doc_ids, *columns], ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs", "times"])
 
     def over_all(batches):
-        marks: list[str] = []
+        most = max(len(byte_table(a)[0]), len(piece_table(b)[0]))
+        marks = [f"{i}{mark}" for i in range(most) for mark in ",|;"]
         for batch in batches:
-            rows: tuple[list, ...] = ([], [], [], [], [], [])
-            for at in range(batch.num_rows):
-                ids_a, ids_b, sizes_a, sizes_b = (batch.column(c)[at].values.to_numpy() for c in ("a_ids", "b_ids", "a_sizes", "b_sizes"))
-                most = int(max(ids_a.max(initial=0), ids_b.max(initial=0)))
-                marks += [f"{i}{mark}" for i in range(len(marks) // 3, most + 1) for mark in ",|;"]
-                text = written_groups(ids_a, ids_b, sizes_a, sizes_b, marks)
-                # The last tokens of a group are those that end together.
-                linked_a, linked_b = ids_a[np.cumsum(sizes_a) - 1].astype(np.int64), ids_b[np.cumsum(sizes_b) - 1]
-                pairs, times = np.unique(linked_a << 32 | linked_b, return_counts=True)
-                digest = hashlib.sha256(text.encode()).hexdigest() if text else ""
-                for column, value in zip(rows, (len(ids_a), len(ids_b), len(sizes_a), digest, pairs, times), strict=True):
-                    column.append(value)
-            kinds = [pa.int64()] * 3 + [pa.string()] + [pa.list_(pa.int64())] * 2
-            columns = [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)]
-            yield pa.record_batch([batch.column("doc_id"), *columns], ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs", "times"])
-
-    return aligned.mapInArrow(over_all, _LINKED)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                yield rows(part.column("doc_id"), part.column("text"), marks)
+
+    return _texts(docs).mapInArrow(over_all, _LINKED)
 
 
 def pair_counts(spark: SparkSession, linked: DataFrame) -> DataFrame:
@@ -169,7 +179,7 @@ def alignment_totals(spark: SparkSession, docs: DataFrame, *, a: str = BYTE_BPE,
     document lies: there can be no more than 10,000 of those. Any other is in few documents, so
     the shuffle by pair has no hot key.
     """
-    linked = link_pairs(align(docs, a=a, b=b, piece=piece)).withColumn("row", F.monotonically_increasing_id())
+    linked = link_pairs(docs, a=a, b=b, piece=piece).withColumn("row", F.monotonically_increasing_id())
     linked = stored(spark, linked, "linked")
     counts = pair_counts(spark, linked)
     total = counts.agg(F.sum("count").alias("total")).first()["total"] or 0

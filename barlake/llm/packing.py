@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from barlake.llm.common import stored
-from barlake.llm.tokens import BYTE_BPE, byte_ids
+from barlake.llm.tokens import BYTE_BPE, byte_encoder
 
 CAPACITY, SEPARATOR = 2048, 0
 #: Pieces of a problem, islands a problem, epochs with a migration between, children an epoch.
@@ -45,11 +45,11 @@ def pieces(docs: DataFrame, *, capacity: int = CAPACITY, path: str = BYTE_BPE, w
     """
 
     def over_all(batches):
+        encode = byte_encoder(path, plain=False)
         for batch in batches:
             rows: tuple[list, ...] = ([], [], [], [], [], [])
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), byte_ids(texts, path, plain=False), strict=True):
-                ids = np.append(ids, np.uint32(SEPARATOR)).astype("<u4")
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                ids = np.append(encode(text.as_py() or ""), np.uint32(SEPARATOR)).astype("<u4")
                 starts = piece_starts(len(ids), capacity)
                 for piece, (start, end) in enumerate(zip(starts, [*starts[1:], len(ids)], strict=True)):
                     part = ids[start:end]

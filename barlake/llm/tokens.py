@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from functools import lru_cache
 
 import numpy as np
 import sentencepiece
+import tiktoken
 from tokenizers import Tokenizer
 
-from barlake.llm.common import slices
+from barlake.llm.chat import PIECES
 
 BYTE_BPE, PIECE_BPE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
-#: Characters encoded at a time: the library keeps some 100 bytes a token until it is done.
-_TOGETHER = 1 << 20
-#: A single blank between two words always starts a piece, so a text may be cut before it.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Runs without blanks that are too long for an encoder of quadratic time.
+_LONG_RUN = re.compile(r"\S{4096}")
 
 
 @lru_cache(maxsize=4)
@@ -33,30 +33,42 @@ def piece_bpe(path: str) -> sentencepiece.SentencePieceProcessor:
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
-def cuts(text: str, most: int = _TOGETHER) -> list[str]:
-    """The text in parts of about ``most`` characters whose ids join to those of the whole."""
-    parts, start = [], 0
-    while len(text) - start > most and (cut := _CUT.search(text, start + most)):
-        parts.append(text[start : cut.start()])
-        start = cut.start()
-    return [*parts, text[start:]]
+def byte_encoder(path: str = BYTE_BPE, *, plain: bool = True):
+    """Encodes by a byte-level vocabulary; with ``plain`` the strings of special tokens are ordinary text.
 
+    Ids are those of the ``tokenizers`` library, found by a faster one with the same merges and pieces;
+    texts with a very long run without blanks, on which that takes quadratic time, go to the library itself.
+    """
+    slow, fast = byte_bpe(path, plain), _ranked(path)
+    special = set() if plain else set(fast.special_tokens_set)
 
-def byte_ids(texts: list[str], path: str = BYTE_BPE, *, plain: bool = True):
-    """For each text its ids; with ``plain`` the strings of special tokens are ordinary text."""
-    tokenizer = byte_bpe(path, plain)
-    for start, end in slices([len(t) for t in texts], _TOGETHER):
-        parts = [cuts(t) for t in texts[start:end]]
-        if len(parts) == 1:
-            # A long text: one part at a time.
-            yield np.concatenate([np.array(tokenizer.encode_batch_fast([p], add_special_tokens=False)[0].ids, np.uint32) for p in parts[0]])
-            continue
-        for found in tokenizer.encode_batch_fast([p for (p,) in parts], add_special_tokens=False):
-            yield np.array(found.ids, np.uint32)
+    def encode(text: str) -> np.ndarray:
+        if _LONG_RUN.search(text):
+            return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(fast.encode(text, allowed_special=special, disallowed_special=()), np.uint32)
 
+    return encode
 
-def piece_ids(text: str, path: str = PIECE_BPE) -> np.ndarray:
-    return np.array(piece_bpe(path).encode(text, num_threads=1), np.uint32)
+
+@lru_cache(maxsize=2)
+def _ranked(path: str) -> tiktoken.Encoding:
+    """The vocabulary as ranks; its merges must make its ids in order."""
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    entries, merges = told["model"]["vocab"], told["model"]["merges"]
+    made = [entries["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in merges]
+    if made != list(range(256, 256 + len(merges))):
+        raise ValueError(f"{path}: merges are not in the order of their ids")
+    special = {t["content"]: t["id"] for t in told["added_tokens"]}
+    table = byte_table(path)[0]
+    ranks = {table[i]: i for entry, i in entries.items() if entry not in special}
+    return tiktoken.Encoding("ranks", pat_str=PIECES, mergeable_ranks=ranks, special_tokens=special)
+
+
+def piece_encoder(path: str = PIECE_BPE):
+    """Encodes by a vocabulary of pieces, which itself puts a blank before the text."""
+    model = piece_bpe(path)
+    return lambda text: np.array(model.encode(text, num_threads=1), np.uint32)
 
 
 def _byte_letters() -> dict[str, int]:

@@ -81,18 +81,17 @@ def test_pieces_of_odd_rows(make_docs, plain_ids):
     assert piece_starts(1, 10) == [0] and piece_starts(10, 10) == [0] and piece_starts(11, 10) == [0, 1] and piece_starts(30, 10) == [0, 10, 20]
 
 
-def test_long_texts_are_encoded_in_parts_with_equal_ids(plain_ids, monkeypatch):
-    texts = ["a b  c\n d <|endoftext|>  é 12 's x" * 40, "nospace" * 50, "", " lead and trail "]
-    whole = [ids.tolist() for ids in tokens.byte_ids(texts, plain=False)]
-    assert whole == [plain_ids(t)[:-1] for t in texts]
-    for text in texts:
-        for most in (1, 7, 50):
-            parts = tokens.cuts(text, most)
-            assert "".join(parts) == text
-            joined = [i for ids in tokens.byte_ids(parts, plain=False) for i in ids.tolist()]
-            assert joined == plain_ids(text)[:-1]
-    monkeypatch.setattr(tokens, "_TOGETHER", 16)
-    assert [ids.tolist() for ids in tokens.byte_ids(texts, plain=False)] == whole
+TEXTS = [
+    "a b  c\n d <|endoftext|>  é 12 's x" * 40, "nospace" * 50, "", " ", "  ", " lead and trail ", "a \n b", "a\n \nb", "한국어 é\u00a0x <s> ▁ a▁b",
+    "\u2003x y\u3000 z", "tab\t x 's 't", "a\u0301 \u0301b ﬁ ½ x", "\x00 \x1f \x85 x", "😀 😀😀 \u200b x",
+]
+
+
+def test_ids_are_those_of_the_library(plain_ids, documents):
+    slow = tokens.byte_bpe(tokens.BYTE_BPE, True)
+    for text in TEXTS + ["x" * 5000 + " y", "xy" * 3000] + [r.text for r in documents.collect()]:
+        assert tokens.byte_encoder(plain=False)(text).tolist() == plain_ids(text)[:-1], text[:50]
+        assert tokens.byte_encoder()(text).tolist() == slow.encode(text, add_special_tokens=False).ids
 
 
 def test_many_problems_and_levels_lose_nothing(spark):
