@@ -51,6 +51,13 @@ def assert_decisions(df: DataFrame) -> DataFrame:
     return decisions
 
 
+def sound_weights(decisions: DataFrame) -> DataFrame:
+    """The same rows; a row without date, weight or rank, or with a negative weight, fails the plan."""
+    bad = F.col("date").isNull() | F.col("target_weight").isNull() | F.col("rank").isNull() | (F.col("target_weight") < 0)
+    broken = F.raise_error(F.concat(F.lit("decisions break the contract: "), F.to_json(F.struct(*decisions.columns))))
+    return decisions.withColumn("target_weight", F.when(bad, broken.cast("double")).otherwise(F.col("target_weight")))
+
+
 def in_decision_order(decisions: DataFrame) -> DataFrame:
     return decisions.orderBy(*DECISION_ORDER)
 

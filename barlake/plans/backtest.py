@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable, Iterable
-from datetime import date, timedelta
+from datetime import date
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from barlake.functions.dates import days_between
 from barlake.functions.series import MAX_SERIES_ROWS
-from barlake.operators.asof import lookback_slices
-from barlake.operators.decisions import decision_frame, fill_payload
+from barlake.operators.decisions import assert_decisions, decision_frame, fill_payload, sound_weights
 from barlake.operators.features import feature_frame
+from barlake.plans.slices import KEYS, PART_ROWS, SliceRuntime, largest_slice, slide
 from barlake.schema import ContractError
 from barlake.sources.bars import date_window, trading_dates
+from barlake.storage import delete_path, move_path, path_exists, remove_others
 
 # A declarative strategy: (bars or features, as-of dates) -> decisions of all dates.
 Strategy = Callable[[DataFrame, DataFrame], DataFrame]
 
 # Rows one call of a black-box strategy may receive.
 MAX_SLICE_ROWS = 5_000_000
-# Parts of the universe that a per-instrument strategy is called on, per date.
+# Least number of parts of the universe that a per-instrument strategy is called on.
 PARTS = 4
 
 
@@ -42,10 +45,14 @@ def run_backtest(
     strategy: Strategy, bars: DataFrame, *, start: date | None = None, end: date | None = None,
     dates: Iterable[date] | DataFrame | None = None,
 ) -> DataFrame:
-    """Decisions of a declarative strategy on every decision date, as one plan."""
+    """Decisions of a declarative strategy on every decision date, as one plan.
+
+    Rows that can be told wrong by themselves (no date, weight or rank, a negative weight) fail the plan; repeated keys need a
+    shuffle and are found where decisions are written.
+    """
     as_of = decision_dates(bars, start=start, end=end, dates=dates)
     known = bars if end is None else bars.where(F.col("date") <= F.lit(end))
-    decided = date_window(decision_frame(strategy(known, as_of)), start, end)
+    decided = date_window(sound_weights(decision_frame(strategy(known, as_of))), start, end)
     if dates is None:
         return decided
     return decided.join(as_of.select(F.col("as_of").alias("date")), "date", "left_semi")
@@ -75,22 +82,56 @@ def chunk_plan(dates: DataFrame, *, chunk_size: int, warmup_days: int) -> DataFr
     )
 
 
+def date_digests(bars: DataFrame) -> dict[date, str]:
+    """A digest of each date's rows, whatever their order and files: one row per date, one pass."""
+    columns = sorted(bars.columns)
+    row = F.xxhash64(F.struct(*columns))
+    again = F.xxhash64(F.lit(1), F.struct(*reversed(columns)))
+    total = [F.sum(value.cast("decimal(38,0)")).alias(name) for name, value in (("first", row), ("second", again))]
+    found = bars.groupBy("date").agg(F.count("*").alias("rows"), *total)
+    return {r.date: f"{r.rows}:{r.first}:{r.second}" for r in found.collect()}
+
+
+def _chunk_name(chunk, version: str, digests: dict[date, str]) -> str:
+    """A name that says what a chunk's decisions come from: plan, strategy and input."""
+    first, last = chunk.market_start or date.min, chunk.chunk_end
+    told = [f"{chunk.chunk_id}:{chunk.market_start}:{chunk.chunk_start}:{last}", version]
+    told += [f"{day}={digests[day]}" for day in sorted(digests) if first <= day <= last]
+    return "chunk-" + hashlib.sha256("\n".join(told).encode()).hexdigest()
+
+
 def chunked_backtest(
-    strategy: Strategy, bars: DataFrame, plan: DataFrame, path: str
+    strategy: Strategy, bars: DataFrame, plan: DataFrame, path: str, *, version: str | None = None
 ) -> DataFrame:
-    """Decisions of a strategy chunk by chunk, written below ``path`` as they are made.
+    """Decisions of a strategy chunk by chunk, written below ``path`` as they are made, with ``chunk_id``.
 
     A chunk sees the bars from its warm-up (all earlier ones without) to its end, by a scan of
-    those months. Running again overwrites; a chunk without any bars is an error.
+    those months. Each chunk's folder is named by a digest of its dates, the strategy's ``version``
+    and the bars it sees, so chunks of another plan, strategy or input are never read; they are
+    removed in the end. With a version, chunks that were complete before are not made again, so
+    that a job that broke off goes on where it was. Decisions are checked as they are written; a chunk that breaks their
+    contract, or has no bars, is an error.
     """
+    spark = bars.sparkSession
+    digests = date_digests(bars)
+    names = []
     # One row per chunk of trading dates.
     for chunk in plan.orderBy("chunk_id").collect():
-        seen = date_window(bars, chunk.market_start, chunk.chunk_end)
-        if date_window(seen, chunk.chunk_start).isEmpty():
+        name = _chunk_name(chunk, version or uuid.uuid4().hex, digests)
+        names.append(name)
+        if path_exists(spark, f"{path}/{name}/_SUCCESS"):
+            continue
+        if not any(chunk.chunk_start <= day <= chunk.chunk_end for day in digests):
             raise ContractError(f"chunk {chunk.chunk_id} has no bars from {chunk.chunk_start} on")
+        seen = date_window(bars, chunk.market_start, chunk.chunk_end)
         decided = run_backtest(strategy, seen, start=chunk.chunk_start, end=chunk.chunk_end)
-        decided.write.mode("overwrite").parquet(f"{path}/chunk_id={chunk.chunk_id}")
-    return bars.sparkSession.read.parquet(path)
+        unchecked = f"{path}/_{name}"
+        decided.withColumn("chunk_id", F.lit(chunk.chunk_id)).write.mode("overwrite").parquet(unchecked)
+        assert_decisions(spark.read.parquet(unchecked).drop("chunk_id"))
+        delete_path(spark, f"{path}/{name}")
+        move_path(spark, unchecked, f"{path}/{name}")
+    remove_others(spark, path, names)
+    return spark.read.parquet(*[f"{path}/{name}" for name in names])
 
 
 def chunked_bars(
@@ -125,54 +166,6 @@ def chunked_features(
     return seen.where(F.col("date") >= F.col("chunk_start")).drop("chunk_start")
 
 
-class SliceRuntime:
-    """What a black-box strategy may ask for: a point-in-time slice, already in memory."""
-
-    def __init__(self, rows: pd.DataFrame, as_of: date) -> None:
-        self._rows, self._as_of = rows, as_of
-
-    def _select(self, *, exchange=None, as_of_date=None, start_date=None, lookback_days=None,
-                symbols=None, series=None) -> pd.DataFrame:
-        rows = self._rows
-        if lookback_days is not None:
-            if as_of_date is None:
-                raise ValueError("lookback_days requires as_of_date")
-            horizon = as_of_date - timedelta(days=int(lookback_days))
-            start_date = horizon if start_date is None else max(start_date, horizon)
-        keep = pd.Series(True, index=rows.index)
-        if exchange is not None:
-            keep &= rows["exchange"] == exchange
-        if as_of_date is not None:
-            keep &= rows["date"] <= as_of_date
-        if start_date is not None:
-            keep &= rows["date"] >= start_date
-        if symbols:
-            keep &= rows["symbol"].isin(symbols)
-        if series is not None:
-            keep &= rows["series"].isin([series] if isinstance(series, str) else series)
-        return rows[keep]
-
-    def market_data(self, *, columns=None, **filters) -> pd.DataFrame:
-        found = self._select(**filters).sort_values(["date", "exchange", "symbol"])
-        return (found if columns is None else found[list(columns)]).reset_index(drop=True)
-
-    feature_data = market_data
-
-    def latest_features(self, *, as_of_date, **filters) -> pd.DataFrame:
-        return self.market_data(as_of_date=as_of_date, start_date=as_of_date, **filters)
-
-    def trading_dates(self, *, exchange=None, start_date=None, end_date=None) -> list[date]:
-        rows = self._select(exchange=exchange, as_of_date=end_date, start_date=start_date)
-        return sorted(rows["date"].unique())
-
-
-def largest_slice(bars: DataFrame, as_of: DataFrame, lookback_days: int) -> int:
-    """Rows of the largest look-back slice, from bar counts per date alone."""
-    counts = bars.groupBy("date").agg(F.count("*").alias("n"))
-    totals = lookback_slices(counts, as_of, lookback_days).groupBy("as_of").agg(F.sum("n").alias("n"))
-    return totals.agg(F.max("n").alias("n")).first()["n"] or 0
-
-
 _PAYLOAD = (
     "date date, exchange string, isin string, symbol string, target_weight double, "
     "rank bigint, score double, position bigint"
@@ -187,42 +180,44 @@ def blackbox_decisions(
     lookback_days: int,
     dates: Iterable[date] | DataFrame | None = None,
     columns: Iterable[str] | None = None,
+    features: DataFrame | None = None,
     per_instrument: bool = False,
     max_slice_rows: int = MAX_SLICE_ROWS,
     parts: int = PARTS,
 ) -> DataFrame:
-    """Decisions of an opaque Python strategy, ``decide(as_of, runtime)``.
-
-    Each call gets the bars (or features) of its look-back and nothing later; it returns
-    None, a list of dicts or a DataFrame. A strategy that scores instruments one by one
-    (``per_instrument``) is called on ``parts`` of the universe; where it gives no rank,
-    Spark numbers all rows of a date by falling score, symbol, exchange and isin, so that
-    the number of parts never shows. One that must see the whole universe is called once
-    per date, keeps its own order, and fails beyond ``max_slice_rows``; rows are never
-    dropped.
+    """Decisions of an opaque Python strategy, ``decide(as_of, runtime)``, on every trading date or on ``dates``.
+
+    Each call gets the bars, and the rows of ``features``, of its look-back and nothing later; it
+    returns None, a list of dicts or a DataFrame. A strategy that scores instruments one by
+    one (``per_instrument``) is called on at least ``parts`` of the universe, more if slices are
+    large; where it gives no rank, Spark numbers all rows of a date by falling score, symbol,
+    exchange and isin, so that the number of parts never shows. One that must see the whole
+    universe is called once per date, keeps its own order, and fails beyond
+    ``max_slice_rows``; rows are never dropped. See ``slices`` for how rows reach the calls.
     """
-    as_of = decision_dates(bars, dates=dates)
+    # One row per trading date and as-of date: bounded by the calendar.
+    counts: dict[date, int] = {}
+    for table in [bars] if features is None else [bars, features]:
+        for row in table.groupBy("date").count().collect():
+            counts[row["date"]] = counts.get(row["date"], 0) + row["count"]
+    days = [row.as_of for row in decision_dates(bars, dates=dates).collect()]
+    largest = largest_slice(counts, days, lookback_days)
     if not per_instrument:
         parts = 1
-        largest = largest_slice(bars, as_of, lookback_days)
         if largest > max_slice_rows:
             raise ContractError(
                 f"a slice has {largest} rows, more than {max_slice_rows}: score per "
                 "instrument, shorten the look-back, or state the strategy with DataFrames"
             )
+    else:
+        parts = max(parts, -(-largest // PART_ROWS))
     if columns is not None:
-        needed = ["date", "exchange", "isin", "symbol", "series"]
-        bars = bars.select(*dict.fromkeys([*needed, *columns]))
-
-    def call(pdf: pd.DataFrame) -> pd.DataFrame:
-        day = pdf["as_of"].iloc[0]
-        rows = pdf.drop(columns=["as_of", "_part"]).sort_values(["date", "exchange", "symbol"])
-        result = decide(day, SliceRuntime(rows.reset_index(drop=True), day))
-        return _payload_rows(result, day)
-
-    part = F.pmod(F.xxhash64("exchange", "symbol"), F.lit(parts))
-    slices = lookback_slices(bars, as_of, lookback_days).withColumn("_part", part)
-    payload = slices.groupBy("as_of", "_part").applyInPandas(call, _PAYLOAD)
+        bars = bars.select(*dict.fromkeys([*KEYS, *columns]))
+
+    def call(as_of: date, runtime: SliceRuntime) -> pd.DataFrame:
+        return _payload_rows(decide(as_of, runtime), as_of)
+
+    payload = slide(bars, days, call, _PAYLOAD, lookback_days=lookback_days, parts=parts, features=features)
     if per_instrument:
         per_date = Window.partitionBy("date").orderBy(
             F.col("score").desc_nulls_last(), "symbol", "exchange", "isin", "position"

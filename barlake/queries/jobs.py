@@ -73,16 +73,21 @@ def upsert_table(spark, sf_dir):
 
 
 def upsert_duplicates(spark, sf_dir):
-    """Refreshed rows that repeat their keys: the one read last stays, in new months as well."""
+    """Refreshed rows that repeat their keys, over files of different size: the later file's last row stays."""
     rows = a.bars(spark, sf_dir)
     path, refreshed = scratch_dir(spark, "bars"), scratch_dir(spark, "refreshed")
     write_months(rows.where(F.year("date") < 1998), path)
     again = _refreshed(rows)
-    # One file, so that the order of reading is the order of writing.
-    again.withColumn("_n", F.lit(0)).unionByName(
-        again.withColumns({"close": F.col("close") + 1, "_n": F.lit(1)})
-    ).orderBy(*BAR_KEY, "_n").drop("_n").coalesce(1).write.parquet(refreshed)
-    upsert_bars(spark, spark.read.parquet(refreshed), path)
+
+    def close_plus(*added):
+        times = F.explode(F.array(*map(F.lit, added)))
+        return again.withColumn("_add", times).orderBy(*BAR_KEY, "_add").withColumn("close", F.col("close") + F.col("_add")).drop("_add").coalesce(1)
+
+    # The first and the last file are the smaller ones.
+    for name, added in (("1", (7.0,)), ("2", (2.0, 3.0, 4.0)), ("3", (0.5, 1.0))):
+        close_plus(*added).write.parquet(f"{refreshed}/{name}")
+    files = [f"{refreshed}/{name}" for name in ("2", "3", "1")]
+    upsert_bars(spark, spark.read.parquet(*files), path)
     return _closes(read_months(spark, path))
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barlake.operators import decisions as dec
+from barlake.operators.features import feature_frame
 from barlake.operators.returns import forward_returns
 from barlake.plans import performance as perf
 from barlake.plans.backtest import blackbox_decisions, chunk_plan, chunked_backtest as run_chunks, rank_scores, run_backtest
 from barlake.queries import adapter as a
-from barlake.queries.scans import _MONTH_ENDS, _month_ends
+from barlake.queries.features import _FEATURES_SQL
 from barlake.session import scratch_dir
 from barlake.storage import read_months, write_months
 
@@ -25,12 +26,14 @@ def topn_decisions(spark, sf_dir):
 
 
 def chunked_backtest(spark, sf_dir):
-    """The same decisions, made chunk by chunk from a written table."""
+    """The same decisions, made chunk by chunk from a written table, after those of a plan with other chunks."""
     path = scratch_dir(spark, "bars")
     write_months(a.bars(spark, sf_dir), path)
     table = read_months(spark, path)
-    plan = chunk_plan(table.select("date"), chunk_size=500, warmup_days=30)
-    decided = run_chunks(lambda known, dates: _topn(known), table, plan, scratch_dir(spark, "decisions"))
+    decisions = scratch_dir(spark, "decisions")
+    for size in (400, 500):
+        plan = chunk_plan(table.select("date"), chunk_size=size, warmup_days=30)
+        decided = run_chunks(lambda known, dates: _topn(known), table, plan, decisions, version="1")
     return decided.drop("chunk_id").withColumn("target_weight", F.round("target_weight", 6))
 
 
@@ -161,7 +164,7 @@ def _cross_section(as_of, runtime):
 def blackbox_strategy(spark, sf_dir):
     decided = blackbox_decisions(
         a.bars(spark, sf_dir), _cross_section, strategy_id="blackbox_v1", lookback_days=10,
-        dates=_month_ends(spark, sf_dir), columns=["adj_close"],
+        columns=["adj_close"],
     )
     return _rounded(decided, "target_weight")
 
@@ -169,7 +172,7 @@ def blackbox_strategy(spark, sf_dir):
 def blackbox_scores(spark, sf_dir):
     scored = blackbox_decisions(
         a.bars(spark, sf_dir), _momentum, strategy_id="momentum_v1", lookback_days=30,
-        dates=_month_ends(spark, sf_dir), columns=["adj_close"], per_instrument=True, parts=2,
+        columns=["adj_close"], per_instrument=True, parts=2,
     )
     return _rounded(rank_scores(scored, top_n=4), "target_weight", "score")
 
@@ -178,11 +181,33 @@ def blackbox_ranks(spark, sf_dir):
     """Ranks that Spark gives the scores of all parts of the universe."""
     scored = blackbox_decisions(
         a.bars(spark, sf_dir), _last_close, strategy_id="close_v1", lookback_days=5,
-        dates=_month_ends(spark, sf_dir), columns=["adj_close"], per_instrument=True, parts=3,
+        columns=["adj_close"], per_instrument=True, parts=3,
     )
     return scored.select("date", "exchange", "isin", "symbol", "rank", "score")
 
 
+def _steady(as_of, runtime):
+    """Today's feature over the mean of the slice, for instruments whose last bar closed above its average."""
+    told = runtime.feature_data(as_of_date=as_of, series="EQ", columns=["date", "exchange", "symbol", "ema_20"])
+    mean = told.groupby(["exchange", "symbol"])["ema_20"].mean().rename("mean_ema").reset_index()
+    last = runtime.latest_features(as_of_date=as_of, columns=["exchange", "isin", "symbol", "ema_20"])
+    closes = runtime.market_data(as_of_date=as_of, lookback_days=0, columns=["exchange", "symbol", "adj_close"])
+    rows = last.merge(closes, on=["exchange", "symbol"]).merge(mean, on=["exchange", "symbol"])
+    rows = rows[rows["adj_close"] > rows["ema_20"]]
+    return rows[["exchange", "isin", "symbol"]].assign(score=rows["ema_20"] / rows["mean_ema"], target_weight=0.0)
+
+
+def blackbox_features(spark, sf_dir):
+    """A strategy that reads bars and features side by side."""
+    bars = a.bars(spark, sf_dir)
+    features = feature_frame(bars, columns=["date", "exchange", "isin", "symbol", "series", "ema_20"], max_rows=None)
+    scored = blackbox_decisions(
+        bars, _steady, strategy_id="steady_v1", lookback_days=20,
+        columns=["adj_close"], features=features, per_instrument=True, parts=2,
+    )
+    return _rounded(scored.select("date", "exchange", "isin", "symbol", "score"), "score")
+
+
 def _last_close(as_of, runtime):
     today = runtime.latest_features(as_of_date=as_of)
     return today[["exchange", "isin", "symbol"]].assign(score=today["adj_close"], target_weight=0.0)
@@ -219,10 +244,10 @@ def decision_violations(spark, sf_dir):
 _TOPN = "date, strategy_id, exchange, isin, symbol, round(target_weight, 6) AS target_weight, rank, score"
 
 STRATEGY_QUERIES = {
-    "blackbox_ranks": (blackbox_ranks, a.with_sql(_MONTH_ENDS, select="""
+    "blackbox_ranks": (blackbox_ranks, a.with_sql(select="""
 SELECT date, exchange, isin, symbol,
   row_number() OVER (PARTITION BY date ORDER BY adj_close DESC, symbol, exchange, isin) AS rank, adj_close AS score
-FROM bars WHERE date IN (SELECT as_of FROM month_ends)""")),
+FROM bars""")),
     "topn_decisions": (topn_decisions, a.with_sql(a.DECISIONS_SQL, select=f"SELECT {_TOPN} FROM topn")),
     "chunked_backtest": (chunked_backtest, a.with_sql(a.DECISIONS_SQL, select=f"SELECT {_TOPN} FROM topn")),
     "equal_weight": (
@@ -273,21 +298,27 @@ net AS (
     UNION ALL SELECT strategy_id, nd, exchange, isin, symbol, -target_weight FROM held WHERE nd IS NOT NULL)
   GROUP BY ALL
 )""", select="SELECT strategy_id, date, round(sum(abs(w)), 6) AS turnover FROM net GROUP BY strategy_id, date")),
-    "blackbox_strategy": (blackbox_strategy, a.with_sql(_MONTH_ENDS, select="""
+    "blackbox_strategy": (blackbox_strategy, a.with_sql(select="""
 SELECT date, 'blackbox_v1' AS strategy_id, exchange, isin, symbol, round(1.0 / 3, 6) AS target_weight,
   CAST(rn AS bigint) AS rank, adj_close AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY date ORDER BY adj_close DESC, symbol, exchange) AS rn
-  FROM bars WHERE date IN (SELECT as_of FROM month_ends)) WHERE rn <= 3""")),
-    "blackbox_scores": (blackbox_scores, a.with_sql(_MONTH_ENDS, """
-scored AS (
+  FROM bars) WHERE rn <= 3""")),
+    "blackbox_scores": (blackbox_scores, a.with_sql("""
+as_ofs AS (SELECT DISTINCT date AS as_of FROM bars), scored AS (
   SELECT as_of AS date, exchange, symbol, max(isin) AS isin, arg_max(adj_close, date) / avg(adj_close) AS score
-  FROM month_ends JOIN bars ON date BETWEEN as_of - 30 AS_OF_END GROUP BY as_of, exchange, symbol
-)""".replace("AS_OF_END", "AND as_of"), select="""
+  FROM as_ofs JOIN bars ON date BETWEEN as_of - 30 AND as_of GROUP BY as_of, exchange, symbol
+)""", select="""
 SELECT date, 'momentum_v1' AS strategy_id, exchange, isin, symbol,
   round(CAST(1 AS double) / count(*) OVER (PARTITION BY date), 6) AS target_weight, CAST(rn AS bigint) AS rank,
   round(score, 6) AS score
 FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY score DESC, symbol, exchange, isin) AS rn FROM scored)
 WHERE rn <= 4""")),
+    "blackbox_features": (blackbox_features, a.with_sql(_FEATURES_SQL, select="""
+SELECT date, exchange, isin, symbol, round(ema_20 / mean_ema, 6) AS score FROM (
+  SELECT f.date, f.exchange, b.isin, f.symbol, ema_20, b.adj_close, avg(ema_20) OVER (
+    PARTITION BY f.exchange, f.symbol ORDER BY f.date RANGE BETWEEN INTERVAL 20 DAY PRECEDING AND CURRENT ROW) AS mean_ema
+  FROM feat f JOIN bars b ON b.date = f.date AND b.exchange = f.exchange AND b.symbol = f.symbol AND b.series = 'EQ')
+WHERE adj_close > ema_20""")),
     "fill_payload": (fill_payload, a.with_sql(a.DECISIONS_SQL, select="""
 SELECT date, 'payload_v1' AS strategy_id, exchange, isin, symbol, round(target_weight, 6) AS target_weight,
   CASE WHEN rank % 2 = 0 THEN rank * 10 ELSE rank END AS rank, CAST(NULL AS double) AS score FROM topn""")),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from barlake.functions.joins import null_safe_join
@@ -28,6 +29,20 @@ def delete_path(spark: SparkSession, path: str) -> None:
     filesystem.delete(target, True)
 
 
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    filesystem, source = _filesystem(spark, path)
+    if not filesystem.rename(source, _filesystem(spark, to)[1]):
+        raise OSError(f"cannot move {path} to {to}")
+
+
+def remove_others(spark: SparkSession, path: str, names: list[str]) -> None:
+    """Delete the folders below ``path`` that are not named."""
+    filesystem, root = _filesystem(spark, path)
+    for status in filesystem.listStatus(root):
+        if status.isDirectory() and status.getPath().getName() not in names:
+            filesystem.delete(status.getPath(), True)
+
+
 def write_months(
     bars: DataFrame, path: str, *, overwrite: str = "dynamic", by_month: bool = False
 ) -> None:
@@ -135,25 +150,37 @@ def swap_months(
     _promote(spark, path)
 
 
-def last_read(rows: DataFrame) -> DataFrame:
-    """One bar per key: of repeated keys the one that was read last."""
-    numbered = rows.withColumn("_read", F.monotonically_increasing_id())
-    return keep_last(numbered, BAR_KEY, ["_read"]).drop("_read")
+def last_read(rows: DataFrame, recency: Sequence[str] | None = None) -> DataFrame:
+    """One bar per key: of repeated keys the one that comes last.
+
+    What comes last is said by the ``recency`` columns, which are the caller's. Without them, of rows
+    read from parquet files the one in the later file by name and the later row of it, however Spark deals
+    files to tasks; of other rows, the later one in the DataFrame.
+    """
+    if recency:
+        return keep_last(rows, BAR_KEY, recency)
+    try:
+        placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        placed = rows.select("*", F.lit("").alias("_file"), F.monotonically_increasing_id().alias("_row"))
+    return keep_last(placed, BAR_KEY, ["_file", "_row"]).drop("_file", "_row")
 
 
-def merge_day(existing: DataFrame, refreshed: DataFrame, *, mode: str = "upsert") -> DataFrame:
+def merge_day(
+    existing: DataFrame, refreshed: DataFrame, *, mode: str = "upsert", recency: Sequence[str] | None = None
+) -> DataFrame:
     """Existing bars with refreshed ones put in by key.
 
     ``upsert`` keeps bars of a refreshed day that the new data lacks; ``replace_day``
     drops them. Bars of other days pass through unshuffled; only those of refreshed days
-    are compared by key. Of refreshed rows with one key the last one read stays. The
-    refreshed days are at most exchanges x calendar days, small enough for every executor.
+    are compared by key. Of refreshed rows with one key the last one stays, as ``last_read``
+    tells it. The refreshed days are at most exchanges x calendar days, small enough for every executor.
     """
     if mode not in ("upsert", "replace_day"):
         raise ValueError(f"unknown merge mode: {mode}")
     day = ["exchange", "date"]
     days = F.broadcast(refreshed.select(*day).distinct())
-    merged = [existing.join(days, day, "left_anti"), last_read(refreshed)]
+    merged = [existing.join(days, day, "left_anti"), last_read(refreshed, recency)]
     if mode == "upsert":
         keys = refreshed.select(*BAR_KEY).distinct()
         same_day = existing.join(days, day, "left_semi")
@@ -179,13 +206,14 @@ def only_months(df: DataFrame, months: list[tuple[str, int, int]]) -> DataFrame:
 
 
 def upsert_bars(
-    spark: SparkSession, refreshed: DataFrame, path: str, *, mode: str = "upsert"
+    spark: SparkSession, refreshed: DataFrame, path: str, *, mode: str = "upsert", recency: Sequence[str] | None = None
 ) -> list[tuple[str, int, int]]:
     """Put refreshed bars into a monthly table, rewriting only the months they touch.
 
     The merged months are written beside the table and checked (no NULL or repeated keys)
     before any month of it is touched. They are then moved into place; a job that dies on
-    the way is finished by the next one. Re-running with the same rows changes nothing.
+    the way is finished by the next one. Of repeated keys the last one stays, by the ``recency`` columns or by file
+    name and row. Re-running with the same rows changes nothing.
     """
     months = touched_months(refreshed)
     if not months:
@@ -193,8 +221,8 @@ def upsert_bars(
     finish_upsert(spark, path)
     if path_exists(spark, path):
         existing = only_months(read_months(spark, path), months)
-        merged = merge_day(existing, refreshed, mode=mode)
+        merged = merge_day(existing, refreshed, mode=mode, recency=recency)
     else:
-        merged = last_read(refreshed)
+        merged = conform(last_read(refreshed, recency), BARS)
     swap_months(spark, merged, path, assert_bars)
     return months

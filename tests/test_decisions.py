@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barlake.operators import decisions as dec
-from barlake.plans import backtest as bt
+from barlake.plans import backtest as bt, slices
 from barlake.plans.paper import run_paper
 from barlake.schema import DECISIONS, ContractError
 from barlake.sources.tables import empty_decisions, scan_decisions, strategy_registry
@@ -181,3 +181,104 @@ def test_chunks_without_bars_are_refused(spark, eight_bars, tmp_path):
     assert sorted((r.date.day, r.chunk_id) for r in decided.collect()) == [(1, 0), (2, 0), (3, 1), (4, 1)]
     with pytest.raises(ContractError, match="no bars"):
         bt.chunked_backtest(lambda known, dates: dec.top_n_by_price(known), eight_bars.limit(0), plan, str(tmp_path / "d"))
+
+
+def test_chunks_of_another_plan_are_never_read(spark, eight_bars, tmp_path):
+    path, calls = str(tmp_path / "c"), []
+
+    def top(known, dates):
+        calls.append(1)
+        return dec.top_n_by_price(known, top_n=1)
+
+    def run(bars, size, version):
+        plan = bt.chunk_plan(eight_bars.select("date"), chunk_size=size, warmup_days=1)
+        decided = bt.chunked_backtest(top, bars, plan, path, version=version)
+        return sorted((r.date.day, r.chunk_id, r.symbol, r.score) for r in decided.collect())
+
+    first = run(eight_bars, 1, "1")
+    assert [r[:2] for r in first] == [(1, 0), (2, 1), (3, 2), (4, 3)] and len(calls) == 4
+    second = run(eight_bars, 3, "1")
+    assert [r[:2] for r in second] == [(1, 0), (2, 0), (3, 0), (4, 1)] and len(calls) == 6
+    # Nothing has changed: no chunk is made again.
+    assert run(eight_bars.repartition(3), 3, "1") == second and len(calls) == 6
+    # The last date's bars change: only the chunk that sees them is made.
+    newest = F.when(F.col("date") == date(2026, 1, 4), F.col("adj_close") * 2).otherwise(F.col("adj_close"))
+    run(eight_bars.withColumn("adj_close", newest), 3, "1")
+    assert len(calls) == 7
+    run(eight_bars, 3, "2")
+    assert len(calls) == 9
+    run(eight_bars, 3, None)
+    assert len(calls) == 11
+
+
+def test_backtests_check_the_contract(spark, eight_bars, tmp_path):
+    plan = bt.chunk_plan(eight_bars.select("date"), chunk_size=2, warmup_days=1)
+
+    def twice(known, dates):
+        top = dec.top_n_by_price(known, top_n=1)
+        return top.unionByName(top)
+
+    with pytest.raises(ContractError, match="duplicate"):
+        bt.chunked_backtest(twice, eight_bars, plan, str(tmp_path / "c"), version="1")
+    # What was refused is not taken for complete.
+    decided = bt.chunked_backtest(lambda known, dates: dec.top_n_by_price(known, top_n=1), eight_bars, plan, str(tmp_path / "c"), version="1")
+    assert decided.count() == 4
+    for weight in (F.lit(-0.1), F.lit(None).cast("double")):
+        wrong = bt.run_backtest(lambda known, dates: dec.top_n_by_price(known).withColumn("target_weight", weight), eight_bars)
+        with pytest.raises(Exception, match="break the contract"):
+            wrong.collect()
+
+
+def test_slices_are_those_of_a_plain_search(spark, make_bars, monkeypatch):
+    """Every call gets exactly its look-back, whatever the spans, parts and batches."""
+    days = [date(2026, 1, 1) + timedelta(days=n) for n in (0, 1, 3, 4, 9, 10, 11, 30, 31, 45)]
+    rows = [(day, symbol, 10.0 + i) for i, day in enumerate(days) for symbol in ("A", "B", "C", "D") if (i + ord(symbol)) % 4]
+    bars = make_bars(rows)
+    features = bars.where("symbol <> 'B'").select(*slices.KEYS, (F.col("adj_close") * 2).alias("twice"))
+
+    def count(as_of, runtime):
+        seen, told = runtime.market_data(), runtime.feature_data(columns=["twice"])
+        if len(seen):
+            return [dict(exchange="NSE", isin="x", symbol=s, target_weight=0.0, score=float(n) + len(told) / 1000) for s, n in seen.groupby("symbol").size().items()]
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        for lookback in (0, 2, 7, 40):
+            for given in (None, [days[2], date(2026, 1, 6), days[7]]):
+                decided = bt.blackbox_decisions(bars, count, strategy_id="s", lookback_days=lookback, dates=given, features=features)
+                got = {(r.date, r.symbol): r.score for r in decided.collect()}
+                expected = {}
+                for as_of in given or days:
+                    since = as_of - timedelta(days=lookback)
+                    inside = [s for day, s, _ in rows if since <= day <= as_of]
+                    for symbol in set(inside):
+                        expected[as_of, symbol] = inside.count(symbol) + sum(s != "B" for s in inside) / 1000
+                assert got == pytest.approx(expected)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_row_is_shipped_for_two_spans_at_most():
+    days = [date(2026, 1, 1) + timedelta(days=n) for n in range(400)]
+    for lookback in (1, 10, 60):
+        spans = slices.span_plan(days, lookback)
+        shipped = slices.span_days(spans, lookback)
+        assert [d for dates in spans for d in dates] == days
+        assert len(shipped) == len(set(shipped)) <= 1.25 * (len(days) + lookback) + 1
+
+
+def test_unknown_columns_are_a_contract_error(eight_bars):
+    features = eight_bars.select(*slices.KEYS, F.col("close").alias("rsi_14"))
+
+    def asks(method, columns):
+        def decide(as_of, runtime):
+            getattr(runtime, method)(as_of_date=as_of, columns=columns)
+
+        return bt.blackbox_decisions(eight_bars, decide, strategy_id="b", lookback_days=3, columns=["close"], features=features).collect()
+
+    assert asks("market_data", ["close", "symbol"]) == asks("feature_data", ["rsi_14"]) == asks("latest_features", ["rsi_14", "isin"]) == []
+    for method, columns in (("market_data", ["volume"]), ("feature_data", ["close"]), ("latest_features", ["adx_14"])):
+        with pytest.raises(Exception, match="has no"):
+            asks(method, columns)
+    with pytest.raises(ContractError, match="lack the columns"):
+        bt.blackbox_decisions(eight_bars, None, strategy_id="b", lookback_days=3, features=features.drop("series"))

@@ -209,6 +209,23 @@ def test_upsert_and_replace_day(spark, make_bars, tmp_path):
     assert closes() == {("A", 1): 5.0, ("A", 2): 9.0}
 
 
+def test_the_later_file_wins_whatever_its_size(spark, make_bars, tmp_path):
+    day = date(2026, 1, 5)
+    small, large = make_bars([(day, "A", 1.0)]), make_bars([(day, "A", 2.0)] + [(day, f"X{i}", 9.0) for i in range(500)])
+    for n, (first, second, expected) in enumerate(((small, large, 2.0), (large, small, 1.0))):
+        table = str(tmp_path / f"bars{n}")
+        for name, rows in (("1", first), ("2", second)):
+            rows.coalesce(1).write.parquet(str(tmp_path / f"new{n}" / name))
+        for order in (("1", "2"), ("2", "1")):
+            given = spark.read.parquet(*[str(tmp_path / f"new{n}" / name) for name in order])
+            upsert_bars(spark, given.repartition(3), table)
+            assert [r.close for r in read_months(spark, table).where("symbol = 'A'").collect()] == [expected]
+    # The caller's own order goes before that of files and rows.
+    told = given.withColumn("sent", -F.col("close"))
+    upsert_bars(spark, told, table, recency=("sent",))
+    assert [r.close for r in read_months(spark, table).where("symbol = 'A'").collect()] == [1.0]
+
+
 def test_upsert_keeps_the_last_of_repeated_keys_and_refuses_null_keys(spark, make_bars, tmp_path):
     path, day = str(tmp_path / "bars"), date(2026, 1, 5)
 
