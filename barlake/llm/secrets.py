@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -145,10 +147,12 @@ def _scan(batch):
     for text in batch.column("text").to_pylist():
         spans = sorted(base_spans(text or ""), key=lambda s: (s[1], KINDS.index(s[0])))
         base.append([dict(kind=k, start=s, end=e) for k, s, e in spans])
+        starts, reach = [b for _, b, _ in spans], list(accumulate((f for *_, f in spans), max))
         added = [
             dict(start=s, end=e, name=n, score=w)
             for s, e, n, w in literal_spans(text or "")
-            if not any(b <= s and e <= f for _, b, f in spans)
+            # Of the base spans that start no later, none reaches its end.
+            if not (before := bisect_right(starts, s)) or reach[before - 1] < e
         ]
         literals.append(added)
     yield pa.record_batch(
