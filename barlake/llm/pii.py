@@ -67,6 +67,27 @@ _TYPE = "array<struct<start:bigint,end:bigint,kind:string," + ",".join(
 ) + ">>"
 
 
+#: Elements of a block of a pass over an array.
+_BLOCK = 64
+
+
+def _folded(rows: str, kind: str, zero: str, state: str, piece: str) -> str:
+    """SQL for one pass over an array with a state: ``piece`` is the array of ``kind`` that the element ``e`` adds,
+    ``state`` what follows ``acc.state``.
+
+    What an aggregate holds is copied at each element, so elements are taken in blocks: the states at their
+    starts are found first, and no more than a block's results are held at a time.
+    """
+    blocks = f"transform(sequence(0, greatest(ceil(size(a) / {_BLOCK}) - 1, 0L)), i -> slice(a, cast(i * {_BLOCK} + 1 AS int), {_BLOCK}))"
+    after = f"aggregate(b, struct(every.state AS state), (acc, e) -> struct({state} AS state), acc -> acc.state)"
+    starts = f"""aggregate(bs, struct({zero} AS state, cast(array() AS array<bigint>) AS starts),
+        (every, b) -> struct({after} AS state, concat(every.starts, array(every.state)) AS starts), every -> every.starts)"""
+    block = f"""aggregate(b, struct(s AS state, cast(array() AS {kind}) AS out),
+        (acc, e) -> struct({state} AS state, concat(acc.out, {piece}) AS out), acc -> acc.out)"""
+    return f"""flatten(transform(array({rows}), a -> flatten(transform(array({blocks}),
+        bs -> flatten(zip_with(bs, {starts}, (b, s) -> {block}))))))"""
+
+
 def _found(kind: str) -> str:
     """SQL for the valid matches of a kind as an array of spans with votes.
 
@@ -79,26 +100,34 @@ def _found(kind: str) -> str:
     span = f"struct(start, start + length(x) AS end, '{kind}' AS kind, {', '.join(votes + shapes)})"
     # Names inside the lambda are bound by one-element transforms, so that SQL above can use x and before.
     made = f"transform(array(1), one -> {span})"
-    for name, value in (("x", "e.x"), ("before", "e.before"), ("start", "acc.at + e.gap")):
+    for name, value in (("x", "e.x"), ("before", "e.before"), ("start", "acc.state + e.gap")):
         made = f"flatten(transform(array({value}), {name} -> {made}))"
     valid = VALID[kind].replace("x RLIKE", "e.x RLIKE").replace("(x,", "(e.x,")
     guard = {"email": "instr(text, '@') > 0", "phone": "instr(text, '+') > 0"}.get(kind, "text RLIKE '[0-9]'")
-    return f"""CASE WHEN {guard} THEN aggregate(
-        zip_with(split(text, {pattern}, -1), regexp_extract_all(text, {pattern}, 0),
-                 (g, x) -> struct(cast(length(g) AS bigint) AS gap, right(g, 24) AS before, x AS x)),
-        struct(0L AS at, cast(array() AS {_TYPE}) AS out),
-        (acc, e) -> struct(acc.at + e.gap + coalesce(length(e.x), 0) AS at,
-                           CASE WHEN e.x IS NOT NULL AND {valid} THEN concat(acc.out, cast({made} AS {_TYPE})) ELSE acc.out END AS out),
-        acc -> acc.out) ELSE cast(array() AS {_TYPE}) END"""
+    matches = f"""zip_with(split(text, {pattern}, -1), regexp_extract_all(text, {pattern}, 0),
+        (g, x) -> struct(cast(length(g) AS bigint) AS gap, right(g, 24) AS before, x AS x))"""
+    piece = f"CASE WHEN e.x IS NOT NULL AND {valid} THEN cast({made} AS {_TYPE}) ELSE cast(array() AS {_TYPE}) END"
+    spans = _folded(matches, _TYPE, "0L", "acc.state + e.gap + coalesce(length(e.x), 0)", piece)
+    return f"CASE WHEN {guard} THEN {spans} ELSE cast(array() AS {_TYPE}) END"
+
+
+def _apart() -> str:
+    """SQL for the loose spans neither inside nor across one of the others, by two passes over all in order of start."""
+    none = f"cast(array() AS {_TYPE})"
+    # Forwards: how far the others before it reach. Backwards: where the next other one starts.
+    every = "array_sort(concat(email, ip, card, phone, loose))"
+    clear = f"CASE WHEN e.kind = 'loose' AND acc.state > e.start THEN {none} ELSE array(e) END"
+    ahead = _folded(every, _TYPE, "-1L", "CASE WHEN e.kind = 'loose' THEN acc.state ELSE greatest(acc.state, e.end) END", clear)
+    kept = f"CASE WHEN e.kind = 'loose' AND acc.state >= e.end THEN array(e) ELSE {none} END"
+    left = _folded(f"reverse({ahead})", _TYPE, f"{2**63 - 1}L", "CASE WHEN e.kind = 'loose' THEN acc.state ELSE e.start END", kept)
+    return f"CASE WHEN size(loose) = 0 THEN loose ELSE reverse({left}) END"
 
 
 def candidates(docs: DataFrame) -> DataFrame:
     """``doc_id`` and an array of spans with votes for each kind, of every row."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     spans = texts.select("doc_id", *[F.expr(_found(kind)).alias(kind) for kind in (*KINDS, "loose")])
-    # A loose span inside or across one of the others is no new find.
-    apart = """filter(loose, s -> NOT exists(concat(email, ip, card, phone), b -> b.start < s.end AND s.start < b.end))"""
-    return spans.withColumn("loose", F.expr(apart))
+    return spans.withColumn("loose", F.expr(_apart()))
 
 
 def vote_patterns(found: DataFrame) -> DataFrame:

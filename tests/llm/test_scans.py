@@ -2,7 +2,9 @@
 
 import hashlib
 import re
+import time
 
+import pyarrow as pa
 import pytest
 
 from barlake.llm import licenses, pii, secrets
@@ -283,3 +285,41 @@ def test_licenses_of_odd_rows(spark, odd_docs, odd_rows, no_docs, make_docs):
     assert licenses.license_spans(spark, no_docs).count() == 0
     twice = rows(licenses.license_spans(spark, make_docs([(1, "cc by nc"), (1, "cc by nc"), (None, "cc by nc")])))
     assert [len(r["places"]) for r in twice] == [1, 1, 1]
+
+
+def test_secrets_in_dense_text_take_linear_time():
+    line = 'password = "hunter22a" api_key: abcdef123456 secret_name = "Qx7zzLm90aa" + token_b\ntoken_b = "k3k3k3k3x"\n'
+
+    def seconds(copies):
+        docs = pa.record_batch([pa.array([1], pa.int64()), pa.array([line * copies])], ["doc_id", "text"])
+        start = time.process_time()
+        (found,) = secrets._scan(docs)
+        return time.process_time() - start, found.to_pylist()[0]
+
+    seconds(10)
+    (short, few), (long, many) = seconds(1000), seconds(8000)
+    assert len(many["base"]) == 8 * len(few["base"]) and long < 8 * 2.5 * short + 0.5
+    # Literals that no base span covers, by comparing all.
+    plain = [s for s in secrets.literal_spans(line * 1000) if not any(b["start"] <= s[0] and s[1] <= b["end"] for b in few["base"])]
+    assert [(r["start"], r["end"]) for r in few["literals"]] == [s[:2] for s in plain]
+
+
+def test_pii_in_dense_text_is_found_block_by_block(spark, make_docs, monkeypatch):
+    line = "a.b@c.com +1 (555) 010-9999 or 020 7946 0958, 10.0.0.1; 4111 1111 1111 1111 x 123-4567-89 10.1.2.3.4 +44 20 7946 0958 5551234567. "
+    docs = make_docs([(1, line * 70), (2, line), (3, ""), (4, "555 0199 22")])
+
+    def found():
+        return {r.doc_id: {k: [(s.start, s.end, s.kind) for s in r[k]] for k in (*pii.KINDS, "loose")} for r in pii.candidates(docs).collect()}
+
+    blocks = found()
+    for doc in blocks.values():
+        others = [s for k in pii.KINDS for s in doc[k]]
+        assert not any(b < f and s < e for s, f, _ in doc["loose"] for b, e, _ in others)
+        assert all(spans == sorted(spans) for spans in doc.values())
+    # Every copy of the line but for the edges gives the same spans.
+    for kind in (*pii.KINDS, "loose"):
+        assert len(blocks[1][kind]) == 70 * len(blocks[2][kind])
+        assert {(s % len(line), e % len(line)) for s, e, _ in blocks[1][kind]} == {(s, e) for s, e, _ in blocks[2][kind]}
+    assert blocks[2]["loose"] and blocks[4]["loose"]
+    monkeypatch.setattr(pii, "_BLOCK", 3)
+    assert found() == blocks
