@@ -209,11 +209,12 @@ SELECT date, exchange, count(*) AS instruments,
 SELECT date, exchange, round(median(ret_20), 6) AS median_ret_20, round(median(rsi_14), 4) AS median_rsi_14
 FROM feat GROUP BY date, exchange""")),
     "leadership": (leadership, a.with_sql("""
-moved AS MATERIALIZED (
+moved AS (
   SELECT date, exchange, symbol,
     adj_close / lag(adj_close, 20) OVER (PARTITION BY exchange, symbol ORDER BY date) - 1 AS ret_20
   FROM bars WHERE series = 'EQ'
 )""", select="""
-SELECT f.date, f.exchange, f.symbol, round(f.ret_20 - i.ret_20, 6) AS leadership_20
-FROM moved f LEFT JOIN (SELECT * FROM moved WHERE symbol = 'S00001' AND exchange = 'NSE') i ON i.date = f.date""")),
+SELECT date, exchange, symbol, round(ret_20 - max(ret_20) FILTER (symbol = 'S00001' AND exchange = 'NSE')
+  OVER (PARTITION BY date), 6) AS leadership_20
+FROM moved""")),
 }
