@@ -29,6 +29,7 @@ from barlake.schema import (
     conform,
     exchange_code,
 )
+from barlake.journal import settle
 from barlake.session import scratch_dir
 from barlake.sources.bars import present_months
 from barlake.sources.inventory import list_files, with_partition_identity
@@ -36,11 +37,12 @@ from barlake.sources.raw import read_raw, same_spelling
 from barlake.sources.tables import scan_fetch_manifest
 from barlake.storage import (
     delete_path,
+    has_months,
     only_months,
     path_exists,
     read_months,
     stage_months,
-    write_months,
+    swap_months,
 )
 
 MODES = ("create", "clean", "incremental", "only_missing", "repair")
@@ -170,49 +172,41 @@ def store_bars(
     spark: SparkSession, bars: DataFrame, path: str, *, mode: str = "create",
     exchanges: tuple[str, ...] = EXCHANGES, partition: tuple[str, int, int] | None = None,
 ) -> None:
-    """Check bars and write them as months.
+    """Write bars as months beside the table, check them, and put them in place as one change.
 
     ``create`` refuses an existing table; ``clean`` replaces it, or only the given
     exchanges; ``incremental`` replaces the months present in ``bars``;
-    ``only_missing`` adds months the table lacks; ``repair`` replaces one month.
+    ``only_missing`` adds months the table lacks; ``repair`` replaces one month. Checked are the
+    months that are written. A job that dies at any step leaves the old table, or one that the next
+    reader or writer makes the new one.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode: {mode}")
-    exists = path_exists(spark, path)
+    settle(spark, path)
+    exists = has_months(spark, path)
     if mode == "create" and exists:
         raise FileExistsError(f"{path} exists: choose clean, incremental, only_missing or repair")
-    staged = stage_months(bars, spark, "history")
-    new = read_months(spark, staged)
-    assert_bars(new)
-    _store_checked(spark, new, path, mode, exists, exchanges, partition)
-    delete_path(spark, staged)
-
-
-def _store_checked(spark, new, path, mode, exists, exchanges, partition) -> None:
-    if mode in ("create", "clean"):
-        partial = exists and len(exchanges) < len(EXCHANGES)
-        if not partial:
-            write_months(new, path, overwrite="static", by_month=True)
-            return
-        write_months(new.where(F.col("exchange").isin(*exchanges)), path, by_month=True)
-        # Months of these exchanges that were not rebuilt go last, once the new ones are safe.
-        rebuilt = {tuple(r) for r in present_months(new).collect()}
-        for row in present_months(read_months(spark, path)).where(
-            F.col("exchange").isin(*exchanges)
-        ).collect():
-            if tuple(row) not in rebuilt:
-                exchange, year, month = row
-                delete_path(spark, f"{path}/exchange={exchange}/year={year}/month={month}")
-        return
+    needed = None
     if mode == "repair":
         exchange, year, month = partition
-        new = only_months(new, [(exchange_code(exchange), year, month)])
-        if new.isEmpty():
-            raise FileNotFoundError(f"repair produced no bars for {partition}")
+        bars = only_months(add_month_columns(bars), [(exchange_code(exchange), year, month)])
+        needed = f"repair produced no bars for {partition}"
     elif mode == "only_missing" and exists:
-        present = present_months(read_months(spark, path))
-        new = new.join(present, list(MONTH_KEY), "left_anti")
-    write_months(new, path, by_month=True)
+        # At most exchanges x calendar months.
+        present = F.broadcast(present_months(read_months(spark, path)))
+        bars = add_month_columns(bars).join(present, list(MONTH_KEY), "left_anti")
+    elif mode == "clean" and len(exchanges) < len(EXCHANGES):
+        bars = bars.where(F.col("exchange").isin(*map(exchange_code, exchanges)))
+
+    def replaced(present: list[str], new: list[str]) -> list[str]:
+        """Months that a clean build did not make again go with the change."""
+        if mode != "clean":
+            return []
+        whole = len(exchanges) == len(EXCHANGES)
+        rebuilt = {f"exchange={exchange_code(name)}" for name in exchanges}
+        return [place for place in present if whole or place.split("/")[0] in rebuilt]
+
+    swap_months(spark, bars, path, assert_bars, needed=needed, drop=replaced)
 
 
 def build_history(

@@ -8,9 +8,8 @@ from barlake.operators.manifest import assert_resolved, changed_partitions, sync
 from barlake.plans.history import month_files
 from barlake.schema import MONTH_KEY, ContractError, require_columns
 from barlake.session import scratch_dir
-from barlake.storage import (
-    delete_path, finish_upsert, only_months, path_exists, read_months, swap_months,
-)
+from barlake.journal import settle
+from barlake.storage import delete_path, has_months, only_months, path_exists, read_months, swap_months
 
 _PLACE = "exchange string, year int, month int, object_key string, size bigint, etag string"
 # What was published: size and checksum at the source, and of the files written from it.
@@ -28,7 +27,7 @@ def published_record(spark: SparkSession, target: str) -> DataFrame:
 def _at_target(spark: SparkSession, target: str) -> DataFrame:
     """Size and checksum of the files that lie at the target now."""
     bars = f"{target}/bars"
-    if not path_exists(spark, bars):
+    if not has_months(spark, bars):
         return spark.createDataFrame([], _PLACE)
     place = F.regexp_extract("partition_path", r"(exchange=[^/]*/year=[^/]*/month=[^/]*)$", 1)
     return month_files(spark, bars).where(F.col("exchange").isNotNull()).select(
@@ -81,7 +80,7 @@ def publish_history(
     if manifest.isEmpty():
         raise ContractError("no months to publish for the selected exchanges")
 
-    finish_upsert(spark, f"{target}/bars")
+    settle(spark, f"{target}/bars")
     changed = changed_partitions(publish_status(spark, target, manifest))
     months = sorted((r.exchange, r.year, r.month) for r in changed.collect())
     if not months:

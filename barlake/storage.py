@@ -2,47 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from barlake.files import (  # noqa: F401 (the first ones are also imported from here)
+    delete_path,
+    move_path,
+    path_exists,
+    remove_others,
+    partition_folders,
+)
 from barlake.functions.joins import null_safe_join
+from barlake.journal import prepare, read_settled, settle
 from barlake.operators.normalize import assert_bars
 from barlake.schema import BAR_KEY, BAR_ORDER, BARS, MONTH_KEY, add_month_columns, conform
 from barlake.session import scratch_dir
 
 
-def _filesystem(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    filesystem, target = _filesystem(spark, path)
-    return filesystem.exists(target)
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    filesystem, target = _filesystem(spark, path)
-    filesystem.delete(target, True)
-
-
-def move_path(spark: SparkSession, path: str, to: str) -> None:
-    filesystem, source = _filesystem(spark, path)
-    if not filesystem.rename(source, _filesystem(spark, to)[1]):
-        raise OSError(f"cannot move {path} to {to}")
-
-
-def remove_others(spark: SparkSession, path: str, names: list[str]) -> None:
-    """Delete the folders below ``path`` that are not named."""
-    filesystem, root = _filesystem(spark, path)
-    for status in filesystem.listStatus(root):
-        if status.isDirectory() and status.getPath().getName() not in names:
-            filesystem.delete(status.getPath(), True)
-
-
 def write_months(
     bars: DataFrame, path: str, *, overwrite: str = "dynamic", by_month: bool = False
 ) -> None:
@@ -72,43 +51,13 @@ def stage_months(bars: DataFrame, spark: SparkSession, name: str) -> str:
     return path
 
 
-# Months on their way into a table lie in this folder of it, which scans pass over; the
-# marker says that they are complete and checked.
-_PENDING, _READY = "_pending", "_READY"
-
-
 def _promote(spark: SparkSession, path: str) -> None:
-    """Put complete pending months in the place of the table's own; can be repeated."""
-    filesystem, root = _filesystem(spark, path)
-    at = spark._jvm.org.apache.hadoop.fs.Path
-
-    def folders(parent):
-        return [s.getPath() for s in filesystem.listStatus(parent) if s.isDirectory()]
-
-    for exchange in folders(at(at(root, _PENDING), "months")):
-        for year in folders(exchange):
-            for month in folders(year):
-                place = at(at(at(root, exchange.getName()), year.getName()), month.getName())
-                filesystem.mkdirs(place.getParent())
-                filesystem.delete(place, True)
-                if not filesystem.rename(month, place):
-                    raise OSError(f"cannot move {month} to {place}")
-    filesystem.delete(at(root, _PENDING), True)
-
-
-def finish_upsert(spark: SparkSession, path: str) -> None:
-    """Finish an upsert that broke off after its months were complete; forget any other."""
-    filesystem, pending = _filesystem(spark, f"{path}/{_PENDING}")
-    if filesystem.exists(pending):
-        if path_exists(spark, f"{path}/{_PENDING}/{_READY}"):
-            _promote(spark, path)
-        else:
-            filesystem.delete(pending, True)
+    settle(spark, path)
 
 
 def read_months(spark: SparkSession, path: str) -> DataFrame:
     """The table with its ``year`` and ``month`` columns, ready for ``date_window``."""
-    frame = spark.read.parquet(path)
+    frame = read_settled(spark, path, lambda: spark.read.parquet(path))
     return frame.select(*[F.col(f.name).cast(f.dataType) for f in BARS.fields], "year", "month")
 
 
@@ -133,21 +82,33 @@ def swap_months(
     check: Callable[[DataFrame], object],
     *,
     by_month: bool = False,
-) -> None:
-    """Write whole months beside a table, check them, and move them into place.
-
-    ``check`` gets the months as written; if it raises, the table stays as it was.
+    needed: str | None = None,
+    drop: Callable[[list[str], list[str]], Iterable[str]] = lambda present, new: (),
+) -> list[str]:
+    """Write whole months beside a table, check them, and move them into place; returns their folders.
+
+    ``check`` gets the months as written; if it raises, the table stays as it was. ``drop`` gets the
+    folders of the table's months and of the new ones and tells which of the former go in the same change. ``needed`` is the
+    error when there are no new months at all.
     """
-    pending = f"{path}/{_PENDING}/months"
-    try:
-        write_months(bars, pending, overwrite="static", by_month=by_month)
-        check(spark.read.parquet(pending))
-    except Exception:
-        delete_path(spark, f"{path}/{_PENDING}")
-        raise
-    filesystem, marker = _filesystem(spark, f"{path}/{_PENDING}/{_READY}")
-    filesystem.create(marker).close()
+
+    def written(folder: str) -> None:
+        if partition_folders(spark, folder):
+            check(spark.read.parquet(folder))
+        elif needed:
+            raise FileNotFoundError(needed)
+
+    settle(spark, path)
+    new = prepare(
+        spark, path, lambda folder: write_months(bars, folder, overwrite="static", by_month=by_month), written, drop=drop
+    )
     _promote(spark, path)
+    return new
+
+
+def has_months(spark: SparkSession, path: str) -> bool:
+    """Whether a table has any month; the folder alone may be that of a job that died."""
+    return bool(partition_folders(spark, path))
 
 
 def last_read(rows: DataFrame, recency: Sequence[str] | None = None) -> DataFrame:
@@ -211,15 +172,15 @@ def upsert_bars(
     """Put refreshed bars into a monthly table, rewriting only the months they touch.
 
     The merged months are written beside the table and checked (no NULL or repeated keys)
-    before any month of it is touched. They are then moved into place; a job that dies on
-    the way is finished by the next one. Of repeated keys the last one stays, by the ``recency`` columns or by file
+    before any month of it is touched. They are then moved into place; what a job that dies on
+    the way leaves is finished by the next writer or reader. Of repeated keys the last one stays, by the ``recency`` columns or by file
     name and row. Re-running with the same rows changes nothing.
     """
     months = touched_months(refreshed)
     if not months:
         return []
-    finish_upsert(spark, path)
-    if path_exists(spark, path):
+    settle(spark, path)
+    if has_months(spark, path):
         existing = only_months(read_months(spark, path), months)
         merged = merge_day(existing, refreshed, mode=mode, recency=recency)
     else:
