@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from barlake.files import partition_folders
+from barlake.journal import read_settled, settle
 from barlake.schema import (
     DECISIONS,
     FETCH_MANIFEST,
@@ -14,7 +17,6 @@ from barlake.schema import (
     exchange_code,
     require_columns,
 )
-from barlake.storage import path_exists
 
 
 def scan_fetch_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -47,12 +49,26 @@ def empty_decisions(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], DECISIONS)
 
 
-def scan_decisions(spark: SparkSession, path: str) -> DataFrame:
-    """Stored decisions; an empty typed table when nothing is stored yet."""
-    if not path_exists(spark, path):
+def scan_decisions(
+    spark: SparkSession, path: str, parts: list[tuple[str, int]] | None = None
+) -> DataFrame:
+    """Stored decisions; an empty typed table when nothing is stored yet.
+
+    ``parts`` names strategies with a month each (as ``year * 100 + month``); only those folders are read.
+    """
+    settle(spark, path, started_only=True)
+    if not partition_folders(spark, path):
         return empty_decisions(spark)
     # The declared schema keeps strategy ids text: folder names would be inferred as numbers.
-    return conform(spark.read.schema(DECISIONS).parquet(path), DECISIONS)
+    kinds = StructType([*DECISIONS.fields, StructField("month", IntegerType())])
+    stored = read_settled(spark, path, lambda: spark.read.schema(kinds).parquet(path))
+    if parts is not None:
+        chosen = F.lit(False)
+        for strategy in sorted({part[0] for part in parts}):
+            months = sorted({part[1] for part in parts if part[0] == strategy})
+            chosen |= (F.col("strategy_id") == strategy) & F.col("month").isin(months)
+        stored = stored.where(chosen)
+    return conform(stored, DECISIONS)
 
 
 def strategy_registry(source: DataFrame | str, spark: SparkSession | None = None) -> DataFrame:

@@ -13,12 +13,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from barlake.operators.decisions import append_decisions
 from barlake.operators.quality import invalid_ohlc
-from barlake.plans.paper import write_decisions
+from barlake.plans.paper import add_decisions
 from barlake.schema import BAR_KEY, BAR_REQUIRED, DECISIONS, conform
 from barlake.session import scratch_dir
-from barlake.sources.tables import scan_decisions
 from barlake.storage import delete_path, keep_last, upsert_bars
 
 
@@ -68,10 +66,7 @@ def append_decision_stream(decisions: DataFrame, table: str, checkpoint: str) ->
     def append(batch: DataFrame, batch_id: int) -> None:
         staged = scratch_dir(spark, f"batch-{batch_id}")
         conform(batch, DECISIONS).write.parquet(staged)
-        today = spark.read.parquet(staged)
-        ids = today.select("strategy_id").distinct()
-        stored = scan_decisions(spark, table).join(ids, "strategy_id", "left_semi")
-        write_decisions(append_decisions(stored, today), table)
+        add_decisions(spark.read.parquet(staged), table)
         delete_path(spark, staged)
 
     return run_batches(decisions, append, checkpoint)
