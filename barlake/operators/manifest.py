@@ -43,12 +43,14 @@ def dates_with_status(manifest: DataFrame, statuses) -> DataFrame:
 def build_fetch_manifest(days: DataFrame, registry: DataFrame, files: DataFrame) -> DataFrame:
     """Manifest rows for ``(exchange, date)`` days, from the files that are present.
 
-    ``files`` is a digested file listing; a day's file is found by its expected name.
+    ``files`` is a digested file listing; a day's file is found by its expected name. Of
+    files with one name the newest counts, of equally old ones the last by path.
     """
     expected = expected_files(days, registry)
     found = files.select(
         F.lower(file_name(F.col("path"))).alias("_name"), "path", "length", "sha256", "modified"
     )
+    found = keep_last(found, ["_name"], ["modified", "path"])
     joined = expected.join(found, F.lower("expected_filename") == F.col("_name"), "left")
     present = F.col("path").isNotNull()
     return conform(

@@ -181,15 +181,13 @@ def global_audit(partitions: DataFrame, bars: DataFrame) -> DataFrame:
 def missing_weekdays(bars: DataFrame, per: tuple[str, ...] = ("exchange",)) -> DataFrame:
     """Weekdays without bars between the first and last date of each group.
 
-    Bars are reduced to distinct dates first, map-side, so what is expanded and
-    compared is bounded by the calendar.
+    One pass: a group's dates are gathered as a set, map-side, which the calendar bounds.
     """
-    present = bars.select(*per, "date").distinct()
-    span = present.groupBy(*per).agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    expected = span.select(
-        *per, F.explode(days_between(F.col("lo"), F.col("hi"))).alias("date")
-    ).where(is_weekday(F.col("date")))
-    return expected.join(present, [*per, "date"], "left_anti")
+    seen = bars.groupBy(*per).agg(
+        F.min("date").alias("_lo"), F.max("date").alias("_hi"), F.collect_set("date").alias("_dates")
+    )
+    expected = F.filter(days_between(F.col("_lo"), F.col("_hi")), is_weekday)
+    return seen.select(*per, F.explode(F.array_except(expected, "_dates")).alias("date"))
 
 
 def expected_weekdays(spans: DataFrame, per: tuple[str, ...] = ("exchange",)) -> DataFrame:

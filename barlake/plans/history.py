@@ -29,7 +29,8 @@ from barlake.schema import (
     conform,
     exchange_code,
 )
-from barlake.journal import settle
+from barlake.files import partition_folders
+from barlake.journal import prepare, settle
 from barlake.session import scratch_dir
 from barlake.sources.bars import present_months
 from barlake.sources.inventory import list_files, with_partition_identity
@@ -85,7 +86,7 @@ def ingest_files(
     fields = spark.read.parquet(staged)
     incomplete = fields.where(~usable_rows(strict))
     if quarantine:
-        incomplete.write.mode("append").parquet(quarantine)
+        set_aside(spark, incomplete, raw.files, exchange, quarantine)
     else:
         count = incomplete.count()
         if count:
@@ -99,6 +100,20 @@ def ingest_files(
     return Ingested(rows, files, raw.skipped, (staged, raw.staged))
 
 
+def set_aside(
+    spark: SparkSession, incomplete: DataFrame, files: DataFrame, exchange: str, path: str
+) -> None:
+    """Put incomplete rows into a table of such rows, in place of those that earlier runs found in the same ``files``."""
+    place = f"exchange={exchange_code(exchange)}"
+    settle(spark, path)
+    rows = incomplete.drop("exchange")
+    if place in partition_folders(spark, path):
+        earlier = spark.read.parquet(f"{path}/{place}")
+        rows = rows.unionByName(earlier.join(files.select("path").distinct(), "path", "left_anti"))
+    prepare(spark, path, lambda folder: rows.write.parquet(f"{folder}/{place}"), lambda folder: None)
+    settle(spark, path)
+
+
 def ingest_once(spark: SparkSession, path: str, exchange: str, output: str) -> DataFrame:
     """Raw files to one flat bar table; repeated full rows merge. Returns the summary."""
     ingested = ingest_files(spark, path, exchange)

@@ -5,6 +5,7 @@ from barlake.queries.jobs import JOB_QUERIES
 from barlake.queries.manifests import MANIFEST_QUERIES
 from barlake.queries.quality import QUALITY_QUERIES
 from barlake.queries.scans import SCAN_QUERIES
+from barlake.queries.stored import STORED_QUERIES
 from barlake.queries.strategies import STRATEGY_QUERIES
 
 # name -> (query, oracle SQL or None)
@@ -15,4 +16,5 @@ ALL = {
     **FEATURE_QUERIES,
     **STRATEGY_QUERIES,
     **JOB_QUERIES,
+    **STORED_QUERIES,
 }

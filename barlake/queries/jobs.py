@@ -5,10 +5,11 @@ from __future__ import annotations
 import io
 import zipfile
 from datetime import date
+from functools import reduce
 
 import pandas as pd
 import pyarrow.fs as pafs
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from barlake.plans.history import (
     audit_history,
@@ -21,7 +22,7 @@ from barlake.plans.paper import run_paper
 from barlake.plans.publish import publish_history, publish_status
 from barlake.operators.decisions import top_n_by_price
 from barlake.queries import adapter as a
-from barlake.schema import BAR_KEY, BARS
+from barlake.schema import BAR_KEY, BARS, EXCHANGES
 from barlake.session import scratch_dir
 from barlake.sources.inventory import list_files, usage_by_prefix
 from barlake.sources.tables import scan_decisions
@@ -177,8 +178,8 @@ def raw_ingest(spark, sf_dir):
 def raw_ingest_flat(spark, sf_dir):
     raw, table = scratch_dir(spark, "raw"), scratch_dir(spark, "flat")
     write_raw_files(spark, a.bars(spark, sf_dir), raw)
-    summary = ingest_once(spark, f"{raw}/NSE", "NSE", table)
-    return summary.withColumn("exchanges", F.array_join("exchanges", ","))
+    summaries = [ingest_once(spark, f"{raw}/{name}", name, f"{table}/{name}") for name in EXCHANGES]
+    return reduce(DataFrame.unionByName, summaries).withColumn("exchanges", F.array_join("exchanges", ","))
 
 
 def built_manifest(spark, sf_dir):
@@ -381,9 +382,9 @@ FROM bars_multi GROUP BY date, exchange, isin""")),
         f"{_JUNE} OR exchange = 'BSE'", "exchange = 'NSE' OR year(date) = 1997")),
     "raw_ingest": (raw_ingest, a.with_sql(select=f"SELECT {_LIST} FROM bars")),
     "raw_ingest_flat": (raw_ingest_flat, a.with_sql(select="""
-SELECT count(*) AS rows, min(date) AS date_min, max(date) AS date_max, 'NSE' AS exchanges,
+SELECT count(*) AS rows, min(date) AS date_min, max(date) AS date_max, exchange AS exchanges,
   count(DISTINCT symbol) AS symbols, count(*) FILTER (WHERE deliverable_qty IS NULL) AS missing_deliverable_qty,
-  count(*) AS missing_delivery_pct FROM bars WHERE exchange = 'NSE'""")),
+  count(*) AS missing_delivery_pct FROM bars GROUP BY exchange""")),
     "built_manifest": (built_manifest, a.with_sql(select="""
 SELECT exchange, CAST(year(date) AS integer) AS year, CAST(month(date) AS integer) AS month,
   count(*) AS row_count, min(date) AS min_date, max(date) AS max_date, count(DISTINCT symbol) AS symbols,
