@@ -9,7 +9,7 @@ import pytest
 import corpus_pipeline
 from barlake.llm import language, mixing
 from barlake.llm.common import table
-from barlake.llm.language import drop_unknown, fit, languages_of
+from barlake.llm.language import drop_unknown, fit, language_spans, languages_of
 from tests.llm.conftest import SMALL, by_id, rows
 
 
@@ -60,6 +60,69 @@ def test_code_switched_text_shows_both_languages(spark, model, documents):
     assert means["en"] > 0.25 and means["de"] > 0.25
 
 
+def test_messages_are_carried_through_whole_texts():
+    random = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(40)]
+    seen = np.zeros((language.TRIGRAMS, 3), bool)
+    weights = random.normal(size=(language.FEATURES, 3)).astype(np.float32) * 0.1
+    # Neighbours agree nearly always, so that a text cut into pieces would show it.
+    tagger = language.Tagger(["a", "b", "c"], weights, np.eye(3) * 4.0, seen)
+    texts = [[words[i] for i in random.integers(40, size=n)] for n in (1, 63, 64, 65, 128, 300, 1000)]
+    got = list(tagger.marginals(tagger.codes(texts)))
+    text, _, marginal = (np.concatenate(c) for c in zip(*got, strict=True))
+    for i, own in enumerate(texts):
+        scores = language.emissions(own, weights, seen)[0][None].astype(np.float64)
+        want, _ = language.forward_backward(scores, np.array([len(own)]), np.eye(3) * 4.0)
+        assert np.allclose(marginal[text == i], want[0], atol=1e-4)
+
+
+def test_spans_of_a_mixed_text_are_labelled_word_by_word(spark, model):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").where("lang IN ('en', 'de') AND length(text) > 600")
+    parts = {lang: [r.text for r in docs.where(f"lang = '{lang}'").orderBy("doc_id").limit(12).collect()] for lang in ("en", "de")}
+    texts, truth = [], []
+    for one, other in zip(parts["en"], parts["de"], strict=True):
+        pieces = [(lang, " ".join(w for w in t.split() if w.isalpha())[:400].rsplit(" ", 1)[0]) for lang, t in (("en", one), ("de", other), ("en", other and one))]
+        texts.append("½ " + " ".join(t for _, t in pieces))
+        truth.append([lang for lang, t in pieces for _ in t.split()])
+    frame = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(98, None, "x"), (99, "12 -", "x")], "doc_id bigint, text string, lang string")
+    got = rows(language_spans(frame, model))
+    right = total = 0
+    for i, text in enumerate(texts):
+        spans = sorted((r for r in got if r["doc_id"] == i), key=lambda r: r["start"])
+        assert all(a["end"] <= b["start"] and a["lang"] != b["lang"] for a, b in itertools.pairwise(spans))
+        labels = [r["lang"] for r in spans for _ in text[r["start"] : r["end"]].split()]
+        assert len(labels) == len(truth[i]) and sum(r["n_words"] for r in spans) == len(labels)
+        right += sum(a == b for a, b in zip(labels, truth[i], strict=True))
+        total += len(labels)
+    assert right >= 0.95 * total and not [r for r in got if r["doc_id"] >= 98]
+
+
+def test_texts_in_languages_not_learned_are_rejected(spark, model, documents):
+    strange = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+        "qwrt zxcv plmk wqxz jkhg vbnm", "我" * 500, "x" * 100_000,
+    ]
+    langs = {r.lang: r.text for r in documents.where("n_chars > 400").orderBy("doc_id").collect()}
+    mixed = [" ".join(langs[a].split()[:60] + langs[b].split()[:60]) for a, b in itertools.combinations(sorted(langs), 2)]
+    whole = ["All human beings are born free and equal in dignity and rights.", *langs.values()]
+    texts = [*strange, *mixed, *whole]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = {r.doc_id for r in drop_unknown(frame, model, least_familiar=corpus_pipeline.LEAST_FAMILIAR).collect()}
+    assert kept == set(range(len(strange), len(texts)))
+    # Fewer labels make it no easier to pass.
+    two = language.train([("a", ["walking", "talking"]), ("b", ["gehen", "sehen"])] * 9)
+    kept = {r.doc_id for r in drop_unknown(frame.limit(len(strange)), two, least_familiar=corpus_pipeline.LEAST_FAMILIAR).collect()}
+    assert not kept
+
+
+def test_no_part_of_a_long_run_is_passed_over():
+    one, other = ("a" * 60 + middle + "b" * 60 for middle in ("qqqqqqqqqq", "zzzzzzzzzz"))
+    assert language._words(one) != language._words(other) and "".join(language._words(one)) == one
+    assert all(len(w) <= 40 for w in language._words(one))
+
+
 def test_language_of_odd_rows(spark, model, odd_docs, odd_rows, no_docs):
     got = rows(languages_of(odd_docs, model))
     assert len(got) == len(odd_rows)
