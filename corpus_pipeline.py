@@ -14,12 +14,13 @@ from barlake.llm.language import drop_unknown, fit
 from barlake.llm.mixing import mix
 from barlake.llm.simhash import drop_near_copies
 
-#: Mean marginal below which a document's language counts as unknown.
-LEAST_SCORE = 0.3
+#: Share of a document's letter trigrams that must be known in the languages its words are labelled with.
+LEAST_FAMILIAR = 0.5
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_unknown(docs, fit(docs), least_score=LEAST_SCORE)
+    """Documents in languages that were not learned go, mixtures of learned ones stay; null and wordless texts go."""
+    return drop_unknown(docs, fit(docs), least_familiar=LEAST_FAMILIAR)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
