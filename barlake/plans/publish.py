@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.operators.manifest import assert_resolved, changed_partitions, sync_status
+from barlake.plans.contents import compare_contents, month_contents
 from barlake.plans.history import month_files
 from barlake.schema import MONTH_KEY, ContractError, require_columns
 from barlake.session import scratch_dir
@@ -52,9 +53,33 @@ def remote_inventory(spark: SparkSession, target: str) -> DataFrame:
     )
 
 
-def publish_status(spark: SparkSession, target: str, manifest: DataFrame) -> DataFrame:
-    """OK, MISSING, STALE or EXTRA for each month of the manifest or the target."""
-    return sync_status(manifest, remote_inventory(spark, target))
+def _of(status: DataFrame, code: str) -> list[tuple[str, int, int]]:
+    months = status.where(F.col("status") == code).select(*MONTH_KEY)
+    return sorted((r.exchange, r.year, r.month) for r in months.collect())
+
+
+def _same_rows(spark: SparkSession, source: str, target: str, months: list) -> list[tuple[str, int, int]]:
+    """Those of the months that hold the same rows on both sides, whatever their files."""
+    if not months:
+        return []
+    ours, theirs = (month_contents(only_months(read_months(spark, p), months)) for p in (source, f"{target}/bars"))
+    return _of(compare_contents(ours, theirs), "OK")
+
+
+def publish_status(
+    spark: SparkSession, target: str, manifest: DataFrame, source: str | None = None
+) -> DataFrame:
+    """OK, MISSING, STALE or EXTRA for each month of the manifest or the target.
+
+    With the ``source`` table, months whose files differ are compared by their rows, and are OK if these are
+    the same; no other months are read.
+    """
+    status = sync_status(manifest, remote_inventory(spark, target))
+    if source is None:
+        return status
+    same = _same_rows(spark, source, target, _of(status, "STALE"))
+    equal = F.concat_ws("/", *MONTH_KEY).isin(["/".join(map(str, m)) for m in same])
+    return status.withColumn("status", F.when(equal, "OK").otherwise(F.col("status")))
 
 
 def publish_history(
@@ -65,7 +90,8 @@ def publish_history(
 
     Refuses a failed audit, unresolved fetches and an incomplete partition manifest. Months
     are written beside the target's, their rows are counted against the manifest, and only
-    then are they moved into place. Months that the target has beyond the manifest stay.
+    then are they moved into place. Months that the target has beyond the manifest stay, and so do
+    those whose source has other files, but the same rows.
     Returns the months written; a second run with nothing new writes none.
     """
     if not audit.first()["passed"]:
@@ -81,10 +107,12 @@ def publish_history(
         raise ContractError("no months to publish for the selected exchanges")
 
     settle(spark, f"{target}/bars")
-    changed = changed_partitions(publish_status(spark, target, manifest))
-    months = sorted((r.exchange, r.year, r.month) for r in changed.collect())
-    if not months:
+    status = publish_status(spark, target, manifest)
+    same = _same_rows(spark, source, target, _of(status, "STALE"))
+    differing = sorted((r.exchange, r.year, r.month) for r in changed_partitions(status).collect())
+    if not differing:
         return []
+    months = [month for month in differing if month not in same]
     wanted = only_months(manifest, months)
 
     def complete(written: DataFrame) -> None:
@@ -93,13 +121,15 @@ def publish_history(
         if short:
             raise ContractError(f"{short} months differ from the partition manifest")
 
-    bars = only_months(read_months(spark, source), months)
-    swap_months(spark, bars, f"{target}/bars", complete, by_month=True)
+    if months:
+        bars = only_months(read_months(spark, source), months)
+        swap_months(spark, bars, f"{target}/bars", complete, by_month=True)
 
-    placed = only_months(_at_target(spark, target), months).select(
+    # Months with the same rows are recorded as well: their source has other files now.
+    placed = only_months(_at_target(spark, target), differing).select(
         *MONTH_KEY, "object_key", F.col("size").alias("target_size"), F.col("etag").alias("target_etag")
     )
-    now = wanted.join(placed, list(MONTH_KEY)).select(
+    now = only_months(manifest, differing).join(placed, list(MONTH_KEY)).select(
         *MONTH_KEY, "object_key", F.col("file_size_bytes").alias("size"), F.col("md5").alias("etag"),
         "target_size", "target_etag",
     )

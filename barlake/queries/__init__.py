@@ -1,5 +1,6 @@
 """Registered queries and the SQL each is checked against."""
 
+from barlake.queries.contents import CONTENT_QUERIES
 from barlake.queries.features import FEATURE_QUERIES
 from barlake.queries.jobs import JOB_QUERIES
 from barlake.queries.manifests import MANIFEST_QUERIES
@@ -17,4 +18,5 @@ ALL = {
     **STRATEGY_QUERIES,
     **JOB_QUERIES,
     **STORED_QUERIES,
+    **CONTENT_QUERIES,
 }
