@@ -402,3 +402,18 @@ def test_fetch_manifest_from_present_files(spark, tmp_path):
     gone = spark.createDataFrame([("/nowhere.csv",)], "local_path string")
     assert missing_sources(gone, list_files(spark, path)).count() == 1
     assert usage_by_prefix(list_files(spark, path), path).first().objects == 1
+
+
+def test_rows_are_not_shuffled_to_their_header(spark, tmp_path):
+    """Nearly all rows have one header: a shuffle by it would send them to one task."""
+    put(tmp_path / "raw", "cm02JAN2026bhav.csv.zip", NSE, nse_row())
+    (tmp_path / "raw" / "cm05JAN2026bhav.csv").write_text("\n".join([NSE, nse_row(), ""]))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = read_raw(spark, str(tmp_path / "raw"), "NSE").rows
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert rows.count() == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan
