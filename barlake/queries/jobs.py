@@ -82,9 +82,9 @@ def upsert_duplicates(spark, sf_dir):
 
     def close_plus(*added):
         times = F.explode(F.array(*map(F.lit, added)))
-        return again.withColumn("_add", times).orderBy(*BAR_KEY, "_add").withColumn("close", F.col("close") + F.col("_add")).drop("_add").coalesce(1)
+        return again.withColumn("_add", times).orderBy(*BAR_KEY, "_add").withColumn("close", F.col("close") + F.col("_add")).drop("_add")
 
-    # The first and the last file are the smaller ones.
+    # The files of the first and the last folder are the smaller ones; those of a folder are in order.
     for name, added in (("1", (7.0,)), ("2", (2.0, 3.0, 4.0)), ("3", (0.5, 1.0))):
         close_plus(*added).write.parquet(f"{refreshed}/{name}")
     files = [f"{refreshed}/{name}" for name in ("2", "3", "1")]

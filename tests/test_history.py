@@ -417,3 +417,21 @@ def test_rows_are_not_shuffled_to_their_header(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" not in plan
+
+
+def test_refreshed_files_of_duplicates_are_written_by_many_tasks(spark):
+    """A table sorted and written by one task holds all of it there."""
+    from pathlib import Path
+
+    from barlake.queries.jobs import upsert_duplicates
+
+    before = {n: spark.conf.get(n) for n in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.checkpoint.dir")}
+    shared = Path(before["spark.checkpoint.dir"])
+    known = set(shared.glob("refreshed-*"))
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        upsert_duplicates(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before["spark.sql.adaptive.coalescePartitions.enabled"])
+    (folder,) = set(shared.glob("refreshed-*")) - known
+    assert all(len(list((folder / name).glob("part-*"))) > 1 for name in ("1", "2", "3"))
