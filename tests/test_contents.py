@@ -87,3 +87,21 @@ def test_months_laid_out_anew_are_not_published_again(spark, make_bars, tmp_path
     assert publish() == [("NSE", 2026, 2)]
     sides = [month_contents(read_months(spark, p)) for p in (source, f"{target}/bars")]
     assert {r.status for r in compare_contents(*sides).collect()} == {"OK"}
+
+
+def test_months_laid_out_anew_are_not_dealt_to_three_tasks(spark, make_bars, tmp_path):
+    from barlake.queries.contents import _lay_out_anew
+
+    bars = make_bars([(date(2026, m, d), f"S{s}", 10.0 + s) for m in range(1, 7) for d in range(1, 20) for s in range(40)])
+    before = {n: spark.conf.get(n) for n in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        _lay_out_anew(bars, str(tmp_path / "anew"))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    laid = spark.read.parquet(str(tmp_path / "anew"))
+    files = laid.inputFiles()
+    assert laid.count() == bars.count() and len(files) >= 18
+    assert len({name.split("part-")[1][:5] for name in files}) > 3  # numbers of the tasks that wrote them
