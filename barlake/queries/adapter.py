@@ -47,25 +47,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bars(spark: SparkSession, sf_dir: str, *, by: str = "isin") -> DataFrame:
     """The ``bars`` view of ``BARS_SQL``.
 
     An instrument has one bar per date by construction, so the window for the previous
-    close is bounded by the calendar; it is pruned where the column is not used.
+    close is bounded by the calendar; it is pruned where the column is not used. Line items are
+    shuffled once, by exchange and ``by`` (``isin`` or ``symbol``, which goes by the isin): bars of a day,
+    previous closes and windows over that key follow from this one placement.
     """
+    supplier = F.col("l_suppkey").cast("string")
+    identity = {
+        "isin": F.concat(F.lit("INE"), F.lpad(supplier, 9, "0")),
+        "exchange": F.when(F.col("l_linestatus") == "O", "NSE").otherwise("BSE"),
+        "symbol": F.concat(F.lit("S"), F.lpad(supplier, 5, "0")),
+    }
     items = table(spark, sf_dir, "lineitem").select(
         F.col("l_shipdate").cast("date").alias("date"), "l_linestatus", "l_suppkey",
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
         "l_quantity", "l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey",
     )
-    key = ("date", "l_linestatus", "l_suppkey")
-    trades = Window.partitionBy(*key).orderBy(
+    # Names and prices follow from what is shuffled, so they are not.
+    placed = items.repartition(identity["exchange"], identity[by]).withColumns(
+        identity | {"price": F.col("l_extendedprice") / F.col("l_quantity")}
+    )
+    trades = Window.partitionBy(*identity, "date").orderBy(
         "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity"
     )
-    numbered = items.withColumns(
+    numbered = placed.withColumns(
         {"_rn": F.row_number().over(trades), "_later": F.lead(F.lit(1)).over(trades)}
     )
-    daily = numbered.groupBy(*key).agg(
+    daily = numbered.groupBy(*identity, "date").agg(
         F.max(F.when(F.col("_rn") == 1, F.col("price"))).alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
@@ -74,20 +84,12 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("turnover"),
         F.count("*").alias("trades"),
     )
-    supplier = F.col("l_suppkey").cast("string")
-    named = daily.withColumns(
-        {
-            "exchange": F.when(F.col("l_linestatus") == "O", "NSE").otherwise("BSE"),
-            "isin": F.concat(F.lit("INE"), F.lpad(supplier, 9, "0")),
-            "symbol": F.concat(F.lit("S"), F.lpad(supplier, 5, "0")),
-            "series": F.lit("EQ"),
-        }
-    )
-    previous = F.lag("close").over(Window.partitionBy("exchange", "isin").orderBy("date"))
+    previous = F.lag("close").over(Window.partitionBy(*identity).orderBy("date"))
     half = F.floor(F.col("volume") / 2).cast("bigint")
     return conform(
-        named.withColumns(
+        daily.withColumns(
             {
+                "series": F.lit("EQ"),
                 "prev_close": previous,
                 "vwap": F.col("turnover") / F.col("volume"),
                 "deliverable_qty": F.when(F.col("volume") % 3 != 0, half),
@@ -100,6 +102,12 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_copies(rows: DataFrame, copied) -> DataFrame:
+    """Each row, and once more with ``_copy`` true where ``copied`` holds; the rows are made once."""
+    no, yes = F.lit(False), F.lit(True)
+    return rows.withColumn("_copy", F.explode(F.when(copied, F.array(no, yes)).otherwise(F.array(no))))
+
+
 # Every fifth volume also trades in a second series at twice the price.
 MULTI_SQL = """
 bars_multi AS (
@@ -111,11 +119,9 @@ bars_multi AS (
 
 
 def bars_multi(spark, sf_dir):
-    rows = bars(spark, sf_dir)
-    second = rows.where(F.col("volume") % 5 == 0).withColumns(
-        {"series": F.lit("BL"), "close": F.col("close") * 2, "adj_close": F.col("adj_close") * 2}
-    )
-    return rows.unionByName(second)
+    both = _with_copies(bars(spark, sf_dir), F.col("volume") % 5 == 0)
+    second = {"series": F.lit("BL"), "close": F.col("close") * 2, "adj_close": F.col("adj_close") * 2}
+    return both.withColumns({n: F.when(F.col("_copy"), c).otherwise(F.col(n)) for n, c in second.items()}).drop("_copy")
 
 
 # Bars with defects of every audited kind, and repeated keys.
@@ -144,7 +150,7 @@ def bars_dirty(spark, sf_dir):
             "turnover": F.when(v % 17 == 0, -F.col("turnover")).otherwise(F.col("turnover")),
         }
     )
-    return rows.unionByName(rows.where(F.col("volume") % 19 == 0))
+    return _with_copies(rows, F.col("volume") % 19 == 0).drop("_copy")
 
 
 # BSE rows doubled under a ``#`` symbol, and rows that exist under ``#`` only.
@@ -159,12 +165,11 @@ bars_hash AS (
 
 
 def bars_hash(spark, sf_dir):
-    rows = bars(spark, sf_dir)
     bse, v = F.col("exchange") == "BSE", F.col("volume")
-    marked = F.concat("symbol", F.lit("#"))
-    only = F.when(bse & (v % 9 == 0), marked).otherwise(F.col("symbol"))
-    doubled = rows.where(bse & (v % 4 == 0) & (v % 9 != 0)).withColumn("symbol", marked)
-    return rows.withColumn("symbol", only).unionByName(doubled)
+    both = _with_copies(bars(spark, sf_dir), bse & (v % 4 == 0) & (v % 9 != 0))
+    marked = F.col("_copy") | (bse & (v % 9 == 0))
+    symbol = F.when(marked, F.concat("symbol", F.lit("#"))).otherwise(F.col("symbol"))
+    return both.withColumn("symbol", symbol).drop("_copy")
 
 
 # Trading days moved 24 years ahead (leap days stay), to cross the format changes.

@@ -90,19 +90,19 @@ def _query(*names):
 
     def run(spark, sf_dir):
         # One bar per instrument and date by construction: no series needs splitting.
-        frame = ft.feature_frame(a.bars(spark, sf_dir), columns=columns, max_rows=None)
+        frame = ft.feature_frame(a.bars(spark, sf_dir, by="symbol"), columns=columns, max_rows=None)
         return _rounded(frame, names)
 
     return run, a.with_sql(_FEATURES_SQL, select=f"SELECT {_columns_sql(columns)} FROM feat")
 
 
 def feature_frame(spark, sf_dir):
-    return _rounded(ft.feature_frame(a.bars(spark, sf_dir)), ft.FEATURES)
+    return _rounded(ft.feature_frame(a.bars(spark, sf_dir, by="symbol")), ft.FEATURES)
 
 
 def feature_frame_split(spark, sf_dir):
     """The same frame with every instrument cut into blocks of 100 rows."""
-    return _rounded(ft.feature_frame(a.bars(spark, sf_dir), max_rows=100), ft.FEATURES)
+    return _rounded(ft.feature_frame(a.bars(spark, sf_dir, by="symbol"), max_rows=100), ft.FEATURES)
 
 
 _FRAME_SQL = a.with_sql(
@@ -124,7 +124,7 @@ def true_range_dm(spark, sf_dir):
 
 def exact_date_features(spark, sf_dir):
     names = ["ret_20", "ema_20", "rsi_14"]
-    frame = ft.feature_frame(a.bars(spark, sf_dir), columns=[*_KEYS, *names], max_rows=None)
+    frame = ft.feature_frame(a.bars(spark, sf_dir, by="symbol"), columns=[*_KEYS, *names], max_rows=None)
     return _rounded(ft.latest_features(frame, _month_ends(spark, sf_dir)), names)
 
 
@@ -172,7 +172,7 @@ def cross_median(spark, sf_dir):
 
 
 def leadership(spark, sf_dir):
-    frame = ft.feature_frame(a.bars(spark, sf_dir), columns=[*_KEYS, "ret_20"], max_rows=None)
+    frame = ft.feature_frame(a.bars(spark, sf_dir, by="symbol"), columns=[*_KEYS, "ret_20"], max_rows=None)
     index = frame.where((F.col("symbol") == "S00001") & (F.col("exchange") == "NSE")).select(
         "date", F.col("ret_20").alias("benchmark_ret_20")
     )
