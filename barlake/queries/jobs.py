@@ -47,6 +47,11 @@ def _refreshed(bars):
     )
 
 
+def _stored(spark, path):
+    """The bars of a written table: reading them is cheaper than deriving them once more."""
+    return read_months(spark, path).select(*BARS.names)
+
+
 def upsert_day(spark, sf_dir):
     rows = a.bars(spark, sf_dir)
     return _closes(merge_day(rows, _refreshed(rows)))
@@ -109,12 +114,14 @@ def only_missing_write(spark, sf_dir):
 
 
 def repaired_write(spark, sf_dir):
-    rows = a.bars(spark, sf_dir)
     path = scratch_dir(spark, "bars")
-    store_bars(spark, rows, path)
-    dearer = rows.withColumn("close", F.col("close") + 1)
-    store_bars(spark, dearer, path, mode="repair", partition=("NSE", 1998, 6))
-    store_bars(spark, dearer.where(F.year("date") == 1997), path, mode="clean", exchanges=("BSE",))
+    store_bars(spark, a.bars(spark, sf_dir), path)
+
+    def dearer():
+        return _stored(spark, path).withColumn("close", F.col("close") + 1)
+
+    store_bars(spark, dearer(), path, mode="repair", partition=("NSE", 1998, 6))
+    store_bars(spark, dearer().where(F.year("date") == 1997), path, mode="clean", exchanges=("BSE",))
     return _closes(read_months(spark, path))
 
 
@@ -252,9 +259,9 @@ def published_months(spark, sf_dir):
 
 def published_status(spark, sf_dir):
     """What the target looks like after it lost one month, had one changed and one added."""
-    rows = a.bars(spark, sf_dir)
     source, target = scratch_dir(spark, "bars"), scratch_dir(spark, "published")
-    store_bars(spark, rows, source)
+    store_bars(spark, a.bars(spark, sf_dir), source)
+    rows = _stored(spark, source)
     manifest = partition_manifest(spark, source)
     _, total = audit_history(spark, source)
     fetched = rows.select("exchange", "date", F.lit("validated").alias("status"))
