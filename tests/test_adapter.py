@@ -20,3 +20,9 @@ def test_derived_bars_take_one_scan_and_one_shuffle(spark, make):
 
 def test_windows_over_instruments_keep_the_placement(spark):
     assert plan(forward_returns(a.bars(spark, SF), max_rows=None)).count("Exchange") == 1
+
+
+@pytest.mark.parametrize("by", ["isin", "symbol"])
+def test_derived_bars_are_sorted_once_and_hold_no_table_of_days(spark, by):
+    text = plan(a.bars(spark, SF, by=by))
+    assert text.count("Sort [") == 1 and "HashAggregate" not in text
