@@ -43,3 +43,10 @@ def test_a_split_frame_writes_nothing_wide(spark):
     before = set(shared.iterdir())
     feature_frame(a.bars(spark, "/root/testdata/sf0.01", by="symbol"), max_rows=200).count()
     assert {path.name.split("-")[0] for path in set(shared.iterdir()) - before} == {"blocks"}
+
+
+def test_all_passes_over_blocks_read_one_shuffle(spark):
+    lines = plan(feature_frame(a.bars(spark, "/root/testdata/sf0.01", by="symbol"), max_rows=200)).split("\n")
+    below = [lines[i + 1 : i + 3] for i, line in enumerate(lines) if "Exchange hashpartitioning(_block#" in line]
+    rows = [found for found in below if "Project [date#" in found[0]]
+    assert len(rows) > 2 and all("Filter isnotnull(_span#" in found[1] for found in rows)
