@@ -72,7 +72,7 @@ def upsert_table(spark, sf_dir):
     path = scratch_dir(spark, "bars")
     write_months(rows, path)
     refreshed = scratch_dir(spark, "refreshed")
-    _refreshed(rows).write.parquet(refreshed)
+    _refreshed(_stored(spark, path)).write.parquet(refreshed)
     for _ in range(2):
         upsert_bars(spark, spark.read.parquet(refreshed), path)
     return _closes(read_months(spark, path))
