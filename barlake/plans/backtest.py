@@ -196,11 +196,12 @@ def blackbox_decisions(
     ``max_slice_rows``; rows are never dropped. See ``slices`` for how rows reach the calls.
     """
     # One row per trading date and as-of date: bounded by the calendar.
-    counts: dict[date, int] = {}
-    for table in [bars] if features is None else [bars, features]:
-        for row in table.groupBy("date").count().collect():
+    traded = {row["date"]: row["count"] for row in bars.groupBy("date").count().collect()}
+    counts = dict(traded)
+    if features is not None:
+        for row in features.groupBy("date").count().collect():
             counts[row["date"]] = counts.get(row["date"], 0) + row["count"]
-    days = [row.as_of for row in decision_dates(bars, dates=dates).collect()]
+    days = list(traded) if dates is None else [row.as_of for row in decision_dates(bars, dates=dates).collect()]
     largest = largest_slice(counts, days, lookback_days)
     if not per_instrument:
         parts = 1
@@ -217,7 +218,7 @@ def blackbox_decisions(
     def call(as_of: date, runtime: SliceRuntime) -> pd.DataFrame:
         return _payload_rows(decide(as_of, runtime), as_of)
 
-    payload = slide(bars, days, call, _PAYLOAD, lookback_days=lookback_days, parts=parts, features=features)
+    payload = slide(bars, days, call, _PAYLOAD, lookback_days=lookback_days, parts=parts, features=features, total=sum(counts.values()))
     if per_instrument:
         per_date = Window.partitionBy("date").orderBy(
             F.col("score").desc_nulls_last(), "symbol", "exchange", "isin", "position"

@@ -12,6 +12,7 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterable, Iterator
 from datetime import date, timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -20,48 +21,70 @@ from barlake.schema import ContractError
 KEYS = ["date", "exchange", "isin", "symbol", "series"]
 # Calendar days of a span, in look-backs.
 SPAN_LOOKBACKS = 4
-# Rows of a part's largest slice that one task should hold.
-PART_ROWS = 500_000
+# Rows of a part's largest slice: what a call gets, and a fifth of what a task sorts for a part and span.
+PART_ROWS = 50_000
+# Rows that one task should sort, if it gets several parts and spans.
+TASK_ROWS = 250_000
+
+
+_SORTED = ["date", "exchange", "symbol"]
+
+
+def _ordinals(days: Iterable[date]) -> np.ndarray:
+    return np.array([day.toordinal() for day in days], dtype=np.int64)
 
 
 class SliceRuntime:
     """What a black-box strategy may ask for: a point-in-time slice, already in memory.
 
     ``features`` are a table of their own beside the bars; where a run has none, the
-    bars serve as features. Columns that a slice lacks are a contract error.
+    bars serve as features. Columns that a slice lacks are a contract error. ``days`` are the dates of both as
+    ordinals, given if the rows lie by date, exchange and symbol; else they are sorted, once for all requests.
     """
 
-    def __init__(self, rows: pd.DataFrame, as_of: date, features: pd.DataFrame | None = None) -> None:
-        self._rows, self._as_of = rows, as_of
-        self._features = rows if features is None else features
-
-    def _select(self, rows: pd.DataFrame, *, exchange=None, as_of_date=None, start_date=None,
+    def __init__(
+        self, rows: pd.DataFrame, as_of: date, features: pd.DataFrame | None = None, *,
+        days: tuple[np.ndarray, np.ndarray | None] | None = None,
+    ) -> None:
+        def table(frame, ordinals):
+            if ordinals is None:
+                frame = frame.sort_values(_SORTED, kind="stable")
+                ordinals = _ordinals(frame["date"])
+            return frame, ordinals
+
+        own, told = days or (None, None)
+        self._rows, self._as_of = table(rows, own), as_of
+        self._features = self._rows if features is None else table(features, told)
+
+    def _select(self, table, *, exchange=None, as_of_date=None, start_date=None,
                 lookback_days=None, symbols=None, series=None) -> pd.DataFrame:
+        rows, days = table
         if lookback_days is not None:
             if as_of_date is None:
                 raise ValueError("lookback_days requires as_of_date")
             horizon = as_of_date - timedelta(days=int(lookback_days))
             start_date = horizon if start_date is None else max(start_date, horizon)
-        keep = pd.Series(True, index=rows.index)
+        first = 0 if start_date is None else np.searchsorted(days, start_date.toordinal())
+        until = len(days) if as_of_date is None else np.searchsorted(days, as_of_date.toordinal(), side="right")
+        rows = rows.iloc[first:until]
+        wanted = []
         if exchange is not None:
-            keep &= rows["exchange"] == exchange
-        if as_of_date is not None:
-            keep &= rows["date"] <= as_of_date
-        if start_date is not None:
-            keep &= rows["date"] >= start_date
+            wanted.append(rows["exchange"] == exchange)
         if symbols:
-            keep &= rows["symbol"].isin(symbols)
+            wanted.append(rows["symbol"].isin(symbols))
         if series is not None:
-            keep &= rows["series"].isin([series] if isinstance(series, str) else series)
-        return rows[keep]
-
-    def _table(self, kind: str, rows: pd.DataFrame, columns, filters) -> pd.DataFrame:
-        wanted = list(rows.columns) if columns is None else list(columns)
-        unknown = [name for name in wanted if name not in rows.columns]
+            wanted.append(rows["series"] == series if isinstance(series, str) else rows["series"].isin(series))
+        keep = np.logical_and.reduce(wanted) if wanted else np.True_
+        return rows if keep.all() else rows[keep]
+
+    def _table(self, kind: str, table, columns, filters) -> pd.DataFrame:
+        known = table[0].columns
+        wanted = list(known) if columns is None else list(columns)
+        unknown = [name for name in wanted if name not in known]
         if unknown:
             raise ContractError(f"the slice has no {kind} columns {unknown}")
-        found = self._select(rows, **filters).sort_values(["date", "exchange", "symbol"], kind="stable")
-        return found[wanted].reset_index(drop=True)
+        found = self._select(table, **filters)[wanted]
+        return found.set_axis(pd.RangeIndex(len(found)))
 
     def market_data(self, *, columns=None, **filters) -> pd.DataFrame:
         return self._table("market data", self._rows, columns, filters)
@@ -122,21 +145,23 @@ class _Buffer:
 
     def __init__(self, names: list[str]) -> None:
         self.names = names
-        self.rows = pd.DataFrame(columns=names)
-
-    def add(self, rows: pd.DataFrame, since: date) -> None:
-        rows = rows.set_axis(self.names, axis=1)
-        kept = self.rows.iloc[self._first(since) :]
-        self.rows = pd.concat([kept, rows], ignore_index=True) if len(kept) else rows.reset_index(drop=True)
+        self.added: list[tuple[pd.DataFrame, np.ndarray]] = []
 
-    def _first(self, day: date) -> int:
-        return int(self.rows["date"].searchsorted(day)) if len(self.rows) else 0
+    def add(self, rows: pd.DataFrame, days: np.ndarray) -> None:
+        self.added.append((rows.set_axis(self.names, axis=1), days))
 
-    def between(self, first: date, last: date) -> pd.DataFrame:
-        if not len(self.rows):
-            return self.rows
-        until = int(self.rows["date"].searchsorted(last, side="right"))
-        return self.rows.iloc[self._first(first) : until].reset_index(drop=True)
+    def between(self, first: date, last: date) -> tuple[pd.DataFrame, np.ndarray]:
+        """The rows of these dates; those before ``first`` are let go when rows were added since."""
+        since = first.toordinal()
+        if len(self.added) > 1:
+            kept = [(rows.iloc[at:], days[at:]) for rows, days in self.added if (at := int(days.searchsorted(since))) < len(days)]
+            frames = [rows for rows, _ in kept]
+            self.added = [(pd.concat(frames, ignore_index=True), np.concatenate([days for _, days in kept]))] if kept else []
+        if not self.added:
+            return pd.DataFrame(columns=self.names), np.empty(0, np.int64)
+        ((rows, days),) = self.added
+        at = slice(int(days.searchsorted(since)), int(days.searchsorted(last.toordinal(), side="right")))
+        return rows.iloc[at], days[at]
 
 
 def _pass(call: Callable, spans: list[list[date]], lookback: timedelta, bar_names: list[str], feature_names: list[str] | None):
@@ -147,10 +172,10 @@ def _pass(call: Callable, spans: list[list[date]], lookback: timedelta, bar_name
         """Results of the as-of dates all of whose rows have passed."""
         while state["waiting"] and (until is None or state["waiting"][0] < until):
             as_of = state["waiting"].pop(0)
-            bars = state["bars"].between(as_of - lookback, as_of)
-            features = state["features"].between(as_of - lookback, as_of) if feature_names else None
+            bars, days = state["bars"].between(as_of - lookback, as_of)
+            features, told = state["features"].between(as_of - lookback, as_of) if feature_names else (None, None)
             if len(bars):
-                yield call(as_of, SliceRuntime(bars, as_of, features))
+                yield call(as_of, SliceRuntime(bars, as_of, features, days=(days, told)))
 
     def over_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         place, state = None, None
@@ -161,14 +186,12 @@ def _pass(call: Callable, spans: list[list[date]], lookback: timedelta, bar_name
                         yield from decided(state, None)
                     place = key
                     state = {"waiting": list(spans[key[0]]), "bars": _Buffer(bar_names), "features": _Buffer(feature_names or [])}
-                # What later dates may look back on starts at the first that still waits.
-                since = state["waiting"][0] - lookback if state["waiting"] else rows["_date"].iloc[0]
-                own = rows["_feature"].to_numpy(bool)
+                days, own = _ordinals(rows["_date"]), rows["_feature"].to_numpy(bool)
                 values = rows.drop(columns=["_span", "_part", "_date", "_feature"])
                 if not own.all():
-                    state["bars"].add(values.iloc[~own, :width], since)
+                    state["bars"].add(values.iloc[~own, :width], days[~own])
                 if own.any():
-                    state["features"].add(values.iloc[own, width:], since)
+                    state["features"].add(values.iloc[own, width:], days[own])
                 yield from decided(state, rows["_date"].iloc[-1])
         if state:
             yield from decided(state, None)
@@ -183,11 +206,12 @@ def _placed(rows: DataFrame, days: DataFrame, parts: int) -> DataFrame:
 
 def slide(
     bars: DataFrame, dates: list[date], call: Callable[[date, SliceRuntime], pd.DataFrame], schema: str, *,
-    lookback_days: int, parts: int, features: DataFrame | None = None,
+    lookback_days: int, parts: int, features: DataFrame | None = None, total: int = 0,
 ) -> DataFrame:
     """What ``call`` returns for each as-of date and part of the universe that has bars in its look-back.
 
-    Bars and features need the columns of ``KEYS``. The days table is bounded by the calendar.
+    Bars and features need the columns of ``KEYS``. The days table is bounded by the calendar. The parts of all spans are
+    dealt evenly to tasks, of which there are more the more rows (``total``) there are.
     """
     spark = bars.sparkSession
     spans = span_plan(dates, lookback_days)
@@ -202,14 +226,19 @@ def slide(
     for side, rows in zip("bf", tables):
         values = [(F.col(f"`{f.name}`") if name[0] == side else F.lit(None).cast(f.dataType)).alias(name) for name, f in typed]
         placed = _placed(rows, days, parts)
-        order = [F.col(name).alias(f"_{name}") for name in ("exchange", "symbol", "series", "isin")]
-        streams.append(placed.select("_span", "_part", "_date", F.lit(side == "f").alias("_feature"), *order, *values))
+        streams.append(placed.select("_span", "_part", "_date", F.lit(side == "f").alias("_feature"), *values))
     rows = streams[0] if len(streams) == 1 else streams[0].unionByName(streams[1])
-    tasks = max(1, min(len(spans) * parts, 8 * spark.sparkContext.defaultParallelism))
+
+    def key(name: str):
+        """The column of that name of a row's own kind; NULLs come last, as they do in pandas."""
+        own = [f"{side}{table.columns.index(name)}" for side, table in zip("bf", tables)]
+        return F.coalesce(*own).asc_nulls_last()
+
+    # A row of a span and the next: a quarter more.
+    tasks = max(1, min(len(spans) * parts, max(8 * spark.sparkContext.defaultParallelism, -(-total * 5 // (4 * TASK_ROWS)))))
     ordered = (
-        rows.repartition(tasks, "_span", "_part")
-        .sortWithinPartitions("_span", "_part", "_date", "_feature", "_exchange", "_symbol", "_series", "_isin")
-        .drop("_exchange", "_symbol", "_series", "_isin")
+        rows.repartitionById(tasks, F.col("_span") * parts + F.col("_part"))
+        .sortWithinPartitions("_span", "_part", "_date", "_feature", *map(key, ("exchange", "symbol", "series", "isin")))
     )
     names = [[field.name for field in rows.schema.fields] for rows in tables]
     over_all = _pass(call, spans, timedelta(days=lookback_days), names[0], names[1] if features is not None else None)

@@ -9,6 +9,7 @@ from barlake.operators.features import feature_frame
 from barlake.operators.returns import forward_returns
 from barlake.plans import performance as perf
 from barlake.plans.backtest import blackbox_decisions, chunk_plan, chunked_backtest as run_chunks, rank_scores, run_backtest
+from barlake.plans.slices import KEYS
 from barlake.queries import adapter as a
 from barlake.queries.features import _FEATURES_SQL
 from barlake.session import scratch_dir
@@ -147,11 +148,11 @@ def portfolio_turnover(spark, sf_dir):
 
 def _momentum(as_of, runtime):
     """Score each instrument: last close over its mean close in the slice."""
-    rows = runtime.market_data(as_of_date=as_of, series="EQ")
-    grouped = rows.groupby(["exchange", "symbol"])
-    best = grouped.tail(1).set_index(["exchange", "symbol"])
-    best["score"] = best["adj_close"] / grouped["adj_close"].mean()
-    return best.reset_index()[["exchange", "isin", "symbol", "score"]].assign(target_weight=0.0)
+    rows = runtime.market_data(as_of_date=as_of, series="EQ", columns=["exchange", "isin", "symbol", "adj_close"])
+    grouped = rows.groupby(["exchange", "symbol"], sort=False)
+    mean = grouped["adj_close"].transform("mean")
+    best = grouped.tail(1)
+    return best[["exchange", "isin", "symbol"]].assign(score=best["adj_close"] / mean[best.index], target_weight=0.0)
 
 
 def _cross_section(as_of, runtime):
@@ -161,9 +162,20 @@ def _cross_section(as_of, runtime):
     return best.rename(columns={"adj_close": "score"}).assign(target_weight=1 / 3)
 
 
+def _written(spark, rows, name):
+    """Rows that a run reads more than once: reading them is cheaper than deriving them again."""
+    path = scratch_dir(spark, name)
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _closing_prices(spark, sf_dir):
+    return _written(spark, a.bars(spark, sf_dir).select(*KEYS, "adj_close"), "bars")
+
+
 def blackbox_strategy(spark, sf_dir):
     decided = blackbox_decisions(
-        a.bars(spark, sf_dir), _cross_section, strategy_id="blackbox_v1", lookback_days=10,
+        _closing_prices(spark, sf_dir), _cross_section, strategy_id="blackbox_v1", lookback_days=10,
         columns=["adj_close"],
     )
     return _rounded(decided, "target_weight")
@@ -171,7 +183,7 @@ def blackbox_strategy(spark, sf_dir):
 
 def blackbox_scores(spark, sf_dir):
     scored = blackbox_decisions(
-        a.bars(spark, sf_dir), _momentum, strategy_id="momentum_v1", lookback_days=30,
+        _closing_prices(spark, sf_dir), _momentum, strategy_id="momentum_v1", lookback_days=30,
         columns=["adj_close"], per_instrument=True, parts=2,
     )
     return _rounded(rank_scores(scored, top_n=4), "target_weight", "score")
@@ -180,7 +192,7 @@ def blackbox_scores(spark, sf_dir):
 def blackbox_ranks(spark, sf_dir):
     """Ranks that Spark gives the scores of all parts of the universe."""
     scored = blackbox_decisions(
-        a.bars(spark, sf_dir), _last_close, strategy_id="close_v1", lookback_days=5,
+        _closing_prices(spark, sf_dir), _last_close, strategy_id="close_v1", lookback_days=5,
         columns=["adj_close"], per_instrument=True, parts=3,
     )
     return scored.select("date", "exchange", "isin", "symbol", "rank", "score")

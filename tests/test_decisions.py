@@ -1,6 +1,8 @@
 from datetime import date, timedelta
 
+import pandas as pd
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from barlake.operators import decisions as dec
@@ -282,3 +284,47 @@ def test_unknown_columns_are_a_contract_error(eight_bars):
             asks(method, columns)
     with pytest.raises(ContractError, match="lack the columns"):
         bt.blackbox_decisions(eight_bars, None, strategy_id="b", lookback_days=3, features=features.drop("series"))
+
+
+def test_parts_of_spans_are_dealt_evenly_and_grow_in_number(spark, make_bars, monkeypatch):
+    """A task gets one part of a span where there are few, and parts are made small enough to stay so."""
+    days = [date(2026, 1, 1) + timedelta(days=n) for n in range(60)]
+    bars = make_bars([(day, f"S{i}", 10.0) for day in days for i in range(8)])
+
+    def place(as_of, runtime):
+        rows = runtime.market_data(as_of_date=as_of)
+        task = float(TaskContext.get().partitionId())
+        return rows.drop_duplicates("symbol")[["exchange", "isin", "symbol"]].assign(target_weight=len(rows) / 1000, score=task)
+
+    monkeypatch.setattr(bt, "PART_ROWS", 12)
+    decided = bt.blackbox_decisions(bars, place, strategy_id="s", lookback_days=2, per_instrument=True, parts=1).collect()
+    # The largest slice has 24 rows: two parts. Five spans of twelve days each.
+    seen = {}
+    for r in decided:
+        seen.setdefault(r.score, set()).add(((r.date - days[0]).days // 12))
+    assert len(decided) == 480 and len(seen) == 10 and all(len(spans) == 1 for spans in seen.values())
+
+
+def test_slices_in_order_answer_like_others():
+    rows = pd.DataFrame(
+        [(date(2026, 1, d), "NSE", f"INE{s}", s, series, float(d)) for d in (3, 1, 2) for s, series in (("B", "EQ"), ("A", "BL"), (None, "EQ"))],
+        columns=[*slices.KEYS, "close"],
+    )
+    ordered = rows.sort_values(["date", "exchange", "symbol"], kind="stable").set_axis(range(100, 109))
+    last = date(2026, 1, 3)
+    plain = slices.SliceRuntime(rows, last)
+    fast = slices.SliceRuntime(ordered, last, days=(slices._ordinals(ordered["date"]), None))
+    for asked in (
+        {}, dict(series="EQ"), dict(series=["BL"], exchange="NSE"), dict(symbols=["A"], as_of_date=date(2026, 1, 2)),
+        dict(as_of_date=last, lookback_days=1), dict(start_date=date(2026, 1, 2), exchange="BSE"), dict(as_of_date=date(2025, 1, 1)),
+    ):
+        assert plain.market_data(**asked).equals(fast.market_data(**asked))
+        keep = pd.Series(True, index=ordered.index)
+        for name, wanted in (("series", asked.get("series")), ("exchange", asked.get("exchange")), ("symbol", asked.get("symbols"))):
+            if wanted:
+                keep &= ordered[name].isin([wanted] if isinstance(wanted, str) else wanted)
+        since, until = asked.get("start_date"), asked.get("as_of_date")
+        if asked.get("lookback_days"):
+            since = until - timedelta(days=1)
+        keep &= ordered["date"].map(lambda day: (since is None or since <= day) and (until is None or day <= until))
+        assert fast.market_data(**asked).equals(ordered[keep].reset_index(drop=True))
