@@ -201,7 +201,7 @@ def blackbox_ranks(spark, sf_dir):
 def _steady(as_of, runtime):
     """Today's feature over the mean of the slice, for instruments whose last bar closed above its average."""
     told = runtime.feature_data(as_of_date=as_of, series="EQ", columns=["date", "exchange", "symbol", "ema_20"])
-    mean = told.groupby(["exchange", "symbol"])["ema_20"].mean().rename("mean_ema").reset_index()
+    mean = told.groupby(["exchange", "symbol"], sort=False)["ema_20"].mean().rename("mean_ema").reset_index()
     last = runtime.latest_features(as_of_date=as_of, columns=["exchange", "isin", "symbol", "ema_20"])
     closes = runtime.market_data(as_of_date=as_of, lookback_days=0, columns=["exchange", "symbol", "adj_close"])
     rows = last.merge(closes, on=["exchange", "symbol"]).merge(mean, on=["exchange", "symbol"])
@@ -211,8 +211,8 @@ def _steady(as_of, runtime):
 
 def blackbox_features(spark, sf_dir):
     """A strategy that reads bars and features side by side."""
-    bars = a.bars(spark, sf_dir)
-    features = feature_frame(bars, columns=["date", "exchange", "isin", "symbol", "series", "ema_20"], max_rows=None)
+    bars = _closing_prices(spark, sf_dir)
+    features = _written(spark, feature_frame(bars, columns=[*KEYS, "ema_20"], max_rows=None), "features")
     scored = blackbox_decisions(
         bars, _steady, strategy_id="steady_v1", lookback_days=20,
         columns=["adj_close"], features=features, per_instrument=True, parts=2,
