@@ -17,6 +17,9 @@ from barlake.schema import (
     require_columns,
 )
 
+# Keys that one task counts.
+KEYS_PER_TASK = 500_000
+
 
 def vwap(source: Column, turnover: Column, volume: Column) -> Column:
     """The source's own average price, else turnover / volume (NULL at zero volume)."""
@@ -136,14 +139,25 @@ def bar_violations(bars: DataFrame) -> DataFrame:
     )
 
 
+def key_tasks(rows: int) -> int:
+    """Tasks that rows are dealt to by key. Keys of sorted files shrink to a few bytes, so tasks made by their
+    bytes, as adaptive execution makes them, would hold millions."""
+    return -(-rows // KEYS_PER_TASK) or 1
+
+
 def assert_bars(bars: DataFrame) -> DataFrame:
-    """Fail unless required columns are non-null and the key is unique."""
-    counts = bar_violations(bars).first().asDict()
-    nulls = [name for name in BAR_REQUIRED if counts[f"null_{name}"]]
+    """Fail unless required columns are non-null and the key is unique.
+
+    NULLs need no shuffle, and tell how many tasks the keys are dealt to.
+    """
+    require_columns(bars, BARS.names, "canonical bars")
+    counters = [F.count_if(F.col(name).isNull()).alias(name) for name in BAR_REQUIRED]
+    counts = bars.agg(F.count("*").alias("_rows"), *counters).first()
+    nulls = [name for name in BAR_REQUIRED if counts[name]]
     if nulls:
         raise ContractError(f"bars have null values in required columns: {nulls}")
-    if counts["duplicate_rows"]:
-        raise ContractError(
-            f"bars have {counts['duplicate_rows']} rows with a duplicate date/exchange/isin/series key"
-        )
+    keys = bars.select(*BAR_KEY).repartition(key_tasks(counts["_rows"]), *BAR_KEY)
+    repeated = keys.groupBy(*BAR_KEY).count().where("count > 1").agg(F.sum("count").alias("rows")).first()["rows"]
+    if repeated:
+        raise ContractError(f"bars have {repeated} rows with a duplicate date/exchange/isin/series key")
     return bars

@@ -63,8 +63,10 @@ def invalid_rows(bars: DataFrame) -> DataFrame:
     return bars.agg(*_aliased(_row_counters()))
 
 
-def duplicate_rows(bars: DataFrame, per: tuple[str, ...] = ()) -> DataFrame:
-    """Rows that share their key with another row, in total or per group."""
+def duplicate_rows(bars: DataFrame, per: tuple[str, ...] = (), tasks: int | None = None) -> DataFrame:
+    """Rows that share their key with another row, in total or per group; ``tasks`` fixes how many count them."""
+    if tasks:
+        bars = bars.select(*per, *BAR_KEY).repartition(tasks, *BAR_KEY)
     repeated = bars.groupBy(*per, *BAR_KEY).count().where(F.col("count") > 1)
     total = F.coalesce(F.sum("count"), F.lit(0)).alias("duplicate_key_count")
     return repeated.groupBy(*per).agg(total) if per else repeated.agg(total)
@@ -103,27 +105,33 @@ def coverage_summary(bars: DataFrame) -> DataFrame:
     )
 
 
-def partition_audit(bars: DataFrame, *, schema_checked: bool = True) -> DataFrame:
+def partition_audit(bars: DataFrame, *, schema_checked: bool = True, tasks: int | None = None) -> DataFrame:
     """The audit of every month: counters, NULLs per column, duplicates, verdict.
 
     Counters are pre-aggregated per (month, symbol) for the distinct symbols and the
-    key shuffle carries keys only. Duplicates are counted across all files of a month.
+    key shuffle carries keys only. Duplicates are counted across all files of a month. With ``tasks``, which
+    fixes how many count the keys, ``bars`` are a table that may be read more often: symbols are then counted apart, and
+    the counters need no shuffle but a row per month.
     """
     rows = add_month_columns(conform(bars, BARS, lenient=True))
-    measured = rows.groupBy(*MONTH_KEY).agg(
-        F.count("*").alias("rows"),
-        F.min("date").alias("date_min"),
-        F.max("date").alias("date_max"),
-        F.countDistinct("symbol").alias("symbols"),
-        *_aliased(_row_counters()),
-        *_aliased(_null_counters()),
-    )
+    ends = [F.count("*").alias("rows"), F.min("date").alias("date_min"), F.max("date").alias("date_max")]
+    symbols = F.countDistinct("symbol").alias("symbols")
+    counters = [*_aliased(_row_counters()), *_aliased(_null_counters())]
     # Months come from the data, so a NULL exchange or date must match itself.
-    repeated = duplicate_rows(rows, MONTH_KEY).select(
-        *[F.col(name).alias(f"_{name}") for name in MONTH_KEY], "duplicate_key_count"
-    )
     same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in MONTH_KEY]
-    audited = measured.join(repeated, same, "left").drop(*[f"_{name}" for name in MONTH_KEY])
+
+    def with_months(measured: DataFrame, told: DataFrame) -> DataFrame:
+        renamed = told.withColumnsRenamed({name: f"_{name}" for name in MONTH_KEY})
+        return measured.join(renamed, same, "left").drop(*[f"_{name}" for name in MONTH_KEY])
+
+    months = rows.groupBy(*MONTH_KEY)
+    if tasks:
+        measured = with_months(months.agg(*ends, *counters), months.agg(symbols))
+        order = [*MONTH_KEY, "rows", "date_min", "date_max", "symbols"]
+        measured = measured.select(*order, *[name for name in measured.columns if name not in order])
+    else:
+        measured = months.agg(*ends, symbols, *counters)
+    audited = with_months(measured, duplicate_rows(rows, MONTH_KEY, tasks))
     audited = audited.fillna(0, ["duplicate_key_count"])
     return with_verdict(audited, schema_checked)
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barlake.files import partition_folders
 from barlake.journal import prepare, settle
+from barlake.operators.normalize import key_tasks
 from barlake.operators.quality import global_audit, partition_audit
 from barlake.plans.history import audit_history
 from barlake.schema import BARS, MONTH_KEY
@@ -94,7 +95,7 @@ def refresh_states(spark: SparkSession, path: str, store: str) -> DataFrame | No
         if not changed:
             return
         bars = only_months(read_months(spark, path), changed)
-        audit = partition_audit(bars).drop("rows")
+        audit = partition_audit(bars, tasks=key_tasks(bars.count())).drop("rows")
         rows = [(*month, listed[month]) for month in changed]
         signatures = spark.createDataFrame(rows, "exchange string, year int, month int, signature string")
         states = month_contents(bars).join(audit, list(MONTH_KEY), "left").join(F.broadcast(signatures), list(MONTH_KEY))

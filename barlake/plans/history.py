@@ -11,6 +11,7 @@ from barlake.operators.normalize import (
     assert_bars,
     distinct_bars,
     drop_variant_symbols,
+    key_tasks,
     normalize_fields,
     usable_rows,
 )
@@ -186,6 +187,7 @@ def as_json_lists(manifest: DataFrame) -> DataFrame:
 def store_bars(
     spark: SparkSession, bars: DataFrame, path: str, *, mode: str = "create",
     exchanges: tuple[str, ...] = EXCHANGES, partition: tuple[str, int, int] | None = None,
+    by_month: bool = False,
 ) -> None:
     """Write bars as months beside the table, check them, and put them in place as one change.
 
@@ -193,7 +195,7 @@ def store_bars(
     exchanges; ``incremental`` replaces the months present in ``bars``;
     ``only_missing`` adds months the table lacks; ``repair`` replaces one month. Checked are the
     months that are written. A job that dies at any step leaves the old table, or one that the next
-    reader or writer makes the new one.
+    reader or writer makes the new one. Bars that were read from a monthly table are ``by_month`` already.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode: {mode}")
@@ -221,7 +223,7 @@ def store_bars(
         rebuilt = {f"exchange={exchange_code(name)}" for name in exchanges}
         return [place for place in present if whole or place.split("/")[0] in rebuilt]
 
-    swap_months(spark, bars, path, assert_bars, needed=needed, drop=replaced)
+    swap_months(spark, bars, path, assert_bars, by_month=by_month, needed=needed, drop=replaced)
 
 
 def build_history(
@@ -270,7 +272,7 @@ def store_fetch_manifest(spark: SparkSession, new: DataFrame, path: str) -> Data
 def audit_history(spark: SparkSession, path: str, report: str | None = None):
     """Monthly and global audit of a table; optionally written as JSON."""
     bars = read_months(spark, path)
-    partitions = partition_audit(bars)
+    partitions = partition_audit(bars, tasks=key_tasks(bars.count()))
     if report:
         partitions.write.mode("overwrite").json(f"{report}/partitions")
         schema = partitions.schema

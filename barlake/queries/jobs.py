@@ -26,7 +26,7 @@ from barlake.schema import BAR_KEY, BARS, EXCHANGES
 from barlake.session import scratch_dir
 from barlake.sources.inventory import list_files, usage_by_prefix
 from barlake.sources.tables import scan_decisions
-from barlake.storage import delete_path, keep_last, merge_day, read_months, upsert_bars, write_months
+from barlake.storage import delete_path, keep_last, merge_day, read_months, stage_months, upsert_bars, write_months
 from barlake.streaming.ingest import append_decision_stream, audit_stream, ingest_bars, stream_files
 
 _COMPARED = [n for n in BARS.names if n not in ("vwap", "delivery_pct")]
@@ -106,10 +106,11 @@ def keep_last_rows(spark, sf_dir):
 
 def only_missing_write(spark, sf_dir):
     """Months 1 to 6 first, then the whole year at a higher price for missing months only."""
-    rows = a.bars(spark, sf_dir)
     path = scratch_dir(spark, "bars")
-    store_bars(spark, rows.where(F.month("date") <= 6), path)
-    store_bars(spark, rows.withColumn("close", F.col("close") + 1), path, mode="only_missing")
+    # Both builds read months that are derived and dealt once.
+    rows = read_months(spark, stage_months(a.bars(spark, sf_dir), spark, "derived"))
+    store_bars(spark, rows.where(F.col("month") <= 6), path, by_month=True)
+    store_bars(spark, rows.withColumn("close", F.col("close") + 1), path, mode="only_missing", by_month=True)
     return _closes(read_months(spark, path))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from barlake.files import (  # noqa: F401 (the first ones are also imported from here)
     delete_path,
@@ -22,6 +22,31 @@ from barlake.schema import BAR_KEY, BAR_ORDER, BARS, MONTH_KEY, add_month_column
 from barlake.session import scratch_dir
 
 
+# Prices that mostly equal another one: a bar of one trade, unadjusted. Each follows from what is before it.
+_ALIKE = {"high": "open", "low": "open", "close": "open"} | {f"adj_{name}": name for name in ("open", "high", "low", "close")}
+
+
+def _alike(name: str, other: Column) -> Column:
+    """Whether the value is that of the other column to the bit: zeros may differ in their sign."""
+    return F.col(name).eqNullSafe(other) & F.coalesce(F.col(name) != 0, F.lit(True))
+
+
+def _dealt_by_month(months: DataFrame) -> DataFrame:
+    """Rows rebalanced by month; prices that repeat another one of their row are not shuffled."""
+    average = F.try_divide("turnover", "volume")
+    told = {name: F.col(other) for name, other in _ALIKE.items()} | {"vwap": average}
+    alike = reduce(Column.__add__, [_alike(name, other).cast("int") * 2**i for i, (name, other) in enumerate(told.items())])
+    marked = months.withColumn("_alike", alike)
+
+    def is_alike(name: str) -> Column:
+        return F.col("_alike").bitwiseAND(2 ** list(told).index(name)) != 0
+
+    thin = marked.withColumns({name: F.when(~is_alike(name), F.col(name)) for name in told}).hint("rebalance", *MONTH_KEY)
+    for names in (("high", "low", "close", "vwap"), [name for name in told if name.startswith("adj_")]):
+        thin = thin.withColumns({name: F.when(is_alike(name), told[name]).otherwise(F.col(name)) for name in names})
+    return thin.drop("_alike")
+
+
 def write_months(
     bars: DataFrame, path: str, *, overwrite: str = "dynamic", by_month: bool = False
 ) -> None:
@@ -34,11 +59,12 @@ def write_months(
     were read from a monthly table are ``by_month`` already and need no shuffle.
     """
     months = add_month_columns(conform(bars, BARS))
-    placed = months if by_month else months.hint("rebalance", *MONTH_KEY)
+    placed = months if by_month else _dealt_by_month(months)
     (
         placed.sortWithinPartitions(*MONTH_KEY, *BAR_ORDER)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)
+        .option("compression", "zstd")
         .partitionBy(*MONTH_KEY)
         .parquet(path)
     )

@@ -2,11 +2,15 @@
 
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
+from barlake.operators import normalize
+from barlake.operators.quality import partition_audit
 from barlake.plans import history as h
 from barlake.plans.contents import changed_months, compare_contents, incremental_audit, month_contents, refresh_states
 from barlake.plans.publish import publish_history, publish_status
+from barlake.schema import ContractError
 from barlake.storage import read_months, write_months
 
 
@@ -105,3 +109,50 @@ def test_months_laid_out_anew_are_not_dealt_to_three_tasks(spark, make_bars, tmp
     files = laid.inputFiles()
     assert laid.count() == bars.count() and len(files) >= 18
     assert len({name.split("part-")[1][:5] for name in files}) > 3  # numbers of the tasks that wrote them
+
+
+def test_prices_that_are_alike_come_back_to_the_bit(spark, make_bars, tmp_path):
+    odd = [0.0, -0.0, None, float("nan"), 5.0, float("inf")]
+    names = ["open", "high", "low", "close", "adj_open", "adj_close", "vwap"]
+    rows = [
+        (date(2026, 1, 1 + d), f"S{i}{d}", 7.0, {n: odd[(i * (k + 1) + d * k) % 6] for k, n in enumerate(names)} | {"volume": [0, 3, None][d], "turnover": [15.0, None, 0.0][i % 3]})
+        for i in range(6) for d in range(3)
+    ]
+    bars = make_bars(rows)
+    write_months(bars, str(tmp_path / "t"))
+    back = read_months(spark, str(tmp_path / "t")).select(*bars.columns)
+    assert sorted(map(str, back.collect())) == sorted(map(str, bars.collect()))
+
+
+def test_keys_are_dealt_by_their_number(spark, make_bars, monkeypatch):
+    """Tasks that check keys hold some of them, however few bytes these take."""
+    monkeypatch.setattr(normalize, "KEYS_PER_TASK", 4)
+    assert [normalize.key_tasks(n) for n in (0, 4, 5)] == [1, 1, 2]
+    bars = make_bars([(date(2026, m, 5), s, float(m)) for m in (1, 2, 3) for s in "ABCD"])
+    assert normalize.assert_bars(bars) is bars
+    with pytest.raises(ContractError, match="2 rows with a duplicate"):
+        normalize.assert_bars(bars.unionByName(bars.limit(1)))
+    with pytest.raises(ContractError, match="isin"):
+        normalize.assert_bars(bars.withColumn("isin", F.lit(None).cast("string")))
+    holes = bars.unionByName(bars.where("symbol < 'C'")).withColumns(
+        {"exchange": F.when(F.month("date") < 3, F.col("exchange")), "symbol": F.when(F.col("symbol") != "B", F.col("symbol"))}
+    )
+    plain, dealt = partition_audit(holes), partition_audit(holes, tasks=3)
+    assert plain.columns == dealt.columns and sorted(map(str, plain.collect())) == sorted(map(str, dealt.collect()))
+
+
+def test_statistics_of_a_manifest_are_taken_once(spark, make_bars, tmp_path):
+    source, target = str(tmp_path / "bars"), str(tmp_path / "public")
+    write_months(make_bars([(date(2026, m, 5), s, 1.0) for m in (1, 2) for s in "AB"]), source)
+    fetched = spark.createDataFrame([("NSE", date(2026, 1, 5), "validated")], "exchange string, date date, status string")
+    taken = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def seen(rows):
+        taken.add(1)
+        return rows
+
+    manifest = h.partition_manifest(spark, source).withColumn("row_count", seen.asNondeterministic()("row_count"))
+    _, audit = h.audit_history(spark, source)
+    assert len(publish_history(spark, source, target, audit=audit, fetch_manifest=fetched, manifest=manifest)) == 2
+    assert taken.value == 2
