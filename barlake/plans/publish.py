@@ -103,6 +103,11 @@ def publish_history(
     )
     if exchanges:
         manifest = manifest.where(F.col("exchange").isin(*exchanges))
+    # A row per month, which several steps read: its statistics are taken once.
+    listed = scratch_dir(spark, "manifest")
+    manifest = manifest.select(*MONTH_KEY, "partition_path", "row_count", "file_size_bytes", "md5")
+    manifest.write.parquet(listed)
+    manifest = spark.read.schema(manifest.schema).parquet(listed)
     if manifest.isEmpty():
         raise ContractError("no months to publish for the selected exchanges")
 
