@@ -11,6 +11,7 @@ from barlake.operators.asof import latest_as_of, lookback_slices
 from barlake.operators.normalize import distinct_bars, drop_variant_symbols, vwap
 from barlake.queries import adapter as a
 from barlake.schema import add_month_columns, month_path
+from barlake.session import scratch_dir
 from barlake.sources import bars as scans
 from barlake.sources import formats as fmt
 
@@ -174,7 +175,10 @@ def vwap_fallback(spark, sf_dir):
 
 
 def variant_symbol_drop(spark, sf_dir):
-    return drop_variant_symbols(a.bars_hash(spark, sf_dir)).select(*_KEYS, "series", "close")
+    # The drop reads its rows four times: they are derived once.
+    path = scratch_dir(spark, "bars")
+    a.bars_hash(spark, sf_dir).select(*_KEYS, "series", "close").write.parquet(path)
+    return drop_variant_symbols(spark.read.parquet(path)).select(*_KEYS, "series", "close")
 
 
 def canonical_dedupe(spark, sf_dir):
