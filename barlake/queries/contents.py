@@ -13,7 +13,7 @@ from barlake.queries import adapter as a
 from barlake.queries.quality import _DUPLICATES, _flat, _verdict
 from barlake.schema import MONTH_KEY, add_month_columns
 from barlake.session import scratch_dir
-from barlake.storage import read_months, write_months
+from barlake.storage import read_months, stage_months, write_months
 
 
 def _lay_out_anew(bars, path):
@@ -53,12 +53,13 @@ def relaid_status(spark, sf_dir):
 
 def incremental_months(spark, sf_dir):
     """The audit of a table of which half the months were audited before, some of them changed since."""
-    rows = a.bars_dirty(spark, sf_dir)
+    # Both writes read months that are derived and dealt once.
+    rows = read_months(spark, stage_months(a.bars_dirty(spark, sf_dir), spark, "derived"))
     path, store = scratch_dir(spark, "bars"), scratch_dir(spark, "states")
-    early = rows.where(F.month("date") <= 6)
-    write_months(early.withColumn("close", F.when(F.month("date") == 3, -F.col("close")).otherwise(F.col("close"))), path)
+    early, march = rows.where(F.col("month") <= 6), F.col("month") == 3
+    write_months(early.withColumn("close", F.when(march, -F.col("close")).otherwise(F.col("close"))), path, by_month=True)
     refresh_states(spark, path, store)
-    write_months(rows.where((F.month("date") > 6) | (F.month("date") == 3)), path)
+    write_months(rows.where((F.col("month") > 6) | march), path, by_month=True)
     return _flat(incremental_audit(spark, path, store)[0])
 
 
