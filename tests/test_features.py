@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from barlake.functions import smoothing as sm
 from barlake.functions.medians import group_medians
 from barlake.operators import features as ft
 from barlake.operators.asof import latest_as_of
@@ -118,6 +119,28 @@ def test_split_frame_equals_whole_frame_with_one_huge_instrument(make_bars):
         )
 
 
+def test_short_blocks_are_smoothed_side_by_side(monkeypatch):
+    """Averages of many short blocks equal plain loops over the whole series, without a pass of its own for each."""
+    rng = np.random.default_rng(5)
+    values = rng.normal(size=6_000) + 100
+    values[rng.random(6_000) < 0.3] = np.nan
+    values[1_000:1_200] = np.nan
+    values[-2_500:] = 50.0
+    # Blocks of three rows, then one of several thousand.
+    bounds = np.r_[np.arange(0, 3_001, 3), 6_000]
+    passes, series = [], sm.pd.Series
+    monkeypatch.setattr(sm.pd, "Series", lambda *args, **kwargs: passes.append(1) or series(*args, **kwargs))
+    states, state = [], (np.nan, 0, 0)
+    for summary in sm.block_summaries(values, bounds, 1 / 14):
+        states.append(state)
+        state = sm.advance(state, tuple(summary), 1 / 14)
+    carry = sm.Carry(*np.array(states, dtype=float).T)
+    runs = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    got = sm.exponential(values, runs, 1 / 14, 14, carry)
+    close_to(got, wilder([None if np.isnan(v) else v for v in values]))
+    assert len(passes) <= 3
+
+
 def test_flat_prices_have_no_strength(make_bars):
     bars = make_bars([(date(2020, 1, 1) + timedelta(days=i), "AAA", 50.0) for i in range(40)])
     row = feature_frame(bars).orderBy(F.desc("date")).first()
