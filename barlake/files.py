@@ -81,6 +81,14 @@ def partition_folders(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
+def count_files(spark: SparkSession, path: str) -> int:
+    """Files that lie in a folder itself, other than hidden ones."""
+    files, root = filesystem(spark, path)
+    if not files.exists(root):
+        return 0
+    return sum(s.isFile() and s.getPath().getName()[0] not in "._" for s in files.listStatus(root))
+
+
 def write_text(spark: SparkSession, path: str, text: str, *, in_folder: bool = False) -> None:
     """Write a small file; ``in_folder`` fails if its folder is not there."""
     files, target = filesystem(spark, path)

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from barlake.files import (  # noqa: F401 (the first ones are also imported from here)
+    count_files,
     delete_path,
     move_path,
     path_exists,
@@ -21,6 +22,8 @@ from barlake.operators.normalize import assert_bars
 from barlake.schema import BAR_KEY, BAR_ORDER, BARS, MONTH_KEY, add_month_columns, conform
 from barlake.session import scratch_dir
 
+# Files of a month from which on an upsert puts them together again.
+MONTH_FILES = 16
 
 # Prices that mostly equal another one: a bar of one trade, unadjusted. Each follows from what is before it.
 _ALIKE = {"high": "open", "low": "open", "close": "open"} | {f"adj_{name}": name for name in ("open", "high", "low", "close")}
@@ -31,8 +34,8 @@ def _alike(name: str, other: Column) -> Column:
     return F.col(name).eqNullSafe(other) & F.coalesce(F.col(name) != 0, F.lit(True))
 
 
-def _dealt_by_month(months: DataFrame) -> DataFrame:
-    """Rows rebalanced by month; prices that repeat another one of their row are not shuffled."""
+def _dealt(months: DataFrame, deal: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows shuffled by ``deal``; prices that repeat another one of their row are put back after it."""
     average = F.try_divide("turnover", "volume")
     told = {name: F.col(other) for name, other in _ALIKE.items()} | {"vwap": average}
     alike = reduce(Column.__add__, [_alike(name, other).cast("int") * 2**i for i, (name, other) in enumerate(told.items())])
@@ -41,12 +44,17 @@ def _dealt_by_month(months: DataFrame) -> DataFrame:
     def is_alike(name: str) -> Column:
         return F.col("_alike").bitwiseAND(2 ** list(told).index(name)) != 0
 
-    thin = marked.withColumns({name: F.when(~is_alike(name), F.col(name)) for name in told}).hint("rebalance", *MONTH_KEY)
+    thin = deal(marked.withColumns({name: F.when(~is_alike(name), F.col(name)) for name in told}))
     for names in (("high", "low", "close", "vwap"), [name for name in told if name.startswith("adj_")]):
         thin = thin.withColumns({name: F.when(is_alike(name), told[name]).otherwise(F.col(name)) for name in names})
     return thin.drop("_alike")
 
 
+def _dealt_by_month(months: DataFrame) -> DataFrame:
+    """Rows rebalanced by month."""
+    return _dealt(months, lambda rows: rows.hint("rebalance", *MONTH_KEY))
+
+
 def write_months(
     bars: DataFrame, path: str, *, overwrite: str = "dynamic", by_month: bool = False
 ) -> None:
@@ -153,6 +161,25 @@ def last_read(rows: DataFrame, recency: Sequence[str] | None = None) -> DataFram
     return keep_last(placed, BAR_KEY, ["_file", "_row"]).drop("_file", "_row")
 
 
+def _last_of_repeated(rows: DataFrame, recency: Sequence[str] | None) -> DataFrame:
+    """``last_read`` for rows of which some repeat a key; others are not shuffled for it, only their keys to find out."""
+    repeated = rows.groupBy(*BAR_KEY).count().where("count > 1")
+    return rows if repeated.isEmpty() else last_read(rows, recency)
+
+
+def _check_merge(mode: str) -> None:
+    if mode not in ("upsert", "replace_day"):
+        raise ValueError(f"unknown merge mode: {mode}")
+
+
+_DAY = ["exchange", "date"]
+
+
+def _refreshed_days(refreshed: DataFrame) -> DataFrame:
+    """At most exchanges x calendar days, small enough for every executor."""
+    return F.broadcast(refreshed.select(*_DAY).distinct())
+
+
 def merge_day(
     existing: DataFrame, refreshed: DataFrame, *, mode: str = "upsert", recency: Sequence[str] | None = None
 ) -> DataFrame:
@@ -161,20 +188,38 @@ def merge_day(
     ``upsert`` keeps bars of a refreshed day that the new data lacks; ``replace_day``
     drops them. Bars of other days pass through unshuffled; only those of refreshed days
     are compared by key. Of refreshed rows with one key the last one stays, as ``last_read``
-    tells it. The refreshed days are at most exchanges x calendar days, small enough for every executor.
+    tells it.
     """
-    if mode not in ("upsert", "replace_day"):
-        raise ValueError(f"unknown merge mode: {mode}")
-    day = ["exchange", "date"]
-    days = F.broadcast(refreshed.select(*day).distinct())
-    merged = [existing.join(days, day, "left_anti"), last_read(refreshed, recency)]
+    _check_merge(mode)
+    days = _refreshed_days(refreshed)
+    merged = [existing.join(days, _DAY, "left_anti"), last_read(refreshed, recency)]
     if mode == "upsert":
         keys = refreshed.select(*BAR_KEY).distinct()
-        same_day = existing.join(days, day, "left_semi")
+        same_day = existing.join(days, _DAY, "left_semi")
         merged.append(null_safe_join(same_day, keys, BAR_KEY, "left_anti"))
     return reduce(DataFrame.unionByName, [conform(rows, BARS) for rows in merged])
 
 
+def _merge_by_month(
+    existing: DataFrame, refreshed: DataFrame, *, mode: str, recency: Sequence[str] | None
+) -> DataFrame:
+    """What ``merge_day`` gives, as rows that need no shuffle by month.
+
+    Bars of other days stay with the files they were read from. Those of refreshed days are shuffled once,
+    by ranges of days, so that a task compares all keys of its days and has days of few months.
+    """
+    _check_merge(mode)
+    days = _refreshed_days(refreshed)
+    others = conform(existing.join(days, _DAY, "left_anti"), BARS)
+    fresh = conform(_last_of_repeated(refreshed, recency), BARS).withColumn("_new", F.lit(True))
+    if mode == "upsert":
+        same_day = conform(existing.join(days, _DAY, "left_semi"), BARS)
+        fresh = fresh.unionByName(same_day.withColumn("_new", F.lit(False)))
+    dealt = _dealt(fresh, lambda rows: rows.repartitionByRange(*_DAY))
+    replaced = F.max("_new").over(Window.partitionBy(*BAR_KEY))
+    return others.unionByName(dealt.withColumn("_replaced", replaced).where(F.col("_new") | ~F.col("_replaced")).select(*BARS.names))
+
+
 def touched_months(rows: DataFrame) -> list[tuple[str, int, int]]:
     """The months a batch writes to: at most exchanges x calendar months."""
     months = add_month_columns(rows.select("exchange", "date")).select(*MONTH_KEY).distinct()
@@ -197,6 +242,7 @@ def upsert_bars(
 ) -> list[tuple[str, int, int]]:
     """Put refreshed bars into a monthly table, rewriting only the months they touch.
 
+    Bars of other days are not shuffled, unless the months lie in many files by now: then whole months are dealt anew.
     The merged months are written beside the table and checked (no NULL or repeated keys)
     before any month of it is touched. They are then moved into place; what a job that dies on
     the way leaves is finished by the next writer or reader. Of repeated keys the last one stays, by the ``recency`` columns or by file
@@ -206,10 +252,19 @@ def upsert_bars(
     if not months:
         return []
     settle(spark, path)
+    by_month = False
     if has_months(spark, path):
         existing = only_months(read_months(spark, path), months)
-        merged = merge_day(existing, refreshed, mode=mode, recency=recency)
+        by_month = not _in_many_files(spark, path, months)
+        merge = _merge_by_month if by_month else merge_day
+        merged = merge(existing, refreshed, mode=mode, recency=recency)
     else:
         merged = conform(last_read(refreshed, recency), BARS)
-    swap_months(spark, merged, path, assert_bars)
+    swap_months(spark, merged, path, assert_bars, by_month=by_month)
     return months
+
+
+def _in_many_files(spark: SparkSession, path: str, months: list[tuple[str, int, int]]) -> bool:
+    """Whether months lie in many files: each upsert that leaves bars with their files can add one to a month."""
+    counts = [count_files(spark, f"{path}/exchange={exchange}/year={year}/month={month}") for exchange, year, month in months]
+    return sum(counts) > MONTH_FILES * len(months)

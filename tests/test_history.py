@@ -6,9 +6,9 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from barlake import storage
 from barlake.operators import quality as q
 from barlake.operators.manifest import build_fetch_manifest
-from barlake import storage
 from barlake.plans import history as h
 from barlake.plans.publish import publish_history, publish_status
 from barlake.schema import BARS, ContractError, FETCH_MANIFEST, conform
@@ -435,3 +435,25 @@ def test_refreshed_files_of_duplicates_are_written_by_many_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before["spark.sql.adaptive.coalescePartitions.enabled"])
     (folder,) = set(shared.glob("refreshed-*")) - known
     assert all(len(list((folder / name).glob("part-*"))) > 1 for name in ("1", "2", "3"))
+
+
+def test_upsert_leaves_other_days_with_their_files(spark, make_bars, tmp_path, monkeypatch):
+    """Only bars of refreshed days are shuffled to be merged; a month that lies in many files is put together again."""
+    path = str(tmp_path / "bars")
+    days = [date(2026, 1, d) for d in range(1, 21)]
+    write_months(make_bars([(day, symbol, 1.0) for day in days for symbol in "ABCDEFGHIJ"]), path)
+    refreshed = make_bars([(days[-1], "A", 2.0), (days[-1], "Z", 3.0)])
+    dealt, write = [], storage.write_months
+
+    def watched(bars, *args, by_month=False, **kwargs):
+        dealt.append(not by_month)
+        write(bars, *args, by_month=by_month, **kwargs)
+
+    monkeypatch.setattr(storage, "write_months", watched)
+    expected = {(day, symbol): 1.0 for day in days for symbol in "ABCDEFGHIJ"} | {(days[-1], "A"): 2.0, (days[-1], "Z"): 3.0}
+    for limit, whole in ((16, False), (0, True)):
+        monkeypatch.setattr(storage, "MONTH_FILES", limit)
+        upsert_bars(spark, refreshed, path)
+        assert dealt.pop() is whole
+        got = {(r.date, r.symbol): r.close for r in read_months(spark, path).collect()}
+        assert got == expected and read_months(spark, path).count() == len(expected)
