@@ -457,3 +457,35 @@ def test_upsert_leaves_other_days_with_their_files(spark, make_bars, tmp_path, m
         assert dealt.pop() is whole
         got = {(r.date, r.symbol): r.close for r in read_months(spark, path).collect()}
         assert got == expected and read_months(spark, path).count() == len(expected)
+
+
+def test_raw_lines_are_not_written_before_they_are_parsed(spark, tmp_path):
+    """Scratch has the headers and parsed rows without the columns that repeat others, and no copy of the lines."""
+    lines = [nse_row(f"S{i}", isin=f"I{i}") for i in range(50)]
+    ingested = h.ingest_files(spark, put(tmp_path / "raw", "cm02JAN2026bhav.csv.zip", NSE, *lines), "NSE")
+    tables = [spark.read.parquet(path) for path in ingested.staged]
+    assert sorted(table.count() for table in tables) == [1, 50]
+    assert not any(name.startswith("adj_") for table in tables for name in table.columns)
+    first = ingested.rows.orderBy("symbol").first()
+    assert (first.adj_close, first.adj_open, first.adj_factor) == (first.close, first.open, 1.0)
+    assert ingested.rows.columns == [*BARS.names, "path"]
+
+
+def test_files_are_rendered_after_rows_are_dealt_by_day(spark, make_bars, tmp_path):
+    """Prices that equal the open come back to the bit, with the sign of zeros and texts that are no numbers."""
+    from barlake.queries.jobs import write_raw_files
+
+    day = date(2026, 1, 2)
+    prices = {"A": (5.0, 5.0, 5.0, 5.0), "B": (0.0, -0.0, 0.0, -0.0), "C": (None, None, 1.5, None)}
+    fields = ("open", "high", "low", "close")
+    bars = make_bars([(day, symbol, 1.0, dict(zip(fields, own)) | {"exchange": "BSE"}) for symbol, own in prices.items()])
+    undated = make_bars([(None, "D", 2.0, {"exchange": "BSE"})])
+    write_raw_files(spark, bars.unionByName(undated), str(tmp_path / "raw"))
+    text = (tmp_path / "raw" / "BSE" / "BhavCopy_BSE_CM_0_0_0_20260102_F_0000.CSV").read_text().splitlines()
+    written = {line.split(",")[0]: line.split(",")[2:6] for line in text[1:]}
+    assert written == {symbol: ["" if v is None else str(v) for v in own] for symbol, own in prices.items()}
+    assert len(list((tmp_path / "raw" / "BSE").iterdir())) == 2
+    texts = bars.where("symbol = 'A'").withColumn("close", F.lit("n/a")).drop("adj_close")
+    write_raw_files(spark, texts, str(tmp_path / "texts"))
+    text = (tmp_path / "texts" / "BSE" / "BhavCopy_BSE_CM_0_0_0_20260102_F_0000.CSV").read_text().splitlines()
+    assert text[1].split(",")[2:6] == ["5.0", "5.0", "5.0", "n/a"]
